@@ -10,7 +10,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from flatspark.plans.paths import has_path
+from flatspark.plans.paths import has_path, leaves
 
 # Result codes users know from their run logs.
 JSON_INVALID = 1001
@@ -169,7 +169,6 @@ class LevelSpec:
         """The spec that flattens a whole schema: level by level, one array layer at a time."""
         lift: list[list[str]] = []
         explode: list[list[str]] = []
-        final: list[str] = []
         frontier: list[tuple[str, T.DataType]] = [(f.name, f.dataType) for f in schema.fields]
         first = True
         while frontier:
@@ -186,8 +185,6 @@ class LevelSpec:
                 if isinstance(dtype, T.ArrayType):
                     arrays.append(flat)
                     following.append((flat, dtype.elementType))
-                else:
-                    final.append(flat)
 
             for name, dtype in frontier:
                 visit(name, dtype)
@@ -195,7 +192,7 @@ class LevelSpec:
             explode.append(arrays)
             frontier = following
             first = False
-        return LevelSpec(lift, explode, list(dict.fromkeys(final)), schema)
+        return LevelSpec(lift, explode, [p.flat for p in leaves(schema)], schema)
 
     def check(self, schema: T.StructType) -> None:
         """Raise one error that lists every path the schema does not have."""
