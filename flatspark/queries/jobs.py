@@ -398,5 +398,278 @@ def mapped(docs, name, key="key"):
     """Rules of a resource type; lists as joined texts so that they compare."""
     rules = mappings.RULES[name]
     out = map_documents(docs, rules, keep=[key])
-    return out.withColumns({f"`{r.name}`" if "(" in r.name else r.name: F.array_join(F.col(f"`{r.name}`"), "~")
-                            for r in rules if not r.explode})
+    return out.withColumns({r.name: F.array_join(F.col(f"`{r.name}`"), "~") for r in rules if not r.explode})
+
+
+def kept(docs):
+    return docs.withColumn("key", F.col("id"))
+
+
+def rows_sql(source, key, **columns):
+    picked = ",\n  ".join(f'{sql} AS "{name}"' for name, sql in columns.items())
+    return f"SELECT {key} AS key,\n  {picked}\nFROM {source}"
+
+
+NULL = "CAST(NULL AS VARCHAR)"
+
+
+def agg(value, source, where="TRUE"):
+    return f"(SELECT string_agg(DISTINCT {value}, '~' ORDER BY {value}) FROM ({source}) WHERE {where})"
+
+
+@query("d7_affiliation_rules", f"""
+WITH o AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS id FROM orders)
+SELECT id AS key, {NULL} AS "PCP_SELECTABILITY_CODE", CASE k % 2 WHEN 0 THEN 'yes' ELSE 'no' END AS "ACCEPT_NEW_PATIENTS",
+  {NULL} AS "PROVIDER_TERMINATION_CODE", {NULL} AS "MEMB_SELF_ATRBTN_ACPTNC_IND", {NULL} AS "PROVIDER_CONTRACT_STATUS",
+  net.r AS network_id, {NULL} AS licensee_id, {NULL} AS "PROV_TIER_DESIG", {NULL} AS "VBP", {NULL} AS "PROVIDER_ENTITY_IDENTIFIER",
+  CASE WHEN k % 4 = 1 THEN CASE WHEN k % 2 = 0 THEN 'x' ELSE 'y' END WHEN k % 4 > 1 THEN 'x~y' END AS "PROVIDER_TAXONOMY_CODE",
+  {agg("'c' || CAST(i AS VARCHAR)", "SELECT unnest(range(k % 3)) AS i", "(k + i) % 2 = 0")} AS "ENTITY_TYPE_CODE",
+  {agg("'c' || CAST(i AS VARCHAR)", "SELECT unnest(range(k % 3)) AS i", "(k + i) % 2 = 1")} AS "PROVIDER_TYPE_CODE",
+  {agg("'d' || CAST(i AS VARCHAR)", "SELECT unnest(range(k % 3)) AS i", "(k + i) % 2 = 1")} AS "PROV_TYPE_NAME",
+  loc.r AS location_reference, hs.r AS "healthcareService_reference"
+FROM o
+LEFT JOIN LATERAL (SELECT DISTINCT 'Network/n' || CAST((k + i) % 5 AS VARCHAR) AS r FROM (SELECT unnest(range(k % 3)) AS i)) net ON TRUE
+LEFT JOIN LATERAL (SELECT 'Location/' || CAST(k % 11 AS VARCHAR) || '-' || CAST(i AS VARCHAR) AS r FROM (SELECT unnest(range(k % 3)) AS i)) loc ON TRUE
+LEFT JOIN LATERAL (SELECT 'HealthcareService/' || CAST(i AS VARCHAR) AS r FROM (SELECT unnest(range(k % 4)) AS i)) hs ON TRUE""")
+def affiliation_rules(spark, sf):
+    return mapped(kept(organization_affiliations(spark, sf)), "affiliation")
+
+
+@query("d7_organization_rules", f"""
+WITH c AS (SELECT c_custkey AS k, CAST(c_custkey AS VARCHAR) AS id, c_name FROM customer),
+i AS (SELECT id, k, i, CASE (k + i) % 5 WHEN 0 THEN 'TAX' WHEN 1 THEN 'NPI' WHEN 2 THEN 'CCN' WHEN 3 THEN 'PCRN' ELSE 'PRN' END AS code,
+        id || '-' || CAST(i AS VARCHAR) AS value FROM (SELECT id, k, unnest(range(k % 5)) AS i FROM c)),
+a AS (SELECT id, string_agg(value, '~' ORDER BY value) FILTER (WHERE code = 'TAX') AS tax,
+        string_agg(value, '~' ORDER BY value) FILTER (WHERE (k + i) % 7 = 0) AS pmi,
+        string_agg(value, '~' ORDER BY value) FILTER (WHERE code = 'CCN') AS ccn,
+        string_agg(value, '~' ORDER BY value) FILTER (WHERE code = 'PRN') AS prn,
+        string_agg(value, '~' ORDER BY value) FILTER (WHERE code = 'PCRN') AS pcrn FROM i GROUP BY id)
+SELECT c.id AS key, c.id, CASE WHEN c.k % 3 = 2 THEN '1~1' ELSE '1' END AS "versionId", 'Organization' AS "resourceType",
+  CASE WHEN c.k % 3 = 2 THEN '2024-01-01~2024-01-01' ELSE '2024-01-01' END AS "ORGANIZATION_LAST_UPDATE_DATE", c_name AS "ORG_NAME_FULL_STD",
+  CASE WHEN c.k % 2 = 1 THEN CASE WHEN c.k % 3 = 0 THEN '00' ELSE 'E' || CAST(c.k % 5 AS VARCHAR) END END AS "recognizing_Entity",
+  CASE WHEN c.k % 2 = 1 THEN '00' END AS "recognition_Value", CASE WHEN c.k % 2 = 1 THEN 'T' || CAST(c.k % 4 AS VARCHAR) END AS "recognition_Type",
+  {NULL} AS "recognition_Web_Address", tax AS "TAX_ID", pmi AS "PMI", npi.value AS "PROVIDER_NPI", ccn AS "PROV_MEDICARE_NUMBER",
+  prn AS "PROVIDER_NUMBER", pcrn AS "PROVIDER_X_REFERENCE_value", {NULL} AS "PROVIDER_X_REFERENCE_period_start",
+  {NULL} AS "PROVIDER_X_REFERENCE_period_end", {NULL} AS "PROVIDER_PHONE_NUMBER", {NULL} AS "PROVIDER_WEB_ADDRESS",
+  {NULL} AS "PROVIDER_FAX_NUMBER", {NULL} AS "PROVIDER_EMAIL_ADDRESS", {NULL} AS "PROVIDER_PAGER_NUMBER", {NULL} AS "PROVIDER_SMS_MESSAGE"
+FROM c LEFT JOIN a ON a.id = c.id LEFT JOIN i AS npi ON npi.id = c.id AND npi.code = 'NPI'""")
+def organization_rules(spark, sf):
+    return mapped(kept(organization_docs(spark, sf)), "organization")
+
+
+def _per_given(value):
+    return f"CASE WHEN k % 3 = 0 THEN {value} || '~' || {value} ELSE {value} END"
+
+
+@query("d7_practitioner_rules", f"""
+WITH o AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS id, o_orderpriority AS fam FROM orders)
+SELECT id AS key, id, 'Practitioner' AS "resourceType", '1' AS "versionId", 'u' AS "PRACTITIONER_LAST_UPDATE_DATE",
+  CASE k % 2 WHEN 0 THEN 'male' ELSE 'female' END AS "GENDER", {_per_given('fam')} AS "LAST_NAME", {NULL} AS "NAME_SUFFIX",
+  {_per_given("'Dr'")} AS "NAME_PREFIX", {NULL} AS "PROVIDER_TITLE", {NULL} AS "PROV_INTRNSHP_FCLTY_NM_prac",
+  CASE WHEN k % 4 = 0 THEN 'Organization/s' || CAST(k % 7 AS VARCHAR) END AS "PROV_MED_SCHL_NM_prac",
+  {NULL} AS "PROV_RSDNCY_FCLTY_NM_prac", CASE WHEN k % 4 = 0 THEN '1999' END AS "PROVIDER_MEDICAL_SCHOOL_YEAR"
+FROM o""")
+def practitioner_rules(spark, sf):
+    return mapped(kept(practitioner_docs(spark, sf)), "practitioner")
+
+
+# Documents of the resource types that have rules but no job: one per order.
+
+_O = """(SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS st, o_orderpriority AS prio,
+  CAST(CAST(o_orderdate AS DATE) AS VARCHAR) AS dt, CAST(o_custkey AS VARCHAR) AS cust FROM orders) o"""
+
+
+def _o(spark, sf):
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("k"), text(F.col("o_orderkey")).alias("id"), F.col("o_orderstatus").alias("st"),
+        F.col("o_orderpriority").alias("prio"), text(F.col("o_orderdate").cast("date")).alias("dt"),
+        text(F.col("o_custkey")).alias("cust"))
+
+
+_SEQ = "SELECT unnest(range(k % 3)) AS i"
+
+
+@query("d7_patient_rules", rows_sql(
+    _O, "id", id="id", versionId="CASE k % 4 WHEN 0 THEN NULL ELSE CAST(k % 4 AS VARCHAR) END", resourceType="'Patient'",
+    START_PERIOD="CASE k % 3 WHEN 1 THEN dt WHEN 2 THEN dt || '~' || dt END", ASSIGNER=NULL,
+    ACTIVE_STATUS="CASE WHEN k % 2 = 0 THEN 'true' ELSE 'false' END",
+    PROVIDER_PHONE_NUMBER=agg("id || CAST(i AS VARCHAR)", _SEQ, "(k + i) % 2 = 0"), PROVIDER_WEB_ADDRESS=NULL,
+    PROVIDER_FAX_NUMBER=NULL, PROVIDER_EMAIL_ADDRESS=agg("id || CAST(i AS VARCHAR)", _SEQ, "(k + i) % 2 = 1"),
+    PROVIDER_PAGER_NUMBER=NULL, PROVIDER_SMS_MESSAGE=NULL, gender="st", birthDate="dt",
+    new_birthdate="CASE WHEN k % 5 = 0 THEN dt || 'T00' END",
+    PROVIDER_ENTITY_IDENTIFIER=agg("prio || CAST(i AS VARCHAR)", _SEQ, "(k + i) % 2 = 0"), PROVIDER_CONTRACT_STATUS=NULL,
+    identifier_type_coding_code="(SELECT string_agg(CASE WHEN (k + i) % 2 = 0 THEN 'MR' ELSE 'XX' END, '~' ORDER BY i) "
+                                f"FROM ({_SEQ}))"))
+def patient_rules(spark, sf):
+    k = F.col("k")
+    docs = _o(spark, sf).select(
+        "id", const("Patient").alias("resourceType"), meta(F.when(k % 4 != 0, text(k % 4))).alias("meta"),
+        (k % 2 == 0).alias("active"), F.col("st").alias("gender"), F.col("dt").alias("birthDate"),
+        F.struct(F.when(k % 5 == 0, F.array(F.struct(
+            const("http://hl7.org/fhir/StructureDefinition/patient-birthTime").alias("url"),
+            F.concat("dt", F.lit("T00")).alias("valueDateTime")))).alias("extension")).alias("_birthDate"),
+        listed(k % 3, 2, lambda i: F.struct(
+            F.struct(F.array(F.struct(pick(k + i, "MR", "XX").alias("code"))).alias("coding")).alias("type"),
+            F.concat("prio", text(i)).alias("value"), F.struct(F.col("dt").alias("start")).alias("period"))
+        ).alias("identifier"),
+        F.array(F.struct(listed(k % 3, 2, lambda i: F.struct(
+            pick(k + i, "phone", "email").alias("system"), F.concat("id", text(i)).alias("value"))
+        ).alias("telecom"))).alias("contact"),
+    )
+    return mapped(kept(docs), "patient")
+
+
+@query("d7_communication_rules", f"""
+SELECT id AS key, 'Communication' AS "resourceType", id, CASE WHEN k % 2 = 0 THEN prio END AS identifier2, st AS "Active_status",
+  CASE WHEN k % 3 = 0 THEN 'cat' END AS identifier, 'Patient/' || cust AS subject_reference, a.v AS about, dt AS sent, cust AS reciver,
+  cust AS sender, p.v AS payload
+FROM {_O} LEFT JOIN LATERAL (SELECT id || '-' || CAST(i AS VARCHAR) AS v FROM ({_SEQ})) a ON TRUE
+LEFT JOIN LATERAL (SELECT 't' || CAST(i AS VARCHAR) AS v FROM (SELECT unnest(range(k % 4)) AS i) WHERE i <> 1) p ON TRUE""")
+def communication_rules(spark, sf):
+    k = F.col("k")
+
+    def ident(system, value):
+        return F.struct(F.struct(const(system).alias("system"), value.alias("value")).alias("identifier"))
+
+    docs = _o(spark, sf).select(
+        "id", const("Communication").alias("resourceType"), F.col("st").alias("status"), F.col("dt").alias("sent"),
+        F.array(F.struct(F.when(k % 2 == 0, "http://www.providerco.com/communication").otherwise("x").alias("system"),
+                         F.col("prio").alias("value"))).alias("identifier"),
+        F.array(concept((F.when(k % 3 == 0, "http://acme.org/messagetypes"), const("cat"), const("d")))).alias("category"),
+        ref("Patient", F.col("cust")).alias("subject"),
+        listed(k % 3, 2, lambda i: ident("http://happyvalley.com/claim", F.concat_ws("-", "id", text(i)))).alias("about"),
+        F.array(ident("http://www.jurisdiction.com/insurer", F.col("cust"))).alias("recipient"),
+        ident("http://www.jurisdiction.com/provideroffices", F.col("cust")).alias("sender"),
+        listed(k % 4, 3, lambda i: F.struct(F.struct(
+            F.when(i == 1, "text/plain").otherwise("application/pdf").alias("contentType"),
+            F.concat(F.lit("t"), text(i)).alias("creation")).alias("contentAttachment"))).alias("payload"),
+    )
+    return mapped(kept(docs), "communication")
+
+
+@query("d7_device_rules", f"""
+SELECT id AS key, 'Device' AS "RESOURCE_TYPE", id AS "ID", st AS manufacturer, prio AS "serialNumber", {NULL} AS "modelNumber",
+  CASE WHEN k % 2 = 0 THEN cust END AS "Device_Name", CASE WHEN k % 3 = 0 THEN 'type ' || st END AS "Device_Type",
+  {agg("'v' || CAST(i AS VARCHAR)", _SEQ)} AS "Device_Version", CASE WHEN k % 5 <> 0 THEN 'spec' END AS "Device_Specification",
+  p.v AS device_property
+FROM {_O} LEFT JOIN LATERAL (SELECT DISTINCT 'p' || CAST((k + i) % 2 AS VARCHAR) AS v FROM (SELECT unnest(range(k % 4)) AS i)) p ON TRUE""")
+def device_rules(spark, sf):
+    k = F.col("k")
+
+    def coded(system, code):
+        return F.struct(F.array(F.struct(system.alias("system"), code.alias("code"))).alias("coding"))
+
+    docs = _o(spark, sf).select(
+        "id", const("Device").alias("resourceType"), F.col("st").alias("manufacturer"), F.col("prio").alias("serialNumber"),
+        F.array(F.struct(pick(k, "user-friendly-name", "model-name").alias("type"), F.col("cust").alias("value"))).alias("name"),
+        F.array(F.struct(
+            F.array(F.struct(pick(k, "65573", "1", "2").alias("code"))).alias("coding"),
+            F.concat(F.lit("type "), "st").alias("text"))).alias("type"),
+        listed(k % 3, 2, lambda i: F.struct(
+            coded(const("urn:iso:std:iso:11073:10101"), const("c")).alias("type"),
+            F.concat(F.lit("v"), text(i)).alias("value"))).alias("version"),
+        F.array(F.struct(F.struct(
+            F.array(F.struct(F.when(k % 5 != 0, "528391").alias("code"))).alias("coding"),
+            F.lit("spec").alias("text")).alias("specification"))).alias("conformsTo"),
+        listed(k % 4, 3, lambda i: F.struct(
+            coded(const("http://terminology.hl7.org/CodeSystem/ASN1ToHL7"), const("c")).alias("type"),
+            F.struct(F.concat(F.lit("p"), text((k + i) % 2)).alias("text")).alias("valueCodeableConcept"))).alias("property"),
+    )
+    return mapped(kept(docs), "device")
+
+
+@query("d7_library_rules", rows_sql(
+    _O, "id", resourceType="'Library'", id="id", library_name="prio", library_title="st", library_status=NULL, date="dt",
+    publisher="cust", description="CASE WHEN k % 2 = 0 THEN prio || st END", purpose=NULL, usage=NULL, copyright=NULL,
+    library_Type="'kind ' || st", **{"library_Type(focus)": "CASE WHEN k % 3 > 0 THEN 'in focus' END"},
+    useContext=agg("'s' || CAST(i AS VARCHAR)", _SEQ), jurisdiction="CASE WHEN k % 4 = 0 THEN 'US' END",
+    authors="(SELECT string_agg('a' || CAST(3 - i AS VARCHAR), '~' ORDER BY i) FROM (SELECT unnest(range(k % 4)) AS i))",
+    relatedArtifact=agg("'r' || CAST(i AS VARCHAR)", _SEQ, "(k + i) % 2 = 0"),
+    relatedArtifact_links=agg("'http://' || CAST(i AS VARCHAR)", _SEQ, "(k + i) % 2 = 0")))
+def library_rules(spark, sf):
+    k = F.col("k")
+
+    def coded(system, display):
+        return F.struct(F.array(F.struct(system.alias("system"), display.alias("display"))).alias("coding"))
+
+    docs = _o(spark, sf).select(
+        "id", const("Library").alias("resourceType"), F.col("prio").alias("name"), F.col("st").alias("title"),
+        F.col("dt").alias("date"), F.col("cust").alias("publisher"),
+        F.when(k % 2 == 0, F.concat("prio", "st")).alias("description"),
+        coded(const("http://terminology.hl7.org/CodeSystem/library-type"), F.concat(F.lit("kind "), "st")).alias("type"),
+        listed(k % 3, 2, lambda i: F.struct(
+            F.struct(const("focus").alias("system"), const("in focus").alias("display")).alias("code"),
+            coded(const("http://snomed.info/sct"), F.concat(F.lit("s"), text(i))).alias("valueCodeableConcept"))
+        ).alias("useContext"),
+        F.array(coded(F.when(k % 4 == 0, "urn:iso:std:iso:3166"), const("US"))).alias("jurisdiction"),
+        listed(k % 4, 3, lambda i: F.struct(F.concat(F.lit("a"), text(3 - i)).alias("name"))).alias("author"),
+        listed(k % 3, 2, lambda i: F.struct(
+            pick(k + i, "documentation", "citation").alias("type"), F.concat(F.lit("r"), text(i)).alias("display"),
+            F.struct(F.concat(F.lit("http://"), text(i)).alias("url")).alias("document"))).alias("relatedArtifact"),
+    )
+    return mapped(kept(docs), "library")
+
+
+@query("d7_observation_rules", f"""
+SELECT id AS key, id, 'Observation' AS "resourceType", st AS "ACTIVE_STATUS", 'vital' AS category, prio AS observation,
+  dt AS "effectiveDateTime", CASE WHEN k % 2 = 0 THEN 'high' END AS interpretation, 'arm' AS "bodySite", c.v AS component,
+  CASE WHEN k % 3 = 2 THEN 'absent' END AS "Reason"
+FROM {_O} LEFT JOIN LATERAL (SELECT 'c' || CAST(i AS VARCHAR) AS v FROM ({_SEQ})) c ON TRUE""")
+def observation_rules(spark, sf):
+    k = F.col("k")
+    site = "http://terminology.hl7.org/CodeSystem"
+
+    def coded(*pairs):
+        return F.struct(F.array(*[F.struct(s.alias("system"), d.alias("display")) for s, d in pairs]).alias("coding"))
+
+    docs = _o(spark, sf).select(
+        "id", const("Observation").alias("resourceType"), F.col("st").alias("status"), F.col("dt").alias("effectiveDateTime"),
+        F.array(coded((const(f"{site}/observation-category"), const("vital")))).alias("category"),
+        coded((const("http://loinc.org"), F.col("prio")), (const("other"), const("x"))).alias("code"),
+        F.array(coded((F.when(k % 2 == 0, f"{site}/v3-ObservationInterpretation"), const("high")))).alias("interpretation"),
+        coded((const("http://snomed.info/sct"), const("arm"))).alias("bodySite"),
+        listed(k % 3, 2, lambda i: F.struct(
+            coded((const("http://loinc.org"), F.concat(F.lit("c"), text(i))), (const("z"), const("z"))).alias("code"),
+            coded((F.when(i == 1, f"{site}/data-absent-reason"), const("absent"))).alias("dataAbsentReason"))
+        ).alias("component"),
+    )
+    return mapped(kept(docs), "observation")
+
+
+@query("d8_service_levels", f"""
+SELECT 'HealthcareService' AS "resourceType", id, '1' AS "meta_versionId", dt AS "meta_lastUpdated", p.v AS meta_profile,
+  f.v AS "meta_Features", h.v AS meta_healthdata, e.u AS extension_url, c.s AS "extension_valueCodeableConcept_coding_system",
+  c.c AS "extension_valueCodeableConcept_coding_code", {NULL} AS "extension_valueCodeableConcept_coding_display"
+FROM {_O} LEFT JOIN LATERAL (SELECT 'p' || CAST(i AS VARCHAR) AS v FROM ({_SEQ})) p ON TRUE
+LEFT JOIN LATERAL (SELECT 'f' || CAST(i AS VARCHAR) AS v FROM (SELECT unnest(range(k % 4)) AS i)) f ON TRUE
+LEFT JOIN LATERAL (SELECT st AS v FROM (SELECT unnest(range(k % 2)) AS i)) h ON TRUE
+LEFT JOIN LATERAL (SELECT i, 'u' || CAST(i AS VARCHAR) AS u FROM (SELECT unnest(range(k % 3)) AS i)) e ON TRUE
+LEFT JOIN LATERAL (SELECT prio AS s, CAST(j AS VARCHAR) AS c FROM (SELECT unnest(range((k + e.i) % 3)) AS j)) c ON e.i IS NOT NULL""")
+def service_levels(spark, sf):
+    k = F.col("k")
+    docs = parsed(
+        _o(spark, sf), mappings.SERVICE_LEVEL_SCHEMA,
+        resourceType=const("HealthcareService"), id=F.col("id"),
+        meta=F.struct(
+            const("1").alias("versionId"), F.col("dt").alias("lastUpdated"),
+            listed(k % 3, 2, lambda i: F.concat(F.lit("p"), text(i))).alias("profile"),
+            listed(k % 4, 3, lambda i: F.concat(F.lit("f"), text(i))).alias("Features"),
+            listed(k % 2, 1, lambda i: F.col("st")).alias("healthdata")),
+        extension=listed(k % 3, 2, lambda i: F.struct(
+            F.concat(F.lit("u"), text(i)).alias("url"),
+            F.struct(listed((k + i) % 3, 2, lambda j: F.struct(F.col("prio").alias("system"), text(j).alias("code")))
+                     .alias("coding")).alias("valueCodeableConcept"))),
+    )
+    return level_flatten(docs, mappings.SERVICE_LEVELS)
+
+
+@query("d8_network_levels", """
+SELECT 'Network' AS "resourceType", CAST(c_custkey % 500 AS VARCHAR) AS id, c_name AS name, i.v AS identifier_value,
+  CAST(NULL AS VARCHAR) AS identifier_assigner_display, CAST(c_nationkey AS VARCHAR) AS "meta_versionId",
+  CAST(NULL AS VARCHAR) AS meta_profile, CAST(NULL AS VARCHAR) AS "partOf_reference",
+  CAST(NULL AS VARCHAR) AS text_status, CAST(NULL AS VARCHAR) AS text_div
+FROM customer LEFT JOIN LATERAL (
+  SELECT CASE WHEN (c_custkey + i) % 5 <> 0 THEN CAST(c_custkey % 50 AS VARCHAR) || '-' || CAST(i AS VARCHAR) END AS v
+  FROM (SELECT unnest(range(c_custkey % 4)) AS i)) i ON TRUE""")
+def network_levels(spark, sf):
+    return level_flatten(network_docs(spark, sf), mappings.NETWORK_LEVELS)
