@@ -1,10 +1,10 @@
 """From per-document section rows to the rows of an entity.
 
 Inside a document the sections are arrays of rows, laid side by side by position without
-a shuffle. What an entity needs across its documents (several files may carry one id and
-version) are its collapsed texts and the values that fill null cells: both are computed
-from distinct (entity, column, value) triples, so that copies of a document vanish before
-the shuffle and a large entity is spread over many tasks.
+a shuffle. Several files may carry one id and version; what such an entity needs across
+its documents are its collapsed texts and the values that fill null cells. Both come from
+distinct (entity, column, value) triples, so that copies of a document vanish before the
+shuffle and a large entity is spread over many tasks.
 """
 
 from __future__ import annotations
@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from flatspark.functions.scalars import printed_list
 from flatspark.operators.entity import attach
 from flatspark.plans.paths import quoted
+from flatspark.session import work_dir
+from flatspark.sources.sinks import materialize
 
 PAD = "_pad"
 
@@ -58,12 +60,39 @@ def distinct_values(values: Column) -> Column:
                                                   lambda v: v.isNotNull())))
 
 
+def struct_sql(fields: dict[str, str]) -> str:
+    """A struct as SQL text. A wide one is built much faster from text than field by field."""
+    return "struct(" + ", ".join(f"{sql} AS `{name}`" for name, sql in fields.items()) + ")"
+
+
+def null_struct(fields: list[str]) -> str:
+    return struct_sql({f: "CAST(NULL AS STRING)" for f in fields})
+
+
 def finish(docs: DataFrame, keys: dict[str, Column], layout: Layout, unique: bool = False) -> DataFrame:
     """The distinct, back-filled rows of every entity.
 
     ``unique`` promises that no two documents share the keys; then the whole job is one
-    narrow projection. Without the promise the entity's documents are brought together.
+    narrow projection. Without the promise the documents' rows are written once to the shared
+    folder and their keys are counted there: documents that are alone take the same narrow
+    projection, only the others are brought together.
     """
+    rows = _document_rows(docs, keys, layout)
+    names = list(keys)
+    if unique:
+        return _finish_in_row(rows, names, layout)
+    spark = docs.sparkSession
+    rows = materialize(rows, work_dir(spark, "entities"))
+    shared = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_docs")).where(F.col("_docs") > 1).drop("_docs")
+    if shared.isEmpty():
+        return _finish_in_row(rows, names, layout)
+    alone = attach(rows, shared, names, "left_anti")
+    together = attach(rows, shared, names, "left_semi")
+    return _finish_in_row(alone, names, layout).unionByName(_finish_by_entity(together, names, layout))
+
+
+def _document_rows(docs: DataFrame, keys: dict[str, Column], layout: Layout) -> DataFrame:
+    """Per document its keys, its aligned distinct rows, and its sorted text and combine values."""
     names = [f"_section{i}" for i in range(len(layout.sections))]
     aligned = docs.select(
         *[c.alias(k) for k, c in keys.items()],
@@ -72,36 +101,34 @@ def finish(docs: DataFrame, keys: dict[str, Column], layout: Layout, unique: boo
         *[distinct_values(c).alias(f"_combine_{n}") for n, c in layout.combine.items()],
     )
     columns = [(s, f) for s in names for f in aligned.schema[s].dataType.elementType.names if f != PAD]
-    rows = F.transform(
-        F.arrays_zip(*names),
-        lambda z: F.struct(*[z.getField(s).getField(f).alias(f) for s, f in columns]),
-    )
-    rest = [c for c in aligned.columns if c not in names]
-    docs_rows = aligned.select(*rest, F.array_distinct(rows).alias("_rows"))
-    cells = [f for _, f in columns]
-    make = _finish_in_row if unique else _finish_by_entity
-    return make(docs_rows, list(keys), cells, layout)
+    rows = F.expr(f"transform(arrays_zip({', '.join(names)}), z -> {struct_sql({f: f'z.{s}.`{f}`' for s, f in columns})})")
+    return aligned.select(*[c for c in aligned.columns if c not in names], F.array_distinct(rows).alias("_rows"))
 
 
-def _finish_in_row(df: DataFrame, keys: list[str], cells: list[str], layout: Layout) -> DataFrame:
-    nothing = F.struct(*[F.lit(None).cast("string").alias(c) for c in cells])
-    fills = F.aggregate(
-        "_rows", nothing, lambda a, r: F.struct(*[F.greatest(a[c], r[c]).alias(c) for c in cells])
-    )
-    df = df.withColumn("_fill", fills)
-    filled = F.transform(
-        "_rows", lambda r: F.struct(*[F.coalesce(r[c], F.col("_fill").getField(c)).alias(c) for c in cells])
-    )
+def _cells(df: DataFrame) -> list[str]:
+    return df.schema["_rows"].dataType.elementType.names
+
+
+# The generators below are the outer kind on purpose: for the inner kind the optimizer adds a
+# filter on the array's size and pushes it down, which works the whole array out twice.
+
+def _finish_in_row(df: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
+    cells = _cells(df)
+    greatest = struct_sql({c: f"greatest(a.`{c}`, r.`{c}`)" for c in cells})
+    df = df.withColumn("_fill", F.expr(f"aggregate(_rows, {null_struct(cells)}, (a, r) -> {greatest})"))
+    filled = F.expr(f"transform(_rows, r -> {struct_sql({c: f'coalesce(r.`{c}`, _fill.`{c}`)' for c in cells})})")
     texts = [t.printed(F.col(f"_text_{n}")).alias(n) for n, t in layout.texts.items()]
     df = df.select(*keys, *texts, *[f"_combine_{n}" for n in layout.combine],
-                   F.explode(F.array_distinct(filled)).alias("_row"))
+                   F.explode_outer(F.array_distinct(filled)).alias("_row"))
     for n in layout.combine:
         others = [F.col(quoted(c)) for c in df.columns if c != f"_combine_{n}"]
         df = df.select(*others, F.explode_outer(f"_combine_{n}").alias(n))
     return df.select(*keys, *[F.col("_row").getField(c).alias(c) for c in cells], *layout.combine, *layout.texts)
 
 
-def _finish_by_entity(df: DataFrame, keys: list[str], cells: list[str], layout: Layout) -> DataFrame:
+def _finish_by_entity(df: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
+    cells = _cells(df)
+
     def triples(name: str, values: Column) -> Column:
         return F.transform(values, lambda v: F.struct(F.lit(name).alias("_column"), v.alias("_value")))
 
@@ -109,7 +136,7 @@ def _finish_by_entity(df: DataFrame, keys: list[str], cells: list[str], layout:
         *[triples(c, distinct_values(F.col("_rows").getField(c))) for c in cells],
         *[triples(n, F.col(f"_text_{n}")) for n in layout.texts],
     )
-    known = df.select(*keys, F.inline(entries)).distinct()
+    known = df.select(*keys, F.inline_outer(entries)).distinct()
 
     def of(name: str) -> Column:
         return F.when(F.col("_column") == name, F.col("_value"))
@@ -118,7 +145,7 @@ def _finish_by_entity(df: DataFrame, keys: list[str], cells: list[str], layout:
         *[F.max(of(c)).alias(f"_fill_{c}") for c in cells],
         *[F.array_sort(F.collect_list(of(n))).alias(f"_all_{n}") for n in layout.texts],
     )
-    rows = df.select(*keys, F.inline("_rows")).distinct()
+    rows = df.select(*keys, F.inline_outer("_rows")).distinct()
     joined = attach(rows, facts, keys, "left")
     empty = F.array().cast("array<string>")
     out = joined.select(
@@ -127,6 +154,6 @@ def _finish_by_entity(df: DataFrame, keys: list[str], cells: list[str], layout:
         *[t.printed(F.coalesce(F.col(f"_all_{n}"), empty)).alias(n) for n, t in layout.texts.items()],
     ).distinct()
     for n in layout.combine:
-        values = df.select(*keys, F.explode(f"_combine_{n}").alias(n)).distinct()
+        values = df.select(*keys, F.explode_outer(f"_combine_{n}").alias(n)).where(F.col(n).isNotNull()).distinct()
         out = attach(out, values, keys, "left")
     return out.select(*keys, *cells, *layout.combine, *layout.texts)

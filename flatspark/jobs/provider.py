@@ -18,7 +18,16 @@ from flatspark.functions.scalars import (
     reference_id,
     yes_no,
 )
-from flatspark.jobs.finish import PAD, Layout, Texts, distinct_values, finish, first_value
+from flatspark.jobs.finish import (
+    PAD,
+    Layout,
+    Texts,
+    distinct_values,
+    finish,
+    first_value,
+    null_struct,
+    struct_sql,
+)
 from flatspark.operators.entity import attach, backfill, collapse, pair_in_element
 from flatspark.plans.paths import expanded_rows, outer_array, section_rows
 
@@ -152,7 +161,7 @@ def healthcare_service(docs: DataFrame, unique: bool = False) -> DataFrame:
         lambda c: c["code"],
     )
     keys = {**_keys(), "resourceType": F.col("resourceType")}
-    rows = docs.select(*[c.alias(k) for k, c in keys.items()], F.inline(flags), codes.alias("_codes"))
+    rows = docs.select(*[c.alias(k) for k, c in keys.items()], F.inline_outer(flags), codes.alias("_codes"))
     if unique:
         text = Texts(F.lit(None), empty_as_null=False).printed(distinct_values(F.col("_codes")))
         return rows.select("*", text.alias("PROV_CHRTC_CD")).drop("_codes")
@@ -446,19 +455,17 @@ def practitioner(docs: DataFrame, unique: bool = False) -> DataFrame:
     shown = [*name_fields, *TRAINING, "PROVIDER_MEDICAL_SCHOOL_YEAR"]
     hidden = [f"_{k}" for k in fields if k not in ("issuer", "end")]
     every = [*shown, *hidden]
+    # as a column of its own, so that the qualifications are not worked out again for every name
+    docs = docs.withColumn("_quals", quals)
+    quals = outer_array(F.col("_quals"), docs.schema["_quals"].dataType)
     docs = docs.withColumn("_quals", F.flatten(F.transform(names, lambda n: F.transform(quals, lambda r: wide(n, r)))))
 
     # state licences: one row per licence number, each column its first non-null value
     docs = docs.withColumn("_licences", F.filter("_quals", lambda r: r["_kind"] == STATE_LICENCE))
-    nothing = F.struct(*[F.lit(None).cast("string").alias(c) for c in every])
-    licences = F.transform(
-        F.array_distinct(F.transform("_licences", lambda r: r["_number"])),
-        lambda number: F.aggregate(
-            F.filter("_licences", lambda r: r["_number"].eqNullSafe(number)),
-            nothing,
-            lambda a, r: F.struct(*[F.coalesce(a[c], r[c]).alias(c) for c in every]),
-        ),
-    )
+    first = struct_sql({c: f"coalesce(a.{c}, r.{c})" for c in every})
+    licences = F.expr(f"""
+        transform(array_distinct(transform(_licences, r -> r._number)), number ->
+          aggregate(filter(_licences, r -> r._number <=> number), {null_struct(every)}, (a, r) -> {first}))""")
     others = F.filter("_quals", lambda r: (r["_kind"] != STATE_LICENCE) | r["_kind"].isNull())
     docs = docs.withColumn("_quals", F.concat(others, licences))
 

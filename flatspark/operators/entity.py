@@ -23,13 +23,15 @@ from flatspark.plans.paths import quoted
 def attach(df: DataFrame, extra: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join per-entity columns to rows on null-safe keys; ``extra`` columns replace equal names.
 
-    ``how`` is inner, left or outer.
+    ``how`` is inner, left, outer, left_semi or left_anti.
     """
     new = [c for c in extra.columns if c not in keys]
     rows = df.drop(*[c for c in new if c in df.columns])
     right = extra.select(*[F.col(quoted(k)).alias(f"_key_{k}") for k in keys], *[F.col(quoted(c)) for c in new])
     same = reduce(lambda a, b: a & b, [F.col(quoted(k)).eqNullSafe(F.col(quoted(f"_key_{k}"))) for k in keys])
     joined = rows.join(right, same, how)
+    if how in ("left_semi", "left_anti"):
+        return joined
 
     def key(k: str) -> Column:
         if how != "outer":

@@ -109,7 +109,8 @@ def leaf_paths(df: DataFrame, keep: list[str], skip: list[str] = ()) -> DataFram
     """
     lists = [_leaf_entries(p) for p in leaves(df.schema) if p.section not in skip]
     entries = F.filter(F.concat(*lists), lambda e: e["value"].isNotNull())
-    return df.select(*keep, F.inline(entries))
+    # outer, so that no filter on the array's size is pushed below and works it out twice
+    return df.select(*keep, F.inline_outer(entries)).where(F.col("path").isNotNull())
 
 
 def _leaf_entries(path: Path) -> Column:

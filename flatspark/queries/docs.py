@@ -14,6 +14,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table in at least as many partitions as there are cores.
+
+    A small table is one row group, hence one task, however much work a row makes. A table
+    that has enough partitions of its own is not shuffled.
+    """
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def text(col: Column) -> Column:
     return col.cast("string")
 
@@ -34,7 +45,7 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     contact: 0-3 elements, null for every fifth order. extension: 0-2 elements with 0-2 inner
     elements each. profile: 0-2 texts.
     """
-    o = table(spark, sf_dir, "orders")
+    o = spread_table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
 
     def contact(i: Column) -> Column:

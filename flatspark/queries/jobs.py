@@ -1,60 +1,64 @@
-"""The ready-made jobs on documents made from table rows.
+"""The ready-made jobs on documents made from table rows."""
 
-The documents go through JSON text, as they would arrive, so that fields a document does
-not have are null.
-"""
+from collections.abc import Callable
+from dataclasses import dataclass
 
+from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from flatspark.jobs import mappings, provider, schemas
 from flatspark.plans import level_flatten, map_documents
 from flatspark.queries import query
-from flatspark.queries.docs import counted, pick, table, text
+from flatspark.queries.docs import counted, pick, spread_table, text
 
 
-def parsed(rows, schema, **fields):
-    """Documents with a schema out of column expressions, by way of JSON text."""
-    doc = F.to_json(F.struct(*[c.alias(n) for n, c in fields.items()]))
-    return rows.select(F.from_json(doc, schema).alias("d")).select("d.*")
+@dataclass(frozen=True)
+class Many:
+    """``n`` array elements (at most ``most``), each made from its position."""
 
+    n: Column
+    most: int
+    element: Callable
 
-def const(value):
-    return F.lit(value)
 
+def fit(value, dtype: T.DataType) -> Column:
+    """A nested value as a column of a given type; what it does not have is null."""
+    if value is None or isinstance(value, str):
+        return F.lit(value).cast(dtype)
+    if isinstance(value, Column):
+        return value.cast(dtype)
+    if isinstance(value, Many):
+        return F.transform(counted(value.n, value.most), lambda i: fit(value.element(i), dtype.elementType))
+    if isinstance(value, list):
+        return F.array(*[fit(v, dtype.elementType) for v in value])
+    return F.struct(*[fit(value.get(f.name), f.dataType).alias(f.name) for f in dtype.fields])
 
-def concept(*codings):
-    """CodeableConcept of (system, code, display) columns."""
-    return F.struct(F.array(*[
-        F.struct(*[c.alias(n) for n, c in zip(("system", "code", "display"), coding)]) for coding in codings
-    ]).alias("coding"))
 
-
-def ref(kind, key):
-    return F.struct(F.concat(F.lit(f"{kind}/"), key).alias("reference"))
+def documents(rows, schema, **fields):
+    """One document per row."""
+    return rows.select(*[fit(fields.get(f.name), f.dataType).alias(f.name) for f in schema.fields])
 
 
-def meta(version, updated=None, profile=None):
-    parts = [version.alias("versionId")]
-    parts += [updated.alias("lastUpdated")] if updated is not None else []
-    return F.struct(*parts, *([profile.alias("profile")] if profile is not None else []))
+def concept(system=None, code=None, display=None):
+    return {"coding": [{"system": system, "code": code, "display": display}]}
 
 
-def listed(n, most, element):
-    return F.transform(counted(n, most), element)
+def ref(kind, key):
+    return {"reference": F.concat(F.lit(f"{kind}/"), key)}
 
 
 # ---------------------------------------------------------------- healthcare services, networks
 
 def service_docs(spark, sf):
     k = F.col("o_orderkey")
-    return parsed(
-        table(spark, sf, "orders"), schemas.HEALTHCARE_SERVICE,
-        id=text(F.col("o_custkey")), resourceType=const("HealthcareService"), meta=meta(text(k)),
-        category=listed(k % 3, 2, lambda i: concept(
-            (const("s"), const("c"), pick(k + i, "medicare", "translator", "disclaimer", "other")))),
-        type=listed(k % 4, 3, lambda i: concept(
-            (F.when((k + i) % 3 != 0, provider.CHARACTERISTIC).otherwise("other"), pick(k + i, "a", "b", "c", "d", "e"),
-             const("x")))),
+    return documents(
+        spread_table(spark, sf, "orders"), schemas.HEALTHCARE_SERVICE,
+        id=text(F.col("o_custkey")), resourceType="HealthcareService", meta={"versionId": text(k)},
+        category=Many(k % 3, 2, lambda i: concept(
+            display=pick(k + i, "medicare", "translator", "disclaimer", "other"))),
+        type=Many(k % 4, 3, lambda i: concept(
+            F.when((k + i) % 3 != 0, provider.CHARACTERISTIC).otherwise("other"), pick(k + i, "a", "b", "c", "d", "e"))),
     )
 
 
@@ -77,11 +81,11 @@ def healthcare_service(spark, sf):
 
 def network_docs(spark, sf):
     k = F.col("c_custkey")
-    return parsed(
-        table(spark, sf, "customer"), schemas.NETWORK,
-        id=text(k % 500), resourceType=const("Network"), name=F.col("c_name"), meta=meta(text(F.col("c_nationkey"))),
-        identifier=listed(k % 4, 3, lambda i: F.struct(
-            F.when((k + i) % 5 != 0, F.concat_ws("-", text(k % 50), text(i))).alias("value"))),
+    return documents(
+        spread_table(spark, sf, "customer"), schemas.NETWORK,
+        id=text(k % 500), resourceType="Network", name=F.col("c_name"), meta={"versionId": text(F.col("c_nationkey"))},
+        identifier=Many(k % 4, 3, lambda i: {
+            "value": F.when((k + i) % 5 != 0, F.concat_ws("-", text(k % 50), text(i)))}),
     )
 
 
@@ -101,26 +105,31 @@ def organization_docs(spark, sf):
     k = F.col("c_custkey")
 
     def inner(url, code):
-        return F.struct(const(url).alias("url"), F.struct(F.array(F.struct(code.alias("code"))).alias("coding"))
-                        .alias("valueCodeableConcept"))
-
-    return parsed(
-        table(spark, sf, "customer"), schemas.PROVIDER_ORGANIZATION,
-        id=text(k), resourceType=const("Organization"), name=F.col("c_name"),
-        meta=meta(const("1"), const("2024-01-01"), listed(k % 3, 2, lambda i: F.concat(
-            F.lit("http://example.org/profile/p"), text(i), F.lit("-"), "c_mktsegment", F.lit("-v1")))),
-        identifier=listed(k % 5, 4, lambda i: F.struct(
-            concept((const("s"), pick(k + i, "TAX", "NPI", "CCN", "PCRN", "PRN"), const("d"))).alias("type"),
-            F.when((k + i) % 7 == 0, provider.ORGANIZATION_MASTER).alias("system"),
-            F.concat_ws("-", text(k), text(i)).alias("value"),
-            F.struct(text(k % 9).alias("start")).alias("period"))),
-        telecom=listed(k % 4, 3, lambda i: F.struct(
-            pick(k + i, "phone", "fax", "other").alias("system"),
-            F.when((k + i) % 2 == 0, F.lit("work")).alias("use"), F.concat_ws("+", text(k), text(i)).alias("value"))),
-        extension=listed(k % 2, 1, lambda i: F.struct(F.array(
+        return {"url": url, "valueCodeableConcept": concept(code=code)}
+
+    return documents(
+        spread_table(spark, sf, "customer"), schemas.PROVIDER_ORGANIZATION,
+        id=text(k), resourceType="Organization", name=F.col("c_name"),
+        meta={
+            "versionId": "1", "lastUpdated": "2024-01-01",
+            "profile": Many(k % 3, 2, lambda i: F.concat(
+                F.lit("http://example.org/profile/p"), text(i), F.lit("-"), "c_mktsegment", F.lit("-v1"))),
+        },
+        identifier=Many(k % 5, 4, lambda i: {
+            "type": concept(code=pick(k + i, "TAX", "NPI", "CCN", "PCRN", "PRN")),
+            "system": F.when((k + i) % 7 == 0, provider.ORGANIZATION_MASTER),
+            "value": F.concat_ws("-", text(k), text(i)),
+            "period": {"start": text(k % 9)},
+        }),
+        telecom=Many(k % 4, 3, lambda i: {
+            "system": pick(k + i, "phone", "fax", "other"), "use": F.when((k + i) % 2 == 0, F.lit("work")),
+            "value": F.concat_ws("+", text(k), text(i)),
+        }),
+        extension=Many(k % 2, 1, lambda i: {"extension": [
             inner("recognizingEntity", F.when(k % 3 == 0, F.lit("00")).otherwise(F.concat(F.lit("E"), text(k % 5)))),
-            inner("recognitionValue", const("00")), inner("recognitionType", F.concat(F.lit("T"), text(k % 4))),
-        ).alias("extension"))),
+            inner("recognitionValue", "00"),
+            inner("recognitionType", F.concat(F.lit("T"), text(k % 4))),
+        ]}),
     )
 
 
@@ -165,52 +174,37 @@ def provider_organization(spark, sf):
 def affiliation_docs(spark, sf, schema, subject):
     k = F.col("o_orderkey")
     key = text(k)
-
-    def element(url, **values):
-        return F.struct(const(url).alias("url"), *[c.alias(n) for n, c in values.items()])
-
-    def tag(url, code):
-        return F.struct(const(url).alias("url"), concept((const("s"), code, const("d"))).alias("valueCodeableConcept"))
-
-    # each part has the full shape of an extension, so that they form one array
-    shape = schema["extension"].dataType.elementType
-
-    def part(c):
-        return F.from_json(F.to_json(c), shape)
-
-    networks = listed(k % 3, 2, lambda i: part(element(
-        provider.NETWORK_REF, valueReference=ref("Network", F.concat(F.lit("n"), text((k + i) % 5))))))
-    inner = F.array(part(element("inner", extension=F.array(
-        F.struct(const("acceptingPatients").alias("url"),
-                 concept((const("s"), pick(k, "yes", "no"), const("d"))).alias("valueCodeableConcept"),
-                 F.lit(None).cast("struct<value:string>").alias("valueIdentifier")),
-        F.struct(const("valueBasedProgramIdentifier").alias("url"),
-                 F.lit(None).cast("struct<coding:array<struct<system:string,code:string,display:string>>>")
-                 .alias("valueCodeableConcept"),
-                 F.struct(F.concat(F.lit("v"), text(k % 6)).alias("value")).alias("valueIdentifier"))))))
-    pair = F.when(k % 4 == 1, F.array(part(element("aff", extension=F.array(
-        part(tag("provAffType", pick(k, "FACILITY", "ADMITPRIV", "HCSYSTEM"))),
-        part(F.struct(const("provAffRef").alias("url"), ref("Organization", F.concat(F.lit("f"), key))
-                      .alias("valueReference")))))))).otherwise(F.array().cast(schema["extension"].dataType))
-    licensee = F.when(k % 2 == 0, F.array(part(element(
-        provider.LICENSEE_REF, valueReference=ref("Organization", F.concat(F.lit("lic"), key)))))).otherwise(
-        F.array().cast(schema["extension"].dataType))
-    extension = F.concat(networks, inner, pair, licensee)
-    return parsed(
-        table(spark, sf, "orders"), schema,
-        id=key, resourceType=const("Affiliation"), active=const("true"), meta=meta(text(k % 2), const("u")),
+    extensions = schema["extension"].dataType
+
+    def some(condition, *elements):
+        return F.when(condition, fit(list(elements), extensions)).otherwise(F.array().cast(extensions))
+
+    networks = Many(k % 3, 2, lambda i: {
+        "url": provider.NETWORK_REF, "valueReference": ref("Network", F.concat(F.lit("n"), text((k + i) % 5)))})
+    inner = {"url": "inner", "extension": [
+        {"url": "acceptingPatients", "valueCodeableConcept": concept(code=pick(k, "yes", "no"))},
+        {"url": "valueBasedProgramIdentifier", "valueIdentifier": {"value": F.concat(F.lit("v"), text(k % 6))}},
+    ]}
+    pair = {"url": "aff", "extension": [
+        {"url": "provAffType", "valueCodeableConcept": concept(code=pick(k, "FACILITY", "ADMITPRIV", "HCSYSTEM"))},
+        {"url": "provAffRef", "valueReference": ref("Organization", F.concat(F.lit("f"), key))},
+    ]}
+    licensee = {"url": provider.LICENSEE_REF, "valueReference": ref("Organization", F.concat(F.lit("lic"), key))}
+    return documents(
+        spread_table(spark, sf, "orders"), schema,
+        id=key, resourceType="Affiliation", active="true", meta={"versionId": text(k % 2), "lastUpdated": "u"},
         **{subject: ref("Organization", F.concat(F.lit("o"), text(F.col("o_custkey"))))},
-        period=F.struct(const("2020").alias("start")),
-        location=listed(k % 3, 2, lambda i: ref("Location", F.concat_ws("-", text(k % 11), text(i)))),
-        healthcareService=listed(k % 4, 3, lambda i: ref("HealthcareService", text(i))),
-        code=listed(k % 3, 2, lambda i: concept((
+        period={"start": "2020"},
+        location=Many(k % 3, 2, lambda i: ref("Location", F.concat_ws("-", text(k % 11), text(i)))),
+        healthcareService=Many(k % 4, 3, lambda i: ref("HealthcareService", text(i))),
+        code=Many(k % 3, 2, lambda i: concept(
             F.when((k + i) % 2 == 0, provider.ENTITY_TYPE).otherwise(provider.PROVIDER_TYPE),
-            F.concat(F.lit("c"), text(i)), F.concat(F.lit("d"), text(i))))),
-        specialty=listed(k % 4, 3, lambda i: concept((const(provider.TAXONOMY), pick(k + i, "x", "y"), const("d")))),
-        identifier=listed(k % 2, 1, lambda i: F.struct(
-            concept((const("s"), const("PEI"), const("d"))).alias("type"),
-            F.concat(F.lit("p?"), key).alias("value"))),
-        extension=extension,
+            F.concat(F.lit("c"), text(i)), F.concat(F.lit("d"), text(i)))),
+        specialty=Many(k % 4, 3, lambda i: concept(provider.TAXONOMY, pick(k + i, "x", "y"))),
+        identifier=Many(k % 2, 1, lambda i: {
+            "type": concept(code="PEI"), "value": F.concat(F.lit("p?"), key)}),
+        extension=F.concat(
+            fit(networks, extensions), fit([inner], extensions), some(k % 4 == 1, pair), some(k % 2 == 0, licensee)),
     )
 
 
@@ -286,58 +280,48 @@ def practitioner_role(spark, sf):
 
 def practitioner_docs(spark, sf):
     k = F.col("o_orderkey")
-    shape = schemas.PRACTITIONER["qualification"].dataType
-
-    def part(c):
-        return F.from_json(F.to_json(c), shape.elementType)
-
-    def inner(url, **values):
-        return F.struct(const(url).alias("url"), *[c.alias(n) for n, c in values.items()])
-
-    def licence(i):
-        extension = F.array(
-            F.struct(const("status").alias("url"), pick(k + i, "active", "expired").alias("valueCode"),
-                     F.lit(None).cast("struct<coding:array<struct<code:string>>>").alias("valueCodeableConcept")),
-            F.struct(const("state").alias("url"), F.lit(None).cast("string").alias("valueCode"),
-                     F.when(k % 5 != 0, F.struct(F.array(F.struct(pick(k, "TX", "NY").alias("code"))).alias("coding")))
-                     .alias("valueCodeableConcept")))
-        return part(F.struct(
-            F.struct(F.array(F.struct(const("MD").alias("code"))).alias("coding"),
-                     F.array(F.struct(extension.alias("extension"))).alias("extension")).alias("code"),
-            F.array(F.struct(const("stlcxx").alias("valueCode"))).alias("extension"),
-            F.array(F.struct(F.concat(F.lit("L"), text(k), F.lit("-"), text(i)).alias("value"))).alias("identifier")))
-
-    board = part(F.struct(
-        F.struct(F.array(F.struct(const(provider.TAXONOMY).alias("system"), const("T1").alias("code"))).alias("coding"),
-                 F.array(F.struct(F.when(k % 3 != 2, F.when(k % 3 == 0, "true").otherwise("false")).alias("valueBoolean")))
-                 .alias("extension")).alias("code"),
-        F.array(F.struct(const("boardcert").alias("valueCode"))).alias("extension")))
-    school = part(F.struct(
-        F.struct(F.array(F.struct(const("MEDSCHL").alias("code"))).alias("coding")).alias("code"),
-        ref("Organization", F.concat(F.lit("s"), text(k % 7))).alias("issuer"),
-        F.struct(const("1999").alias("end")).alias("period")))
-    none = F.array().cast(shape)
-    qualification = F.concat(
-        listed(k % 3, 2, licence), F.when(k % 2 == 0, F.array(board)).otherwise(none),
-        F.when(k % 4 == 0, F.array(school)).otherwise(none))
-    return parsed(
-        table(spark, sf, "orders"), schemas.PRACTITIONER,
-        id=text(k), resourceType=const("Practitioner"), gender=pick(k, "male", "female"), meta=meta(const("1"), const("u")),
-        name=F.array(F.struct(
-            F.col("o_orderpriority").alias("family"),
-            F.when(k % 3 == 0, F.array("o_orderstatus", F.lit("M"))).when(k % 3 == 1, F.array("o_orderstatus")).alias("given"),
-            F.array(F.lit("Dr")).alias("prefix"))),
-        qualification=qualification,
-        identifier=listed(k % 4, 3, lambda i: F.struct(
-            concept((const("s"), pick(k + i, "NPI", "PRN", "SS"), const("d"))).alias("type"),
-            F.concat_ws("-", text(k), text(i)).alias("value"))),
-        telecom=listed(k % 3, 2, lambda i: F.struct(
-            pick(k + i, "fax", "other").alias("system"), const("work").alias("use"), text(i).alias("value"))),
-        communication=listed(k % 3, 2, lambda i: concept((const(provider.LANGUAGE), pick(k + i, "en", "fr"), const("d")))),
-        extension=listed(k % 2, 1, lambda i: F.struct(F.array(F.struct(
-            const("recognitionValue").alias("url"),
-            F.struct(F.array(F.struct(text(k % 8).alias("code"))).alias("coding")).alias("valueCodeableConcept"),
-            F.struct(const("2020").alias("start")).alias("valuePeriod"))).alias("extension"))),
+    qualifications = schemas.PRACTITIONER["qualification"].dataType
+
+    def some(condition, element):
+        return F.when(condition, fit([element], qualifications)).otherwise(F.array().cast(qualifications))
+
+    licences = Many(k % 3, 2, lambda i: {
+        "code": {
+            "coding": [{"code": "MD"}],
+            "extension": [{"extension": [
+                {"url": "status", "valueCode": pick(k + i, "active", "expired")},
+                {"url": "state", "valueCodeableConcept": concept(code=F.when(k % 5 != 0, pick(k, "TX", "NY")))},
+            ]}],
+        },
+        "extension": [{"valueCode": "stlcxx"}],
+        "identifier": [{"value": F.concat(F.lit("L"), text(k), F.lit("-"), text(i))}],
+    })
+    board = {
+        "code": {
+            "coding": [{"system": provider.TAXONOMY, "code": "T1"}],
+            "extension": [{"valueBoolean": F.when(k % 3 != 2, F.when(k % 3 == 0, "true").otherwise("false"))}],
+        },
+        "extension": [{"valueCode": "boardcert"}],
+    }
+    school = {
+        "code": {"coding": [{"code": "MEDSCHL"}]},
+        "issuer": ref("Organization", F.concat(F.lit("s"), text(k % 7))), "period": {"end": "1999"},
+    }
+    given = F.when(k % 3 == 0, F.array("o_orderstatus", F.lit("M"))).when(k % 3 == 1, F.array("o_orderstatus"))
+    return documents(
+        spread_table(spark, sf, "orders"), schemas.PRACTITIONER,
+        id=text(k), resourceType="Practitioner", gender=pick(k, "male", "female"),
+        meta={"versionId": "1", "lastUpdated": "u"},
+        name=[{"family": F.col("o_orderpriority"), "given": given, "prefix": ["Dr"]}],
+        qualification=F.concat(
+            fit(licences, qualifications), some(k % 2 == 0, board), some(k % 4 == 0, school)),
+        identifier=Many(k % 4, 3, lambda i: {
+            "type": concept(code=pick(k + i, "NPI", "PRN", "SS")), "value": F.concat_ws("-", text(k), text(i))}),
+        telecom=Many(k % 3, 2, lambda i: {"system": pick(k + i, "fax", "other"), "use": "work", "value": text(i)}),
+        communication=Many(k % 3, 2, lambda i: concept(provider.LANGUAGE, pick(k + i, "en", "fr"))),
+        extension=Many(k % 2, 1, lambda i: {"extension": [{
+            "url": "recognitionValue", "valueCodeableConcept": concept(code=text(k % 8)),
+            "valuePeriod": {"start": "2020"}}]}),
     )
 
 
@@ -480,12 +464,48 @@ _O = """(SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS id, o_orderstatu
 
 
 def _o(spark, sf):
-    return table(spark, sf, "orders").select(
+    return spread_table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("k"), text(F.col("o_orderkey")).alias("id"), F.col("o_orderstatus").alias("st"),
         F.col("o_orderpriority").alias("prio"), text(F.col("o_orderdate").cast("date")).alias("dt"),
         text(F.col("o_custkey")).alias("cust"))
 
 
+# their schemas, as far as the rules look
+_TAGGED = schemas.obj("system", "value")
+_CONTACT = schemas.obj(telecom=schemas.many(_TAGGED))
+_CONCEPTS = schemas.many(schemas.CONCEPT)
+_PARTY = schemas.obj(identifier=_TAGGED)
+_PATIENT = schemas.obj(
+    "id", "resourceType", "active", "gender", "birthDate", meta=schemas.obj("versionId"),
+    _birthDate=schemas.obj(extension=schemas.many(schemas.obj("url", "valueDateTime"))),
+    identifier=schemas.many(schemas.obj("value", type=schemas.CONCEPT, period=schemas.PERIOD)),
+    contact=schemas.many(_CONTACT),
+)
+_COMMUNICATION = schemas.obj(
+    "id", "resourceType", "status", "sent", identifier=schemas.many(_TAGGED), category=_CONCEPTS,
+    subject=schemas.REFERENCE, about=schemas.many(_PARTY), recipient=schemas.many(_PARTY), sender=_PARTY,
+    payload=schemas.many(schemas.obj(contentAttachment=schemas.obj("contentType", "creation"))),
+)
+_TEXTED = schemas.obj("text", coding=schemas.many(schemas.obj("system", "code")))
+_DEVICE = schemas.obj(
+    "id", "resourceType", "manufacturer", "serialNumber", name=schemas.many(schemas.obj("type", "value")),
+    type=schemas.many(_TEXTED), version=schemas.many(schemas.obj("value", type=_TEXTED)),
+    conformsTo=schemas.many(schemas.obj(specification=_TEXTED)),
+    property=schemas.many(schemas.obj(type=_TEXTED, valueCodeableConcept=schemas.obj("text"))),
+)
+_LIBRARY = schemas.obj(
+    "id", "resourceType", "name", "title", "date", "publisher", "description", type=schemas.CONCEPT,
+    useContext=schemas.many(schemas.obj(code=schemas.obj("system", "display"), valueCodeableConcept=schemas.CONCEPT)),
+    jurisdiction=_CONCEPTS, author=schemas.many(schemas.obj("name")),
+    relatedArtifact=schemas.many(schemas.obj("type", "display", document=schemas.obj("url"))),
+)
+_OBSERVATION = schemas.obj(
+    "id", "resourceType", "status", "effectiveDateTime", category=_CONCEPTS, code=schemas.CONCEPT,
+    interpretation=_CONCEPTS, bodySite=schemas.CONCEPT,
+    component=schemas.many(schemas.obj(code=schemas.CONCEPT, dataAbsentReason=schemas.CONCEPT)),
+)
+
+
 _SEQ = "SELECT unnest(range(k % 3)) AS i"
 
 
@@ -502,19 +522,18 @@ _SEQ = "SELECT unnest(range(k % 3)) AS i"
                                 f"FROM ({_SEQ}))"))
 def patient_rules(spark, sf):
     k = F.col("k")
-    docs = _o(spark, sf).select(
-        "id", const("Patient").alias("resourceType"), meta(F.when(k % 4 != 0, text(k % 4))).alias("meta"),
-        (k % 2 == 0).alias("active"), F.col("st").alias("gender"), F.col("dt").alias("birthDate"),
-        F.struct(F.when(k % 5 == 0, F.array(F.struct(
-            const("http://hl7.org/fhir/StructureDefinition/patient-birthTime").alias("url"),
-            F.concat("dt", F.lit("T00")).alias("valueDateTime")))).alias("extension")).alias("_birthDate"),
-        listed(k % 3, 2, lambda i: F.struct(
-            F.struct(F.array(F.struct(pick(k + i, "MR", "XX").alias("code"))).alias("coding")).alias("type"),
-            F.concat("prio", text(i)).alias("value"), F.struct(F.col("dt").alias("start")).alias("period"))
-        ).alias("identifier"),
-        F.array(F.struct(listed(k % 3, 2, lambda i: F.struct(
-            pick(k + i, "phone", "email").alias("system"), F.concat("id", text(i)).alias("value"))
-        ).alias("telecom"))).alias("contact"),
+    docs = documents(
+        _o(spark, sf), _PATIENT,
+        id=F.col("id"), resourceType="Patient", meta={"versionId": F.when(k % 4 != 0, text(k % 4))},
+        active=k % 2 == 0, gender=F.col("st"), birthDate=F.col("dt"),
+        _birthDate={"extension": [{
+            "url": F.when(k % 5 == 0, "http://hl7.org/fhir/StructureDefinition/patient-birthTime"),
+            "valueDateTime": F.concat("dt", F.lit("T00"))}]},
+        identifier=Many(k % 3, 2, lambda i: {
+            "type": concept(code=pick(k + i, "MR", "XX")), "value": F.concat("prio", text(i)),
+            "period": {"start": F.col("dt")}}),
+        contact=[{"telecom": Many(k % 3, 2, lambda i: {
+            "system": pick(k + i, "phone", "email"), "value": F.concat("id", text(i))})}],
     )
     return mapped(kept(docs), "patient")
 
@@ -528,21 +547,22 @@ LEFT JOIN LATERAL (SELECT 't' || CAST(i AS VARCHAR) AS v FROM (SELECT unnest(ran
 def communication_rules(spark, sf):
     k = F.col("k")
 
-    def ident(system, value):
-        return F.struct(F.struct(const(system).alias("system"), value.alias("value")).alias("identifier"))
-
-    docs = _o(spark, sf).select(
-        "id", const("Communication").alias("resourceType"), F.col("st").alias("status"), F.col("dt").alias("sent"),
-        F.array(F.struct(F.when(k % 2 == 0, "http://www.providerco.com/communication").otherwise("x").alias("system"),
-                         F.col("prio").alias("value"))).alias("identifier"),
-        F.array(concept((F.when(k % 3 == 0, "http://acme.org/messagetypes"), const("cat"), const("d")))).alias("category"),
-        ref("Patient", F.col("cust")).alias("subject"),
-        listed(k % 3, 2, lambda i: ident("http://happyvalley.com/claim", F.concat_ws("-", "id", text(i)))).alias("about"),
-        F.array(ident("http://www.jurisdiction.com/insurer", F.col("cust"))).alias("recipient"),
-        ident("http://www.jurisdiction.com/provideroffices", F.col("cust")).alias("sender"),
-        listed(k % 4, 3, lambda i: F.struct(F.struct(
-            F.when(i == 1, "text/plain").otherwise("application/pdf").alias("contentType"),
-            F.concat(F.lit("t"), text(i)).alias("creation")).alias("contentAttachment"))).alias("payload"),
+    def party(system, value):
+        return {"identifier": {"system": system, "value": value}}
+
+    docs = documents(
+        _o(spark, sf), _COMMUNICATION,
+        id=F.col("id"), resourceType="Communication", status=F.col("st"), sent=F.col("dt"),
+        identifier=[{"system": F.when(k % 2 == 0, "http://www.providerco.com/communication").otherwise("x"),
+                     "value": F.col("prio")}],
+        category=[concept(F.when(k % 3 == 0, "http://acme.org/messagetypes"), "cat")],
+        subject=ref("Patient", F.col("cust")),
+        about=Many(k % 3, 2, lambda i: party("http://happyvalley.com/claim", F.concat_ws("-", "id", text(i)))),
+        recipient=[party("http://www.jurisdiction.com/insurer", F.col("cust"))],
+        sender=party("http://www.jurisdiction.com/provideroffices", F.col("cust")),
+        payload=Many(k % 4, 3, lambda i: {"contentAttachment": {
+            "contentType": F.when(i == 1, "text/plain").otherwise("application/pdf"),
+            "creation": F.concat(F.lit("t"), text(i))}}),
     )
     return mapped(kept(docs), "communication")
 
@@ -556,24 +576,20 @@ FROM {_O} LEFT JOIN LATERAL (SELECT DISTINCT 'p' || CAST((k + i) % 2 AS VARCHAR)
 def device_rules(spark, sf):
     k = F.col("k")
 
-    def coded(system, code):
-        return F.struct(F.array(F.struct(system.alias("system"), code.alias("code"))).alias("coding"))
-
-    docs = _o(spark, sf).select(
-        "id", const("Device").alias("resourceType"), F.col("st").alias("manufacturer"), F.col("prio").alias("serialNumber"),
-        F.array(F.struct(pick(k, "user-friendly-name", "model-name").alias("type"), F.col("cust").alias("value"))).alias("name"),
-        F.array(F.struct(
-            F.array(F.struct(pick(k, "65573", "1", "2").alias("code"))).alias("coding"),
-            F.concat(F.lit("type "), "st").alias("text"))).alias("type"),
-        listed(k % 3, 2, lambda i: F.struct(
-            coded(const("urn:iso:std:iso:11073:10101"), const("c")).alias("type"),
-            F.concat(F.lit("v"), text(i)).alias("value"))).alias("version"),
-        F.array(F.struct(F.struct(
-            F.array(F.struct(F.when(k % 5 != 0, "528391").alias("code"))).alias("coding"),
-            F.lit("spec").alias("text")).alias("specification"))).alias("conformsTo"),
-        listed(k % 4, 3, lambda i: F.struct(
-            coded(const("http://terminology.hl7.org/CodeSystem/ASN1ToHL7"), const("c")).alias("type"),
-            F.struct(F.concat(F.lit("p"), text((k + i) % 2)).alias("text")).alias("valueCodeableConcept"))).alias("property"),
+    def texted(system=None, code=None, shown=None):
+        return {"coding": [{"system": system, "code": code}], "text": shown}
+
+    docs = documents(
+        _o(spark, sf), _DEVICE,
+        id=F.col("id"), resourceType="Device", manufacturer=F.col("st"), serialNumber=F.col("prio"),
+        name=[{"type": pick(k, "user-friendly-name", "model-name"), "value": F.col("cust")}],
+        type=[texted(code=pick(k, "65573", "1", "2"), shown=F.concat(F.lit("type "), "st"))],
+        version=Many(k % 3, 2, lambda i: {
+            "type": texted("urn:iso:std:iso:11073:10101"), "value": F.concat(F.lit("v"), text(i))}),
+        conformsTo=[{"specification": texted(code=F.when(k % 5 != 0, "528391"), shown="spec")}],
+        property=Many(k % 4, 3, lambda i: {
+            "type": texted("http://terminology.hl7.org/CodeSystem/ASN1ToHL7"),
+            "valueCodeableConcept": {"text": F.concat(F.lit("p"), text((k + i) % 2))}}),
     )
     return mapped(kept(docs), "device")
 
@@ -588,24 +604,19 @@ def device_rules(spark, sf):
     relatedArtifact_links=agg("'http://' || CAST(i AS VARCHAR)", _SEQ, "(k + i) % 2 = 0")))
 def library_rules(spark, sf):
     k = F.col("k")
-
-    def coded(system, display):
-        return F.struct(F.array(F.struct(system.alias("system"), display.alias("display"))).alias("coding"))
-
-    docs = _o(spark, sf).select(
-        "id", const("Library").alias("resourceType"), F.col("prio").alias("name"), F.col("st").alias("title"),
-        F.col("dt").alias("date"), F.col("cust").alias("publisher"),
-        F.when(k % 2 == 0, F.concat("prio", "st")).alias("description"),
-        coded(const("http://terminology.hl7.org/CodeSystem/library-type"), F.concat(F.lit("kind "), "st")).alias("type"),
-        listed(k % 3, 2, lambda i: F.struct(
-            F.struct(const("focus").alias("system"), const("in focus").alias("display")).alias("code"),
-            coded(const("http://snomed.info/sct"), F.concat(F.lit("s"), text(i))).alias("valueCodeableConcept"))
-        ).alias("useContext"),
-        F.array(coded(F.when(k % 4 == 0, "urn:iso:std:iso:3166"), const("US"))).alias("jurisdiction"),
-        listed(k % 4, 3, lambda i: F.struct(F.concat(F.lit("a"), text(3 - i)).alias("name"))).alias("author"),
-        listed(k % 3, 2, lambda i: F.struct(
-            pick(k + i, "documentation", "citation").alias("type"), F.concat(F.lit("r"), text(i)).alias("display"),
-            F.struct(F.concat(F.lit("http://"), text(i)).alias("url")).alias("document"))).alias("relatedArtifact"),
+    docs = documents(
+        _o(spark, sf), _LIBRARY,
+        id=F.col("id"), resourceType="Library", name=F.col("prio"), title=F.col("st"), date=F.col("dt"),
+        publisher=F.col("cust"), description=F.when(k % 2 == 0, F.concat("prio", "st")),
+        type=concept("http://terminology.hl7.org/CodeSystem/library-type", display=F.concat(F.lit("kind "), "st")),
+        useContext=Many(k % 3, 2, lambda i: {
+            "code": {"system": "focus", "display": "in focus"},
+            "valueCodeableConcept": concept("http://snomed.info/sct", display=F.concat(F.lit("s"), text(i)))}),
+        jurisdiction=[concept(F.when(k % 4 == 0, "urn:iso:std:iso:3166"), display="US")],
+        author=Many(k % 4, 3, lambda i: {"name": F.concat(F.lit("a"), text(3 - i))}),
+        relatedArtifact=Many(k % 3, 2, lambda i: {
+            "type": pick(k + i, "documentation", "citation"), "display": F.concat(F.lit("r"), text(i)),
+            "document": {"url": F.concat(F.lit("http://"), text(i))}}),
     )
     return mapped(kept(docs), "library")
 
@@ -618,20 +629,17 @@ FROM {_O} LEFT JOIN LATERAL (SELECT 'c' || CAST(i AS VARCHAR) AS v FROM ({_SEQ})
 def observation_rules(spark, sf):
     k = F.col("k")
     site = "http://terminology.hl7.org/CodeSystem"
-
-    def coded(*pairs):
-        return F.struct(F.array(*[F.struct(s.alias("system"), d.alias("display")) for s, d in pairs]).alias("coding"))
-
-    docs = _o(spark, sf).select(
-        "id", const("Observation").alias("resourceType"), F.col("st").alias("status"), F.col("dt").alias("effectiveDateTime"),
-        F.array(coded((const(f"{site}/observation-category"), const("vital")))).alias("category"),
-        coded((const("http://loinc.org"), F.col("prio")), (const("other"), const("x"))).alias("code"),
-        F.array(coded((F.when(k % 2 == 0, f"{site}/v3-ObservationInterpretation"), const("high")))).alias("interpretation"),
-        coded((const("http://snomed.info/sct"), const("arm"))).alias("bodySite"),
-        listed(k % 3, 2, lambda i: F.struct(
-            coded((const("http://loinc.org"), F.concat(F.lit("c"), text(i))), (const("z"), const("z"))).alias("code"),
-            coded((F.when(i == 1, f"{site}/data-absent-reason"), const("absent"))).alias("dataAbsentReason"))
-        ).alias("component"),
+    docs = documents(
+        _o(spark, sf), _OBSERVATION,
+        id=F.col("id"), resourceType="Observation", status=F.col("st"), effectiveDateTime=F.col("dt"),
+        category=[concept(f"{site}/observation-category", display="vital")],
+        code={"coding": [{"system": "http://loinc.org", "display": F.col("prio")}, {"system": "other", "display": "x"}]},
+        interpretation=[concept(F.when(k % 2 == 0, f"{site}/v3-ObservationInterpretation"), display="high")],
+        bodySite=concept("http://snomed.info/sct", display="arm"),
+        component=Many(k % 3, 2, lambda i: {
+            "code": {"coding": [{"system": "http://loinc.org", "display": F.concat(F.lit("c"), text(i))},
+                                {"system": "z", "display": "z"}]},
+            "dataAbsentReason": concept(F.when(i == 1, f"{site}/data-absent-reason"), display="absent")}),
     )
     return mapped(kept(docs), "observation")
 
@@ -647,18 +655,18 @@ LEFT JOIN LATERAL (SELECT i, 'u' || CAST(i AS VARCHAR) AS u FROM (SELECT unnest(
 LEFT JOIN LATERAL (SELECT prio AS s, CAST(j AS VARCHAR) AS c FROM (SELECT unnest(range((k + e.i) % 3)) AS j)) c ON e.i IS NOT NULL""")
 def service_levels(spark, sf):
     k = F.col("k")
-    docs = parsed(
+    docs = documents(
         _o(spark, sf), mappings.SERVICE_LEVEL_SCHEMA,
-        resourceType=const("HealthcareService"), id=F.col("id"),
-        meta=F.struct(
-            const("1").alias("versionId"), F.col("dt").alias("lastUpdated"),
-            listed(k % 3, 2, lambda i: F.concat(F.lit("p"), text(i))).alias("profile"),
-            listed(k % 4, 3, lambda i: F.concat(F.lit("f"), text(i))).alias("Features"),
-            listed(k % 2, 1, lambda i: F.col("st")).alias("healthdata")),
-        extension=listed(k % 3, 2, lambda i: F.struct(
-            F.concat(F.lit("u"), text(i)).alias("url"),
-            F.struct(listed((k + i) % 3, 2, lambda j: F.struct(F.col("prio").alias("system"), text(j).alias("code")))
-                     .alias("coding")).alias("valueCodeableConcept"))),
+        resourceType="HealthcareService", id=F.col("id"),
+        meta={
+            "versionId": "1", "lastUpdated": F.col("dt"),
+            "profile": Many(k % 3, 2, lambda i: F.concat(F.lit("p"), text(i))),
+            "Features": Many(k % 4, 3, lambda i: F.concat(F.lit("f"), text(i))),
+            "healthdata": Many(k % 2, 1, lambda i: F.col("st")),
+        },
+        extension=Many(k % 3, 2, lambda i: {
+            "url": F.concat(F.lit("u"), text(i)),
+            "valueCodeableConcept": {"coding": Many((k + i) % 3, 2, lambda j: {"system": F.col("prio"), "code": text(j)})}}),
     )
     return level_flatten(docs, mappings.SERVICE_LEVELS)
 
