@@ -19,6 +19,10 @@ SETTINGS = {
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
 }
 
+# Settings worth having when a session is started. Without a call site per column
+# expression the plans of the wide jobs are built in half the time.
+LAUNCH_SETTINGS = {"spark.python.sql.dataFrameDebugging.enabled": "false"}
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the package's SQL settings to a running session."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatspark.functions.scalars import partition_date
+from flatspark.plans.paths import quoted
 from flatspark.plans.rules import JSON_INVALID, JSON_TOO_LARGE
 
 CORRUPT = "_corrupt_record"
@@ -113,7 +114,7 @@ def split_corrupt(
     Text that is not JSON has code 1001. With ``max_chars``, a longer text has code 1002 and
     is not parsed. The texts are read once more for each of the two frames; nothing is cached.
     """
-    texts = spark.read.option("wholetext", one_per_file).text(path)
+    texts = spark.read.text(path, wholetext=one_per_file)
     texts = texts.select("value", F.col("_metadata.file_path").alias("file_path"))
     texts = texts.where(F.length(F.trim("value")) > 0)
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
@@ -121,13 +122,14 @@ def split_corrupt(
     parsed = F.from_json(
         F.when(~too_large, F.col("value")), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     )
-    checked = texts.withColumn("doc", parsed).select(
-        F.when(too_large, JSON_TOO_LARGE)
-        .when(F.col(f"doc.{CORRUPT}").isNotNull(), JSON_INVALID)
-        .alias("code"),
-        "file_path", "value", "doc",
+    # a generator between parsing and the filters below, so that a text is parsed once
+    checked = texts.select(
+        F.col("value").alias("_value"), F.col("file_path").alias("_file"), F.inline_outer(F.array(parsed))
+    )
+    too_large = F.length("_value") > max_chars if max_chars else F.lit(False)
+    code = F.when(too_large, JSON_TOO_LARGE).when(F.col(CORRUPT).isNotNull(), JSON_INVALID)
+    good = checked.where(code.isNull()).select(*[F.col(quoted(n)) for n in schema.names])
+    bad = checked.where(code.isNotNull()).select(
+        code.alias("code"), F.col("_file").alias("file_path"), F.col("_value").alias("value")
     )
-    good = checked.where(F.col("code").isNull()).select(*[F.col(f"doc.`{n}`") for n in schema.names])
-    bad = checked.where(F.col("code").isNotNull()).select("code", "file_path", "value")
     return good, bad
-

@@ -6,7 +6,7 @@ from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from flatspark import configure  # noqa: E402
+from flatspark import LAUNCH_SETTINGS, configure  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -14,6 +14,7 @@ def spark(tmp_path_factory):
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
+        .config(map=LAUNCH_SETTINGS)
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.default.parallelism", "4")
         .config("spark.ui.enabled", "false")
