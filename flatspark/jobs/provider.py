@@ -28,7 +28,7 @@ from flatspark.jobs.finish import (
     null_struct,
     struct_sql,
 )
-from flatspark.operators.entity import attach, backfill, collapse, pair_in_element
+from flatspark.operators.entity import attach, backfill, batch_flags, collapse, pair_in_element
 from flatspark.plans.paths import expanded_rows, outer_array, section_rows
 
 # Code systems, extension names and codes that occur in the documents.
@@ -241,21 +241,17 @@ def provider_organization(docs: DataFrame, unique: bool = False) -> DataFrame:
             F.array(_recognition(F.coalesce(inner, F.array()))), blank_length=BLANK_RECOGNITION
         ),
     }
-    # whether any document of the batch has a code other than 00
     def other(url: str) -> Column:
+        """Whether a document has a code other than 00; the flags are about the whole batch."""
         return F.exists(_codes(F.coalesce(inner, F.array()), url), lambda c: c != "00")
 
-    seen = docs.agg(
-        F.max(other("recognizingEntity")).alias("entity"), F.max(other("recognitionValue")).alias("value")
-    )
-    flags = seen.select(
-        F.struct(yes_no(F.col("entity")).alias("entity"), yes_no(F.col("value")).alias("value")).alias("flags")
-    ).scalar()
-    return finish(docs, _keys(), Layout([rows], texts), unique).select(
-        "*",
-        flags["entity"].alias("PROV_HQM_DATA_AVL_IND"),
-        flags["value"].alias("PROV_BDTC_IND"),
-        flags["value"].alias("PROV_RCGNTN_QLTY_DATA_AVL_IND"),
+    rows_of_all = finish(docs, _keys(), Layout([rows], texts), unique)
+    flagged = {
+        "PROV_HQM_DATA_AVL_IND": other("recognizingEntity"),
+        "PROV_BDTC_IND": other("recognitionValue"),
+    }
+    return batch_flags(docs, flagged, into=rows_of_all).withColumn(
+        "PROV_RCGNTN_QLTY_DATA_AVL_IND", F.col("PROV_BDTC_IND")
     )
 
 

@@ -1,7 +1,7 @@
 from flatspark.operators.entity import (
     attach,
     backfill,
-    batch_flag,
+    batch_flags,
     collapse,
     first_non_null,
     many_to_many,
@@ -38,7 +38,7 @@ __all__ = [
     "align_sections",
     "attach",
     "backfill",
-    "batch_flag",
+    "batch_flags",
     "child_table",
     "child_tables",
     "collapse",

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from flatspark.functions.scalars import printed_list
+from flatspark.functions.scalars import printed_list, yes_no
 from flatspark.operators.project import union_by_name
 from flatspark.plans.paths import quoted
 
@@ -106,10 +106,14 @@ def first_non_null(df: DataFrame, keys: list[str], columns: list[str], order: li
     return df.groupBy(*keys).agg(*[first(c) for c in columns])
 
 
-def batch_flag(df: DataFrame, name: str, condition: Column) -> DataFrame:
-    """``Y`` on every row if the condition holds on any row of the batch, else ``N``."""
-    flag = df.agg(F.when(F.max(F.when(condition, 1)) == 1, "Y").otherwise("N").alias(name))
-    return df.withColumn(name, flag.scalar())
+def batch_flags(df: DataFrame, conditions: dict[str, Column], into: DataFrame | None = None) -> DataFrame:
+    """Per condition a column that is ``Y`` on every row if any row of the batch meets it, else ``N``.
+
+    One aggregation over ``df``, whose single row is a scalar for the rows of ``into`` (or ``df``).
+    """
+    seen = df.agg(*[F.max(c).alias(n) for n, c in conditions.items()])
+    flags = seen.select(F.struct(*[yes_no(F.col(quoted(n))).alias(n) for n in conditions]).alias("flags")).scalar()
+    return (df if into is None else into).select("*", *[flags.getField(n).alias(n) for n in conditions])
 
 
 # ---------------------------------------------------------------- numbering, alignment, back-fill
@@ -123,18 +127,27 @@ def number_rows(
     order column). With it rows are numbered per (entity, chunk) and shifted by the count of
     the entity's earlier chunks, so that a large entity is spread over many tasks.
     """
-    by = [F.col(quoted(o)) for o in order]
+    by = [F.col(quoted(o)) for o in order if o not in keys]
     if chunk is None:
         return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
-    rows = df.withColumn("_chunk", chunk)
-    cut = [*keys, "_chunk"]
-    sizes = rows.groupBy(*cut).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(*keys).orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    shifts = sizes.select(*cut, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    local = rows.withColumn("_local", F.row_number().over(Window.partitionBy(*cut).orderBy(*by)))
-    out = attach(local, shifts, cut, "inner")
-    return out.select(
-        *[F.col(quoted(c)) for c in df.columns], (F.col("_shift") + F.col("_local")).cast("int").alias(name)
+    # one struct key for counting, numbering and joining: they share one shuffle of the rows,
+    # and null keys meet because the struct itself is never null
+    rest = [c for c in df.columns if c not in keys]
+    rows = df.select(
+        F.struct(*[F.col(quoted(k)) for k in keys], chunk.alias("_chunk")).alias("_cut"),
+        *[F.col(quoted(c)) for c in rest],
+    )
+    sizes = rows.groupBy("_cut").agg(F.count(F.lit(1)).alias("_n"))
+    before = (
+        Window.partitionBy(*[F.col("_cut").getField(k) for k in keys])
+        .orderBy("_cut._chunk")
+        .rowsBetween(Window.unboundedPreceding, -1)
+    )
+    shifts = sizes.select(F.col("_cut").alias("_at"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
+    local = rows.withColumn("_local", F.row_number().over(Window.partitionBy("_cut").orderBy(*by)))
+    return local.join(shifts, F.col("_cut") == F.col("_at")).select(
+        *[F.col("_cut").getField(c).alias(c) if c in keys else F.col(quoted(c)) for c in df.columns],
+        (F.col("_shift") + F.col("_local")).cast("int").alias(name),
     )
 
 

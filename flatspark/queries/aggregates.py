@@ -6,7 +6,7 @@ from flatspark.functions import joined_record
 from flatspark.operators import (
     attach,
     backfill,
-    batch_flag,
+    batch_flags,
     collapse,
     first_non_null,
     many_to_many,
@@ -81,8 +81,9 @@ SELECT event_id, CASE WHEN (SELECT count(*) FROM events WHERE event_type = 'erro
 FROM events""")
 def batch_wide(spark, sf):
     e = table(spark, sf, "events").select("event_id", "event_type", "value")
-    e = batch_flag(e, "has_big_error", (F.col("event_type") == "error") & (F.col("value") > 60))
-    e = batch_flag(e, "has_refund", F.col("event_type") == "refund")
+    kind = F.col("event_type")
+    conditions = {"has_big_error": (kind == "error") & (F.col("value") > 60), "has_refund": kind == "refund"}
+    e = batch_flags(e, conditions)
     return e.select("event_id", "has_big_error", "has_refund")
 
 

@@ -18,7 +18,7 @@ from flatspark.operators import (
     align_sections,
     attach,
     backfill,
-    batch_flag,
+    batch_flags,
     child_tables,
     collapse,
     explode_siblings,
@@ -264,9 +264,11 @@ def test_many_to_many(entity_rows):
 
 def test_batch_flag_is_a_scalar(spark):
     df = spark.range(10)
-    yes, no = (batch_flag(df, "f", F.col("id") > n) for n in (8, 9))
-    assert {r.f for r in yes.collect()} == {"Y"} and {r.f for r in no.collect()} == {"N"}
-    assert "Cartesian" not in plan(yes) and "NestedLoop" not in plan(yes)
+    flagged = batch_flags(df, {"some": F.col("id") > 8, "none": F.col("id") > 9, "null": F.lit(None) == 1})
+    assert {(r.some, r.none, r.null) for r in flagged.collect()} == {("Y", "N", "N")}
+    assert "Cartesian" not in plan(flagged) and "NestedLoop" not in plan(flagged)
+    empty = df.where("id < 0")
+    assert {r.f for r in batch_flags(empty, {"f": F.lit(True)}, into=df).collect()} == {"N"}
 
 
 def test_a_hot_entity_is_spread_and_whole(spark):
