@@ -23,25 +23,26 @@ from flatspark.plans.paths import quoted
 def attach(df: DataFrame, extra: DataFrame, keys: list[str], how: str = "left") -> DataFrame:
     """Join per-entity columns to rows on null-safe keys; ``extra`` columns replace equal names.
 
-    ``how`` is inner, left, outer, left_semi or left_anti.
+    ``how`` is inner, left, outer, left_semi or left_anti. An outer join is a left join and
+    the entities of ``extra`` that have no row: unlike a full outer join, the runtime can
+    split both where an entity is large.
     """
     new = [c for c in extra.columns if c not in keys]
     rows = df.drop(*[c for c in new if c in df.columns])
     right = extra.select(*[F.col(quoted(k)).alias(f"_key_{k}") for k in keys], *[F.col(quoted(c)) for c in new])
-    same = reduce(lambda a, b: a & b, [F.col(quoted(k)).eqNullSafe(F.col(quoted(f"_key_{k}"))) for k in keys])
-    joined = rows.join(right, same, how)
+    joined = rows.join(right, _same_keys(keys), "left" if how == "outer" else how)
     if how in ("left_semi", "left_anti"):
         return joined
+    joined = joined.select(*[F.col(quoted(c)) for c in [*rows.columns, *new]])
+    if how != "outer":
+        return joined
+    known = df.select(*[F.col(quoted(k)).alias(f"_key_{k}") for k in keys]).distinct()
+    unmatched = extra.join(known, _same_keys(keys), "left_anti")
+    return joined.unionByName(unmatched, allowMissingColumns=True)
 
-    def key(k: str) -> Column:
-        if how != "outer":
-            return F.col(quoted(k))
-        return F.coalesce(F.col(quoted(k)), F.col(quoted(f"_key_{k}"))).alias(k)
 
-    return joined.select(
-        *[key(c) if c in keys else F.col(quoted(c)) for c in rows.columns],
-        *[F.col(quoted(c)) for c in new],
-    )
+def _same_keys(keys: list[str]) -> Column:
+    return reduce(lambda a, b: a & b, [F.col(quoted(k)).eqNullSafe(F.col(quoted(f"_key_{k}"))) for k in keys])
 
 
 def pair_in_element(elements: Column, tag, first: str, second: str, first_value, second_value) -> Column:

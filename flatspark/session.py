@@ -16,7 +16,7 @@ SETTINGS = {
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.session.timeZone": "UTC",
     # collect_set over many keys: stay with hashing longer before sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
+    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 # Settings worth having when a session is started. Without a call site per column

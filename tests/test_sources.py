@@ -154,6 +154,25 @@ def test_incremental_runs(spark, tmp_path):
     assert logged.count() == 4 and logged.where("had_data = 'false'").count() == 1
 
 
+def test_incremental_run_registers_partitions(spark, tmp_path):
+    source, out, log = (str(tmp_path / n) for n in ("in", "out", "log"))
+    save(f"{source}/year=2024/month=01/day=01/hour=05", "1.json", network("1"))
+    parts = "year STRING, month STRING, day STRING, hour STRING"
+    spark.sql(f"CREATE TABLE raw_net (id STRING, {parts}) USING json PARTITIONED BY (year, month, day, hour) "
+              f"LOCATION '{source}'")
+    spark.sql("CREATE TABLE flat_net (id STRING, versionId STRING, resourceType STRING, NETWORK_CD STRING, "
+              f"NETWORK_NM STRING, {parts}) USING parquet PARTITIONED BY (year, month, day, hour) LOCATION '{out}'")
+    job = Job("net", schemas.NETWORK, provider.network, source, out, log, hourly=True,
+              raw_table="raw_net", flat_table="flat_net")
+    run_once(spark, job, after=Mark("2024-01-01", "04"), now=datetime(2024, 1, 2))
+    for table in ("raw_net", "flat_net"):
+        shown = [r.partition for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+        assert shown == ["year=2024/month=01/day=01/hour=05"]
+    assert spark.table("flat_net").count() == 2
+    spark.sql("DROP TABLE raw_net")
+    spark.sql("DROP TABLE flat_net")
+
+
 # ---------------------------------------------------------------- stream
 
 def test_stream_maps_new_documents_once_and_archives(spark, tmp_path):
