@@ -1,0 +1,26 @@
+from flatspark.jobs.batch import flatten_folder, map_folder
+from flatspark.jobs.incremental import Job, Outcome, run_once
+from flatspark.jobs.provider import (
+    healthcare_service,
+    masked,
+    network,
+    organization_affiliation,
+    practitioner,
+    practitioner_role,
+    provider_organization,
+)
+
+__all__ = [
+    "Job",
+    "Outcome",
+    "flatten_folder",
+    "healthcare_service",
+    "map_folder",
+    "masked",
+    "network",
+    "organization_affiliation",
+    "practitioner",
+    "practitioner_role",
+    "provider_organization",
+    "run_once",
+]

@@ -55,10 +55,19 @@ def read_folder(spark: SparkSession, path: str, schema: T.StructType, **options)
     return read_documents(spark, path, schema, pattern="*.json", recursive=True, **options)
 
 
-def infer_schema(spark: SparkSession, path: str, *, one_per_file: bool = True, ratio: float = 1.0) -> T.StructType:
-    """The union schema of a folder, leaves as text. One pass over the files: keep the result."""
-    found = spark.read.option("multiLine", one_per_file).option("samplingRatio", ratio).json(path).schema
-    return text_leaves(found)
+def infer_schema(
+    spark: SparkSession,
+    path: str,
+    *,
+    one_per_file: bool = True,
+    recursive: bool = False,
+    ratio: float = 1.0,
+) -> T.StructType:
+    """The union schema of a folder, leaves as text. It costs a pass over the files: keep the result."""
+    reader = spark.read.option("multiLine", one_per_file).option("samplingRatio", ratio)
+    if recursive:
+        reader = reader.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+    return text_leaves(reader.json(path).schema)
 
 
 @dataclass(frozen=True)

@@ -198,6 +198,12 @@ def test_copies_of_a_document_change_nothing(json_docs):
     same_rows(P.organization_affiliation(copies), P.organization_affiliation(df))
 
 
+def test_order_and_partitioning_of_documents_do_not_matter(json_docs):
+    docs = [{**PRACTITIONER, "id": str(i % 3), "telecom": PRACTITIONER["telecom"] * (i % 2)} for i in range(8)]
+    one, other = (json_docs(d, S.PRACTITIONER).repartition(n) for d, n in ((docs, 1), (docs[::-1], 5)))
+    same_rows(P.practitioner(one), P.practitioner(other))
+
+
 def test_documents_of_one_entity_share_texts_and_fills(json_docs):
     a = {"id": "1", "resourceType": "P", "meta": {"versionId": "1"}, "telecom": [{"system": "fax", "value": "f1"}],
          "identifier": [{"value": "i1", "type": coding(code="NPI")}]}

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from flatspark import work_dir
 from flatspark.jobs import provider, schemas
 from flatspark.jobs.incremental import Job, run_once
+from flatspark.jobs.batch import flatten_folder, map_folder
 from flatspark.jobs.schemas import many, obj
+from flatspark.plans import LevelSpec
 from flatspark.sources import (
     FuturePartition,
     Mark,
@@ -104,6 +106,32 @@ def test_work_dir_uses_the_shared_folder(spark):
     assert work_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
 
 
+def test_map_folder(spark, tmp_path):
+    for i in (1, 2):
+        save(tmp_path / "in" / str(i), f"{i}.json",
+             {"id": str(i), "tel": [{"system": "phone", "value": f"{i}{j}"} for j in range(2)], "unused": {"x": [1]}})
+    rules = [{"column_name": "id", "mapping_rule": {"target_column": "id"}, "column_type": "array"},
+             {"column_name": "phone", "column_type": "Nonarray", "mapping_rule": {
+                 "source_column": "tel_system", "match_value": "phone", "target_column": "tel_value"}}]
+    save(tmp_path, "rules.json", {"column_mapping": rules})
+    paths = str(tmp_path / "in"), str(tmp_path / "rules.json")
+    df = map_folder(spark, *paths, str(tmp_path / "out"))
+    assert sorted((r.id[0], r.phone) for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [
+        ("1", "10"), ("1", "11"), ("2", "20"), ("2", "21")]
+    assert "unused" not in df._jdf.queryExecution().executedPlan().toString()
+    map_folder(spark, *paths, str(tmp_path / "csv"), file_format="csv", run_stamp="s")
+    back = spark.read.option("header", True).option("escape", "\\").csv(str(tmp_path / "csv"))
+    assert sorted((r.id, r.phone, r.run_stamp) for r in back.collect())[0] == ('["1"]', "10", "s")
+
+
+def test_flatten_folder(spark, tmp_path):
+    schema = obj("id", tags=many(obj("code")))
+    save(tmp_path / "in", "1.json", {"id": "1", "tags": [{"code": "a"}, {"code": "b"}]})
+    save(tmp_path, "levels.json", LevelSpec.from_schema(schema).to_config())
+    df = flatten_folder(spark, str(tmp_path / "in"), str(tmp_path / "levels.json"), str(tmp_path / "out"))
+    assert sorted(map(tuple, df.collect())) == [("1", "a"), ("1", "b")]
+
+
 # ---------------------------------------------------------------- marks
 
 def test_next_partition():
