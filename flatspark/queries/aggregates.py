@@ -18,7 +18,10 @@ from flatspark.queries import query
 from flatspark.queries.docs import EVENT_CTE, ORDER_CTE, counted, event_rows, pick, table, text
 
 ENTITY = ["user_id", "day"]
-HOUR = F.date_trunc("hour", F.col("ts"))
+
+
+def hour():
+    return F.date_trunc("hour", F.col("ts"))
 
 
 @query("a1_collapse_string", f"""{EVENT_CTE}
@@ -94,7 +97,7 @@ SELECT event_id, user_id, CAST(row_number() OVER (PARTITION BY user_id ORDER BY
 FROM e""")
 def numbering(spark, sf):
     e = table(spark, sf, "events").select("event_id", "user_id", "ts")
-    return number_rows(e, ["user_id"], ["ts", "event_id"], chunk=HOUR).drop("ts")
+    return number_rows(e, ["user_id"], ["ts", "event_id"], chunk=hour()).drop("ts")
 
 
 @query("w1_row_number_small_entities", f"""{EVENT_CTE}
@@ -165,7 +168,7 @@ def positional(spark, sf):
     kinds = {"click": "click_k", "error": "error_k", "view": "view_k"}
     e = event_rows(spark, sf).where(F.col("kind").isin(*kinds))
     numbered = number_rows(e.select("user_id", "kind", "ts", "event_id", "k"), ["user_id", "kind"],
-                           ["ts", "event_id"], chunk=HOUR)
+                           ["ts", "event_id"], chunk=hour())
     # one numbering for all sections; each section is a column of it
     tall = numbered.select("user_id", "seq", *[F.when(F.col("kind") == s, F.col("k")).alias(n) for s, n in kinds.items()])
     return positional_join([tall], ["user_id"])
