@@ -198,8 +198,7 @@ def values_where(source: Path, target: Path, match: str) -> Column:
                 col, lambda x: walk(x.getField(prefix[0].name), prefix[0].arrays, prefix[1:])
             )
         else:
-            hits = F.filter(col, lambda x: hit(x, s_rest))
-            inner = F.transform(hits, lambda x: values_below(x, t_rest))
+            return _descend(F.filter(col, lambda x: hit(x, s_rest)), 1, t_rest)
         return F.coalesce(F.flatten(inner), no_texts())
 
     head = source.steps[0]
@@ -239,24 +238,33 @@ def expanded_rows(cells: list[Cell], keep: set[str] | None = None) -> Column:
     Per level the product of all array cells is taken, the first array slowest; structs are
     flattened on the way down. The row order is the expansion order.
     """
+    rows, single = _expand(cells, keep)
+    return F.array(rows) if single else rows
+
+
+def _expand(cells: list[Cell], keep: set[str] | None) -> tuple[Column, bool]:
+    """The rows of some cells, or their only row when no array is among them."""
     flat = [c for cell in cells for c in flatten_cell(cell)]
     arrays = [i for i, (_, _, dtype) in enumerate(flat) if isinstance(dtype, T.ArrayType)]
-    if not arrays:
-        kept = [(n, c) for n, c, _ in flat if keep is None or n in keep]
-        return F.array(F.struct(*[c.cast("string").alias(n) for n, c in kept]))
 
-    def nest(k: int, bound: dict[int, Cell]) -> Column:
+    def nest(k: int, bound: dict[int, Cell]) -> tuple[Column, bool]:
         if k == len(arrays):
-            return expanded_rows([bound.get(i, cell) for i, cell in enumerate(flat)], keep)
+            return _expand([bound.get(i, cell) for i, cell in enumerate(flat)], keep)
         name, col, dtype = flat[arrays[k]]
-        return F.flatten(
-            F.transform(
-                outer_array(col, dtype),
-                lambda x: nest(k + 1, {**bound, arrays[k]: (name, x, dtype.elementType)}),
-            )
-        )
+        single = False
+
+        def element(x: Column) -> Column:
+            nonlocal single
+            rows, single = nest(k + 1, {**bound, arrays[k]: (name, x, dtype.elementType)})
+            return rows
+
+        rows = F.transform(outer_array(col, dtype), element)
+        return (rows if single else F.flatten(rows)), False
 
-    return nest(0, {})
+    if arrays:
+        return nest(0, {})
+    kept = [(n, c) for n, c, _ in flat if keep is None or n in keep]
+    return F.struct(*[c.cast("string").alias(n) for n, c in kept]), True
 
 
 def section_rows(schema: T.StructType, section: str, keep: set[str] | None = None) -> Column:

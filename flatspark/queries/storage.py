@@ -222,14 +222,17 @@ def partitions(spark, sf):
 
 # ---------------------------------------------------------------- stream
 
+WAVE = "1998-01-01"
+
+
 def _ingest(spark, sf, name, archive=False):
-    """Two waves of documents, each followed by a run of the stream."""
+    """Older documents, then newer ones, each wave followed by a run of the stream."""
     base = work_dir(spark, name)
     source = f"{base}/in"
     docs = order_docs(spark, sf)
-    for wave in (0, 1):
-        part = docs.where(F.col("id").cast("long") % 2 == wave)
-        part.write.mode("append").json(source)
+    older = F.col("meta.lastUpdated") < WAVE
+    for wave in (docs.where(older), docs.where(~older)):
+        wave.write.mode("append").json(source)
         ingest_new_documents(
             spark, source, ORDER_SCHEMA, _order_rows, f"{base}/out", f"{base}/checkpoint",
             archive=f"{base}/done" if archive else None, one_per_file=False,
@@ -243,7 +246,8 @@ def stream(spark, sf):
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
-@query("k7_archive_source", f"""{_ORDER_ROWS.replace("SELECT id, version", "SELECT CASE WHEN k % 2 = 0 THEN 'done' ELSE 'in' END AS place, id, version", 1)}""")
+@query("k7_archive_source", _ORDER_ROWS.replace(
+    "SELECT id, version", f"SELECT CASE WHEN updated < '{WAVE}' THEN 'done' ELSE 'in' END AS place, id, version"))
 def archive(spark, sf):
     """The first wave is in the archive, the last one still in the source."""
     base = _ingest(spark, sf, "k7", archive=True)

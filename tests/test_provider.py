@@ -1,7 +1,6 @@
 """The ready-made jobs on synthetic documents."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from flatspark.jobs import provider as P
 from flatspark.jobs import schemas as S
@@ -192,10 +191,18 @@ def test_practitioner(json_docs):
     assert (two["FIRST_NAME"], two["FULL_NAME"], two["RECOGNITION"]) == ("", "   ", None)
 
 
-def test_copies_of_a_document_change_nothing(json_docs):
-    df = json_docs([affiliation(), ], S.ORGANIZATION_AFFILIATION)
-    copies = df.select("*", F.explode(F.sequence(F.lit(1), F.lit(50)))).drop("col")
-    same_rows(P.organization_affiliation(copies), P.organization_affiliation(df))
+@pytest.mark.parametrize("job, schema, doc", [
+    (P.provider_organization, S.PROVIDER_ORGANIZATION, ORGANIZATION),
+    (P.organization_affiliation, S.ORGANIZATION_AFFILIATION, affiliation()),
+    (P.practitioner_role, S.PRACTITIONER_ROLE, affiliation(subject="practitioner")),
+    (P.practitioner, S.PRACTITIONER, PRACTITIONER),
+], ids=lambda v: getattr(v, "__name__", ""))
+def test_copies_of_a_document_change_nothing(json_docs, job, schema, doc):
+    """Copies are brought together per entity; the result is that of the narrow path."""
+    lone = {**doc, "id": "lone"}
+    once = json_docs([doc, lone], schema)
+    copies = json_docs([doc] * 20 + [lone], schema)
+    same_rows(job(copies), job(once, unique=True))
 
 
 def test_order_and_partitioning_of_documents_do_not_matter(json_docs):
