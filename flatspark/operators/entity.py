@@ -170,12 +170,16 @@ def backfill(df: DataFrame, keys: list[str], columns: list[str] | None = None) -
     """Fill null cells with a non-null value of the same entity and column (the greatest),
     leave other cells as they are, drop duplicate rows.
 
-    Duplicates go first, combined before the shuffle; the fill values are one aggregation
-    over the rest.
+    Duplicates go first, combined before the shuffle; the fill values are one aggregation over
+    the rest. An entity with a single row has nothing to fill; looking at the count also keeps
+    the optimizer from dropping the distinct below the maxima, so the input is read once.
     """
     names = [c for c in (columns or df.columns) if c not in keys]
     rows = df.distinct()
-    fills = rows.groupBy(*keys).agg(*[F.max(quoted(c)).alias(f"_fill_{c}") for c in names])
+    several = F.count(F.lit(1)) > 1
+    fills = rows.groupBy(*keys).agg(
+        *[F.when(several, F.max(quoted(c))).alias(f"_fill_{c}") for c in names]
+    )
     joined = attach(rows, fills, keys, "left")
     return joined.select(
         *[
