@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from flatspark.plans.levels import level_flatten
 from flatspark.plans.mapping import map_documents, read_schema
 from flatspark.plans.rules import LevelSpec, load_rules
-from flatspark.sources.documents import infer_schema, read_folder
+from flatspark.sources.documents import infer_schema, read_folder, split_corrupt
 from flatspark.sources.sinks import write_csv, write_parquet
 
 
@@ -30,15 +30,24 @@ def map_folder(
     dedupe: bool = True,
     one_per_file: bool = True,
     run_stamp: str | None = None,
+    bad_path: str | None = None,
 ) -> DataFrame:
     """Map every document of a folder by a rule config, and write the rows where a path is given.
 
     The config is checked before any document is read. Without a schema the folder is read once
-    more to infer it.
+    more to infer it. A malformed document is an error, unless ``bad_path`` says where to put
+    such documents with their code and file.
     """
     rules = load_rules(config_text(spark, config_path))
     schema = schema or infer_schema(spark, input_path, one_per_file=one_per_file, recursive=True)
-    docs = read_folder(spark, input_path, read_schema(schema, rules, dedupe=dedupe), one_per_file=one_per_file)
+    schema = read_schema(schema, rules, dedupe=dedupe)
+    if bad_path is None:
+        docs = read_folder(spark, input_path, schema, one_per_file=one_per_file, mode="FAILFAST")
+    else:
+        docs, bad = split_corrupt(
+            spark, input_path, schema, one_per_file=one_per_file, pattern="*.json", recursive=True
+        )
+        write_parquet(bad, bad_path)
     return _written(map_documents(docs, rules, dedupe=dedupe), output_path, file_format, run_stamp)
 
 
@@ -51,9 +60,11 @@ def flatten_folder(
     file_format: str = "parquet",
     one_per_file: bool = True,
 ) -> DataFrame:
-    """Flatten every document of a folder by a level config, which holds the schema."""
+    """Flatten every document of a folder by a level config, which holds the schema. A malformed
+    document is an error.
+    """
     spec = LevelSpec.from_config(json.loads(config_text(spark, config_path)))
-    docs = read_folder(spark, input_path, spec.schema, one_per_file=one_per_file)
+    docs = read_folder(spark, input_path, spec.schema, one_per_file=one_per_file, mode="FAILFAST")
     return _written(level_flatten(docs, spec), output_path, file_format, None)
 
 

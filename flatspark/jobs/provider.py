@@ -141,7 +141,7 @@ BLANK_RECOGNITION = len(",,,,,")
 
 def healthcare_service(docs: DataFrame, unique: bool = False) -> DataFrame:
     """One row per distinct combination of category flags of a document; characteristics are
-    collapsed per id, over all its versions.
+    collapsed per id, over all its versions. Here ``unique`` promises one document per id.
     """
     docs = docs.where(F.col("id").isNotNull())
     shown = section_rows(docs.schema, "category", {"category_coding_display"})

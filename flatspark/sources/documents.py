@@ -35,13 +35,15 @@ def read_documents(
     pattern: str | None = None,
     recursive: bool = False,
     with_file: bool = False,
+    mode: str = "PERMISSIVE",
 ) -> DataFrame:
     """Documents below a folder with a declared schema.
 
     ``one_per_file`` reads a file as one document (or one array of documents); otherwise a
-    file holds one document per line and can be split between tasks.
+    file holds one document per line and can be split between tasks. A malformed document is
+    a row of nulls, or an error with ``mode="FAILFAST"``; see also :func:`split_corrupt`.
     """
-    reader = spark.read.schema(schema).option("multiLine", one_per_file)
+    reader = spark.read.schema(schema).option("multiLine", one_per_file).option("mode", mode)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
     if recursive:
@@ -116,6 +118,8 @@ def split_corrupt(
     schema: T.StructType,
     *,
     one_per_file: bool = True,
+    pattern: str | None = None,
+    recursive: bool = False,
     max_chars: int | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(good documents, bad ones as rows of code, file and text).
@@ -123,7 +127,7 @@ def split_corrupt(
     Text that is not JSON has code 1001. With ``max_chars``, a longer text has code 1002 and
     is not parsed. The texts are read once more for each of the two frames; nothing is cached.
     """
-    texts = spark.read.text(path, wholetext=one_per_file)
+    texts = spark.read.text(path, wholetext=one_per_file, pathGlobFilter=pattern, recursiveFileLookup=recursive)
     texts = texts.select("value", F.col("_metadata.file_path").alias("file_path"))
     texts = texts.where(F.length(F.trim("value")) > 0)
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])

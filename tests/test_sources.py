@@ -124,6 +124,20 @@ def test_map_folder(spark, tmp_path):
     assert sorted((r.id, r.phone, r.run_stamp) for r in back.collect())[0] == ('["1"]', "10", "s")
 
 
+def test_map_folder_with_malformed_documents(spark, tmp_path):
+    save(tmp_path / "in" / "x", "1.json", {"id": "1"})
+    save(tmp_path / "in", "2.json", '{"id": "2", ')
+    rule = {"column_name": "id", "mapping_rule": {"target_column": "id"}, "column_type": "nonarray"}
+    save(tmp_path, "rules.json", {"column_mapping": [rule]})
+    paths = str(tmp_path / "in"), str(tmp_path / "rules.json")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        map_folder(spark, *paths, schema=SCHEMA).collect()
+    df = map_folder(spark, *paths, schema=SCHEMA, bad_path=str(tmp_path / "bad"))
+    assert [r.id for r in df.collect()] == ["1"]
+    (bad,) = spark.read.parquet(str(tmp_path / "bad")).collect()
+    assert (bad.code, os.path.basename(bad.file_path)) == (1001, "2.json")
+
+
 def test_flatten_folder(spark, tmp_path):
     schema = obj("id", tags=many(obj("code")))
     save(tmp_path / "in", "1.json", {"id": "1", "tags": [{"code": "a"}, {"code": "b"}]})
