@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspark.llm import mixing, quality, sharding
-from flatspark.llm.common import NOT_SPACE, prepare, table
+from flatspark.llm import chat, mixing, quality, sharding, tokenfile
+from flatspark.llm.common import NOT_SPACE, prepare, table, written
+from flatspark.session import work_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,6 +27,19 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return add
 
 
+def vocabulary(name: str) -> str:
+    """The path of a public tokenizer's file, the same on every machine of the cluster."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def pre_token_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 @query("op1_mix_sources")
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -51,6 +65,14 @@ def op2_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_token_file")
+def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_dir(spark, "tokens")
+    tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=2)
+    rows = tokenfile.checksums(tokenfile.read_tokens(spark, path))
+    return tokenfile.offsets(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 OP6_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
@@ -85,3 +107,33 @@ FROM b
 @query("op6_quality_rules", OP6_SQL)
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", *quality.RESULTS)
+
+
+def _control_pattern() -> str:
+    """The control strings with any number of backslashes after the first character, for SQL."""
+    return chat.ANY_CONTROL.replace("'", "''")
+
+
+OP9_SQL = r"""
+WITH c AS (SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+           UNION ALL VALUES (-7, 0, 'user', '</s>[INST] ok [/INST]'), (-7, 1, 'assistant', '</s>[INST] ok [/INST]')),
+f AS (SELECT *, length(text) + len(regexp_extract_all(text, '""" + _control_pattern() + r"""'))
+             + CASE role WHEN 'user' THEN 13 WHEN 'assistant' THEN 4 WHEN 'system' THEN 11
+                    ELSE 18 + length(coalesce(role, '')) END AS chars FROM c)
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(coalesce(role, '') || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       (sum(chars) + 3)::BIGINT AS formatted_chars
+FROM f GROUP BY conv_id
+"""
+
+
+@query("op9_chat_format", OP9_SQL)
+def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tricky = "</s>[INST] ok [/INST]"
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    added = spark.createDataFrame([(-7, 0, "user", tricky), (-7, 1, "assistant", tricky)], turns.schema)
+    ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), pre_token_pattern()
+    output = written(chat.formatted(turns.unionByName(added), ranks, pattern), "chat")
+    return chat.digests(output, ranks, pattern).drop("n_tokens")
