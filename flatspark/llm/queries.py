@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspark.llm import chat, mixing, quality, sharding, tokenfile
+from flatspark.llm import chat, mixing, quality, sharding, tokenfile, topk
 from flatspark.llm.common import NOT_SPACE, prepare, table, written
 from flatspark.session import work_dir
 
@@ -109,6 +109,22 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", *quality.RESULTS)
 
 
+OP8_SQL = """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, p.vec_id,
+             list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * p.v[i]))::BIGINT AS score
+      FROM v q JOIN v p ON q.vec_id % 50 = 0 AND q.vec_id <> p.vec_id)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+FROM s QUALIFY rank <= 5
+"""
+
+
+@query("op8_top_products", OP8_SQL)
+def op8_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", F.col("vec_id") % 50 == 0)
+
+
 def _control_pattern() -> str:
     """The control strings with any number of backslashes after the first character, for SQL."""
     return chat.ANY_CONTROL.replace("'", "''")
