@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspark.llm import chat, mixing, quality, sharding, tokenfile, topk
+from flatspark.llm import bpe, chat, mixing, quality, sharding, tokenfile, topk
 from flatspark.llm.common import NOT_SPACE, prepare, table, written
 from flatspark.session import work_dir
 
@@ -109,6 +109,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents")).select("doc_id", *quality.RESULTS)
 
 
+@query("op7_byte_bpe")
+def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
+    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), ranks, pre_token_pattern()), ranks)
+
+
 OP8_SQL = """
 WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
            WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
