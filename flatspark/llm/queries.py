@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspark.llm import bpe, chat, mixing, quality, sharding, tokenfile, topk
+from flatspark.llm import bpe, chat, mixing, neardup, quality, sharding, tokenfile, topk
 from flatspark.llm.common import NOT_SPACE, prepare, table, written
 from flatspark.session import work_dir
 
@@ -73,6 +73,11 @@ def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokenfile.offsets(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
+@query("op4_near_duplicates")
+def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(shingle=2))
+
+
 OP6_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
