@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspark.llm import bpe, chat, mixing, neardup, quality, sharding, tokenfile, topk
+from flatspark.llm import bpe, chat, chunks, mixing, neardup, pages, quality, sharding, tokenfile, topk
 from flatspark.llm.common import NOT_SPACE, prepare, table, written
 from flatspark.session import work_dir
 
@@ -53,15 +53,15 @@ def op2_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select(
         "*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_index"))
     size = F.coalesce(F.octet_length("text"), F.lit(0)) + 1
-    out = sharding.sharded(docs, 8, ["_file", "_index"], size)
+    out = sharding.sharded(docs, 8, "doc_id", ["_file", "_index"], size)
     return out.select(
         "doc_id",
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32"),
-        F.lit("rows").alias("law"),
+        F.lit("key").alias("law"),
         "shard",
         "slot",
-        F.lit(None).cast("int").alias("grown_shard"),
+        "grown_shard",
     )
 
 
@@ -78,6 +78,12 @@ def op4_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(shingle=2))
 
 
+@query("op5_page_text")
+def op5_page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pages.main_text(table(spark, sf_dir, "pages"))
+    return out.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 OP6_SQL = r"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
 w AS (SELECT r, doc_id, text, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS ws,
@@ -164,3 +170,11 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks, pattern = vocabulary("byte_bpe_50k.tiktoken"), pre_token_pattern()
     output = written(chat.formatted(turns.unionByName(added), ranks, pattern), "chat")
     return chat.digests(output, ranks, pattern).drop("n_tokens")
+
+
+@query("op10_substring_dedup")
+def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = chunks.deduplicated(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(
+        "doc_id", "n_words", "n_chunks", "n_repeated_chunks", "removed_words", "removed_chars", "spans",
+        F.col("cleaned").alias("text"))
