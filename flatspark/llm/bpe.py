@@ -194,8 +194,17 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(docs, pa.int64()), lists], ["doc_id", "ids"])
 
 
-def decode(ids: np.ndarray, table: list[bytes]) -> bytes:
-    return b"".join([table[i] for i in ids.tolist()])
+def decoded(rows: DataFrame, path: str) -> DataFrame:
+    """(doc_id, ids, text): the ids joined with the token bytes."""
+
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = token_bytes(path)
+        for b in batches:
+            flat, at = b["ids"].values.to_numpy(), b["ids"].offsets.to_numpy()
+            texts = [b"".join([table[i] for i in flat[x:y].tolist()]).decode() for x, y in zip(at[:-1], at[1:])]
+            yield pa.RecordBatch.from_arrays([b["doc_id"], b["ids"], pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+
+    return rows.mapInArrow(join, f"{ENCODED}, text string")
 
 
 def digests(rows: DataFrame, path: str) -> DataFrame:
