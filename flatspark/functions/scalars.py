@@ -73,9 +73,10 @@ def yes_no(condition: Column) -> Column:
     return F.when(condition, F.lit("Y")).otherwise(F.lit("N"))
 
 
-def zero_pad(part: Column, width: int = 2) -> Column:
-    """Partition values as text of equal width."""
-    return F.lpad(part.cast("string"), width, "0")
+def zero_pad(part: Column) -> Column:
+    """A one-character value with a zero in front; longer values stay as they are."""
+    text = part.cast("string")
+    return F.when(F.length(text) == 1, F.concat(F.lit("0"), text)).otherwise(text)
 
 
 def partition_date(year: Column, month: Column, day: Column) -> Column:

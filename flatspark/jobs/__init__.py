@@ -2,7 +2,6 @@ from flatspark.jobs.batch import flatten_folder, map_folder
 from flatspark.jobs.incremental import Job, Outcome, run_once
 from flatspark.jobs.provider import (
     healthcare_service,
-    masked,
     network,
     organization_affiliation,
     practitioner,
@@ -16,7 +15,6 @@ __all__ = [
     "flatten_folder",
     "healthcare_service",
     "map_folder",
-    "masked",
     "network",
     "organization_affiliation",
     "practitioner",

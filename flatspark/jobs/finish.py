@@ -15,10 +15,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from flatspark.functions.scalars import printed_list
-from flatspark.operators.entity import attach
+from flatspark.operators.entity import attach, batch_flags
 from flatspark.plans.paths import quoted
-from flatspark.session import work_dir
-from flatspark.sources.sinks import materialize
+from flatspark.session import materialize, work_dir
 
 PAD = "_pad"
 
@@ -43,12 +42,14 @@ class Layout:
     """The parts of a job's output.
 
     ``sections``: arrays of structs of texts, aligned by position. ``texts``: collapsed
-    columns. ``combine``: arrays whose distinct values are combined with all rows.
+    columns. ``combine``: arrays whose distinct values are combined with all rows. ``flags``:
+    conditions on documents; ``Y`` on every row where any document of the batch meets one.
     """
 
     sections: list[Column]
     texts: dict[str, Texts] = field(default_factory=dict)
     combine: dict[str, Column] = field(default_factory=dict)
+    flags: dict[str, Column] = field(default_factory=dict)
 
 
 def first_value(values: Column) -> Column:
@@ -60,6 +61,26 @@ def distinct_values(values: Column) -> Column:
                                                   lambda v: v.isNotNull())))
 
 
+def distinct_rows(rows: Column) -> Column:
+    """The distinct structs of an array, in order of first appearance.
+
+    Equal structs are neighbours once sorted, so the work grows as that of a sort; the built-in
+    distinct compares structs pair by pair.
+    """
+    placed = F.sort_array(F.transform(rows, lambda r, i: F.struct(r.alias("r"), i.alias("i"))))
+    firsts = F.transform(
+        F.array(placed),
+        lambda s: F.filter(s, lambda x, k: (k == 0) | ~x["r"].eqNullSafe(F.get(s, k - 1)["r"])),
+    )[0]
+    back = F.sort_array(F.transform(firsts, lambda x: F.struct(x["i"].alias("i"), x["r"].alias("r"))))
+    return F.transform(back, lambda x: x["r"])
+
+
+def sorted_distinct(rows: str) -> str:
+    """The distinct structs of an array in sorted order, as SQL text."""
+    return f"transform(array(sort_array({rows})), s -> filter(s, (x, k) -> k = 0 OR NOT (x <=> get(s, k - 1))))[0]"
+
+
 def struct_sql(fields: dict[str, str]) -> str:
     """A struct as SQL text. A wide one is built much faster from text than field by field."""
     return "struct(" + ", ".join(f"{sql} AS `{name}`" for name, sql in fields.items()) + ")"
@@ -78,17 +99,26 @@ def finish(docs: DataFrame, keys: dict[str, Column], layout: Layout, unique: boo
     projection, only the others are brought together.
     """
     rows = _document_rows(docs, keys, layout)
-    names = list(keys)
+    names, spark = list(keys), docs.sparkSession
     if unique:
-        return _finish_in_row(rows, names, layout)
-    spark = docs.sparkSession
+        if layout.flags:
+            rows = materialize(rows, work_dir(spark, "entities"))
+        return _with_flags(_finish_in_row(rows, names, layout), rows, layout)
     rows = materialize(rows, work_dir(spark, "entities"))
+    # The written table of shared keys has a known size: a small one is broadcast, so the rows
+    # are not shuffled to find out that no entity is shared.
     shared = rows.groupBy(*names).agg(F.count(F.lit(1)).alias("_docs")).where(F.col("_docs") > 1).drop("_docs")
-    if shared.isEmpty():
-        return _finish_in_row(rows, names, layout)
+    shared = materialize(shared, work_dir(spark, "shared-keys"))
     alone = attach(rows, shared, names, "left_anti")
-    together = attach(rows, shared, names, "left_semi")
-    return _finish_in_row(alone, names, layout).unionByName(_finish_by_entity(together, names, layout))
+    together = materialize(attach(rows, shared, names, "left_semi"), work_dir(spark, "shared-rows"))
+    out = _finish_in_row(alone, names, layout).unionByName(_finish_by_entity(together, names, layout))
+    return _with_flags(out, rows, layout)
+
+
+def _with_flags(out: DataFrame, rows: DataFrame, layout: Layout) -> DataFrame:
+    if not layout.flags:
+        return out
+    return batch_flags(rows, {n: F.col(f"_flag_{n}") for n in layout.flags}, into=out)
 
 
 def _document_rows(docs: DataFrame, keys: dict[str, Column], layout: Layout) -> DataFrame:
@@ -99,10 +129,11 @@ def _document_rows(docs: DataFrame, keys: dict[str, Column], layout: Layout) ->
         *[c.alias(n) for n, c in zip(names, layout.sections)],
         *[distinct_values(t.values).alias(f"_text_{n}") for n, t in layout.texts.items()],
         *[distinct_values(c).alias(f"_combine_{n}") for n, c in layout.combine.items()],
+        *[c.alias(f"_flag_{n}") for n, c in layout.flags.items()],
     )
     columns = [(s, f) for s in names for f in aligned.schema[s].dataType.elementType.names if f != PAD]
-    rows = F.expr(f"transform(arrays_zip({', '.join(names)}), z -> {struct_sql({f: f'z.{s}.`{f}`' for s, f in columns})})")
-    return aligned.select(*[c for c in aligned.columns if c not in names], F.array_distinct(rows).alias("_rows"))
+    rows = f"transform(arrays_zip({', '.join(names)}), z -> {struct_sql({f: f'z.{s}.`{f}`' for s, f in columns})})"
+    return aligned.select(*[c for c in aligned.columns if c not in names], F.expr(sorted_distinct(rows)).alias("_rows"))
 
 
 def _cells(df: DataFrame) -> list[str]:
@@ -116,10 +147,10 @@ def _finish_in_row(df: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
     cells = _cells(df)
     greatest = struct_sql({c: f"greatest(a.`{c}`, r.`{c}`)" for c in cells})
     df = df.withColumn("_fill", F.expr(f"aggregate(_rows, {null_struct(cells)}, (a, r) -> {greatest})"))
-    filled = F.expr(f"transform(_rows, r -> {struct_sql({c: f'coalesce(r.`{c}`, _fill.`{c}`)' for c in cells})})")
+    filled = f"transform(_rows, r -> {struct_sql({c: f'coalesce(r.`{c}`, _fill.`{c}`)' for c in cells})})"
     texts = [t.printed(F.col(f"_text_{n}")).alias(n) for n, t in layout.texts.items()]
     df = df.select(*keys, *texts, *[f"_combine_{n}" for n in layout.combine],
-                   F.explode_outer(F.array_distinct(filled)).alias("_row"))
+                   F.explode_outer(F.expr(sorted_distinct(filled))).alias("_row"))
     for n in layout.combine:
         others = [F.col(quoted(c)) for c in df.columns if c != f"_combine_{n}"]
         df = df.select(*others, F.explode_outer(f"_combine_{n}").alias(n))

@@ -10,14 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from flatspark.sources.documents import Partition, read_partition
+from flatspark.sources.documents import CORRUPT, Partition, read_documents, read_partition, split_corrupt, with_corrupt
 from flatspark.sources.runlog import Mark, append_mark, next_partition, read_mark
-from flatspark.sources.sinks import add_partition, repair_partitions, write_partitions
+from flatspark.sources.sinks import add_partition, write_parquet, write_partitions
 
 
 @dataclass(frozen=True)
 class Job:
-    """A mapping of documents to rows with where it reads, writes and keeps its log."""
+    """A mapping of documents to rows with where it reads, writes and keeps its log.
+
+    ``pattern`` chooses files by name. With ``bad_path`` malformed documents are written there per
+    partition, with their code and file, and do not reach the mapping; without it they are an error.
+    """
 
     name: str
     schema: T.StructType
@@ -29,6 +33,8 @@ class Job:
     one_per_file: bool = True
     raw_table: str | None = None
     flat_table: str | None = None
+    pattern: str | None = None
+    bad_path: str | None = None
 
 
 @dataclass(frozen=True)
@@ -38,6 +44,17 @@ class Outcome:
     row_count: int | None
 
 
+def _sound(spark: SparkSession, job: Job, partition: Partition, folder: str) -> DataFrame:
+    """The partition's documents, malformed ones put aside."""
+    if job.bad_path is None:
+        return read_documents(
+            spark, folder, job.schema, one_per_file=job.one_per_file, pattern=job.pattern, mode="FAILFAST"
+        )
+    good, bad = split_corrupt(spark, folder, job.schema, one_per_file=job.one_per_file, pattern=job.pattern)
+    write_parquet(bad, f"{job.bad_path.rstrip('/')}/{partition.folder}")
+    return good
+
+
 def run_once(
     spark: SparkSession, job: Job, *, after: Mark | None = None, now: datetime | None = None
 ) -> Outcome:
@@ -48,18 +65,21 @@ def run_once(
     """
     mark = after or read_mark(spark, job.log_path, job.name)
     partition = next_partition(mark, job.hourly, now or datetime.now())
-    docs = read_partition(spark, job.input_path, job.schema, partition, one_per_file=job.one_per_file)
-    had_data, count = not docs.isEmpty(), None
+    folder = f"{job.input_path.rstrip('/')}/{partition.folder}"
+    parts, count = list(partition.values), None
+    checked = read_partition(spark, job.input_path, with_corrupt(job.schema), partition,
+                             one_per_file=job.one_per_file, pattern=job.pattern)
+    had_data = not checked.select(*job.schema.names, CORRUPT).isEmpty()
     if had_data:
-        parts = list(partition.values)
-        rows = job.transform(docs.drop("pdate", *parts))
+        docs = _sound(spark, job, partition, folder)
+        rows = job.transform(docs)
         out = rows.select("*", *[F.lit(v).alias(k) for k, v in partition.values.items()])
         write_partitions(out, job.output_path, parts)
         # row counts come from the file footers
         count = spark.read.schema(rows.schema).parquet(f"{job.output_path.rstrip('/')}/{partition.folder}").count()
         if job.raw_table:
-            add_partition(spark, job.raw_table, partition.values, f"{job.input_path.rstrip('/')}/{partition.folder}")
+            add_partition(spark, job.raw_table, partition.values, folder)
         if job.flat_table:
-            repair_partitions(spark, job.flat_table)
+            add_partition(spark, job.flat_table, partition.values, f"{job.output_path.rstrip('/')}/{partition.folder}")
     append_mark(spark, job.log_path, job.name, partition, had_data, count)
     return Outcome(partition, had_data, count)

@@ -22,29 +22,19 @@ from flatspark.jobs.finish import (
     PAD,
     Layout,
     Texts,
+    distinct_rows,
     distinct_values,
     finish,
     first_value,
     null_struct,
     struct_sql,
 )
-from flatspark.operators.entity import attach, backfill, batch_flags, collapse, pair_in_element
+from flatspark.jobs.systems import NEUTRAL, Systems
+from flatspark.operators.entity import attach, backfill, collapse, pair_in_element
 from flatspark.plans.paths import expanded_rows, outer_array, section_rows
+from flatspark.session import materialize, work_dir
 
-# Code systems, extension names and codes that occur in the documents.
-SITE = "http://bpd.bcbs.com"
-TAXONOMY = "http://nucc.org/provider-taxonomy"
-LANGUAGE = "urn:ietf:bcp:47"
-CHARACTERISTIC = f"{SITE}/CodeSystem/BCBSProviderCharacteristicsCS"
-TERMINATION = f"{SITE}/CodeSystem/BCBSProviderTerminationReasonCS"
-ENTITY_TYPE = f"{SITE}/CodeSystem/BCBSProviderEntityTypeCS"
-PROVIDER_TYPE = f"{SITE}/CodeSystem/BCBSProviderTypeCS"
-PRACTITIONER_MASTER = f"{SITE}/Practitioner/MasterIdentifier"
-ORGANIZATION_MASTER = f"{SITE}/Organization/MasterIdentifier"
-CONTRACT = f"{SITE}/StructureDefinition/provcontract"
-NETWORK_REF = f"{SITE}/StructureDefinition/networkreference"
-LICENSEE_REF = f"{SITE}/StructureDefinition/licenseereference"
-TIER = f"{SITE}/StructureDefinition/provtierdesig"
+# Codes that occur in the documents.
 CATEGORY_FLAGS = {
     "MEDICARE_ESSENTIAL_HOSPITAL": "medicare",
     "TRANSLATOR_SERVICE_IND": "translator",
@@ -92,7 +82,7 @@ def _contact_texts() -> dict[str, Texts]:
 def _text_phones(docs: DataFrame) -> Column:
     """Distinct PROVIDER_TDD cells, one row at least."""
     rows = section_rows(docs.schema, "telecom")
-    return F.array_distinct(
+    return distinct_rows(
         F.transform(
             rows,
             lambda t: F.struct(
@@ -139,13 +129,13 @@ BLANK_RECOGNITION = len(",,,,,")
 
 # ---------------------------------------------------------------- daily jobs
 
-def healthcare_service(docs: DataFrame, unique: bool = False) -> DataFrame:
+def healthcare_service(docs: DataFrame, unique: bool = False, systems: Systems = NEUTRAL) -> DataFrame:
     """One row per distinct combination of category flags of a document; characteristics are
     collapsed per id, over all its versions. Here ``unique`` promises one document per id.
     """
     docs = docs.where(F.col("id").isNotNull())
     shown = section_rows(docs.schema, "category", {"category_coding_display"})
-    flags = F.array_distinct(
+    flags = distinct_rows(
         F.transform(
             shown,
             lambda r: F.struct(
@@ -156,7 +146,7 @@ def healthcare_service(docs: DataFrame, unique: bool = False) -> DataFrame:
     codes = F.transform(
         F.filter(
             F.flatten(F.transform("type", lambda t: F.coalesce(t["coding"], F.array()))),
-            lambda c: c["system"] == CHARACTERISTIC,
+            lambda c: c["system"] == systems.characteristic,
         ),
         lambda c: c["code"],
     )
@@ -165,15 +155,17 @@ def healthcare_service(docs: DataFrame, unique: bool = False) -> DataFrame:
     if unique:
         text = Texts(F.lit(None), empty_as_null=False).printed(distinct_values(F.col("_codes")))
         return rows.select("*", text.alias("PROV_CHRTC_CD")).drop("_codes")
+    # the compact rows are written once: flags and texts come from them, not from the documents again
+    rows = materialize(rows, work_dir(docs.sparkSession, "services"))
     texts = collapse(
-        docs.select("id", F.explode_outer(codes).alias("PROV_CHRTC_CD")), ["id"], ["PROV_CHRTC_CD"],
+        rows.select("id", F.explode_outer("_codes").alias("PROV_CHRTC_CD")), ["id"], ["PROV_CHRTC_CD"],
         split_on="?^", empty_as_null=False,
     )
     flagged = backfill(rows.drop("_codes"), ["id", "versionId"], ["resourceType"])
     return attach(flagged, texts, ["id"], "inner")
 
 
-def network(docs: DataFrame, unique: bool = False) -> DataFrame:
+def network(docs: DataFrame, unique: bool = False, systems: Systems = NEUTRAL) -> DataFrame:
     """One row per network code."""
     codes = F.transform(
         section_rows(docs.schema, "identifier", {"identifier_value"}),
@@ -186,19 +178,19 @@ def network(docs: DataFrame, unique: bool = False) -> DataFrame:
     return finish(docs, _keys(), Layout([codes]), unique)
 
 
-def provider_organization(docs: DataFrame, unique: bool = False) -> DataFrame:
+def provider_organization(docs: DataFrame, unique: bool = False, systems: Systems = NEUTRAL) -> DataFrame:
     """Profiles x identifiers x text phones of an organization, other values collapsed."""
     inner = F.flatten(F.transform("extension", lambda e: F.coalesce(e["extension"], F.array())))
     profiles = F.array_distinct(
         F.transform(section_rows(docs.schema, "meta", {"meta_profile"}), lambda r: profile_short(r["meta_profile"]))
     )
     keep = {"identifier_type_coding_code", "identifier_system", "identifier_value"}
-    identifiers = F.array_distinct(
+    identifiers = distinct_rows(
         F.transform(
             section_rows(docs.schema, "identifier", keep),
             lambda r: F.struct(
                 _where(r["identifier_type_coding_code"], "TAX", r["identifier_value"]).alias("TAX_ID"),
-                _where(r["identifier_system"], ORGANIZATION_MASTER, r["identifier_value"]).alias("PMI"),
+                _where(r["identifier_system"], systems.organization_master, r["identifier_value"]).alias("PMI"),
                 _where(r["identifier_type_coding_code"], "CCN", r["identifier_value"]).alias("PROV_MEDICARE_NUMBER"),
                 _where(r["identifier_type_coding_code"], "PRN", r["identifier_value"]).alias("PROVIDER_NUMBER"),
             ),
@@ -245,20 +237,18 @@ def provider_organization(docs: DataFrame, unique: bool = False) -> DataFrame:
         """Whether a document has a code other than 00; the flags are about the whole batch."""
         return F.exists(_codes(F.coalesce(inner, F.array()), url), lambda c: c != "00")
 
-    rows_of_all = finish(docs, _keys(), Layout([rows], texts), unique)
-    flagged = {
+    flags = {
         "PROV_HQM_DATA_AVL_IND": other("recognizingEntity"),
         "PROV_BDTC_IND": other("recognitionValue"),
     }
-    return batch_flags(docs, flagged, into=rows_of_all).withColumn(
-        "PROV_RCGNTN_QLTY_DATA_AVL_IND", F.col("PROV_BDTC_IND")
-    )
+    out = finish(docs, _keys(), Layout([rows], texts, flags=flags), unique)
+    return out.withColumn("PROV_RCGNTN_QLTY_DATA_AVL_IND", F.col("PROV_BDTC_IND"))
 
 
-def organization_affiliation(docs: DataFrame, unique: bool = False) -> DataFrame:
+def organization_affiliation(docs: DataFrame, unique: bool = False, systems: Systems = NEUTRAL) -> DataFrame:
     """Affiliation rows, combined with every network and location of the entity."""
     return _affiliation(
-        docs, unique,
+        docs, unique, systems,
         updated="ORGANIZATION_AFFL_LAST_UPDATE_DATE",
         organization=F.col("participatingOrganization.reference"),
         subject=("organization_reference", F.col("participatingOrganization.reference")),
@@ -268,10 +258,10 @@ def organization_affiliation(docs: DataFrame, unique: bool = False) -> DataFrame
 
 # ---------------------------------------------------------------- hourly jobs
 
-def practitioner_role(docs: DataFrame, unique: bool = False) -> DataFrame:
+def practitioner_role(docs: DataFrame, unique: bool = False, systems: Systems = NEUTRAL) -> DataFrame:
     """Role rows, combined with every network and location of the entity."""
     return _affiliation(
-        docs, unique,
+        docs, unique, systems,
         updated="PRACTITIONER_ROLE_LAST_UPDATE_DATE",
         organization=F.col("organization.reference"),
         subject=("practitioner_reference", F.col("practitioner.reference")),
@@ -280,7 +270,7 @@ def practitioner_role(docs: DataFrame, unique: bool = False) -> DataFrame:
 
 
 def _affiliation(
-    docs: DataFrame, unique: bool, updated: str, organization: Column, subject: tuple[str, Column], split_on: str
+    docs: DataFrame, unique: bool, systems: Systems, updated: str, organization: Column, subject: tuple[str, Column], split_on: str
 ) -> DataFrame:
     schema = docs.schema
     inner, outer = "extension_extension", "extension"
@@ -298,7 +288,7 @@ def _affiliation(
         lambda x: x["valueReference"]["reference"],
     )
     # as a column of its own, so that the pairs are not worked out again for every row
-    docs = docs.withColumn("_pairs", F.array_distinct(pairs))
+    docs = docs.withColumn("_pairs", distinct_rows(pairs))
     pairs = outer_array(F.col("_pairs"), docs.schema["_pairs"].dataType)
 
     def extension_row(r: Column, p: Column) -> Column:
@@ -315,20 +305,20 @@ def _affiliation(
             _where(tag, "pcpIndicatorCode", r[code]).alias("PCP_INDICATOR_CODE"),
             _where(tag, "pcpSelectabilityCode", r[code]).alias("PCP_SELECTABILITY_CODE"),
             _where(tag, "acceptingPatients", r[code]).alias("ACCEPT_NEW_PATIENTS"),
-            _where(r[f"{outer}_valueCodeableConcept_coding_system"], TERMINATION, top_code)
+            _where(r[f"{outer}_valueCodeableConcept_coding_system"], systems.termination, top_code)
             .alias("PROVIDER_TERMINATION_CODE"),
             _where(tag, "providerAcceptsMemberSelectAttributionIndicator", flag)
             .alias("MEMB_SELF_ATRBTN_ACPTNC_IND"),
-            _where(url, CONTRACT, r[f"{outer}_valueBoolean"]).alias("PROVIDER_CONTRACT_STATUS"),
-            _where(url, LICENSEE_REF, ref).alias("licensee_id"),
-            _where(url, TIER, top_code).alias("PROV_TIER_DESIG"),
+            _where(url, systems.contract, r[f"{outer}_valueBoolean"]).alias("PROVIDER_CONTRACT_STATUS"),
+            _where(url, systems.licensee_ref, ref).alias("licensee_id"),
+            _where(url, systems.tier, top_code).alias("PROV_TIER_DESIG"),
             *[_where(p["code"], kind, reference_id(p["ref"])).alias(n) for n, kind in AFFILIATION_KINDS.items()],
             F.when(r[code] == "PROVGRP", reference_id(organization)).alias("PROVGRP_ref_id"),
-            _where(url, NETWORK_REF, ref).alias("_network"),  # tells rows apart, dropped below
+            _where(url, systems.network_ref, ref).alias("_network"),  # tells rows apart, dropped below
         )
 
     rows = section_rows(schema, "extension", keep)
-    extension = F.array_distinct(
+    extension = distinct_rows(
         F.flatten(F.transform(rows, lambda r: F.transform(pairs, lambda p: extension_row(r, p))))
     )
     extension = F.transform(extension, lambda r: r.dropFields("_network"))
@@ -349,9 +339,9 @@ def _affiliation(
         lambda r: F.struct(
             F.col("period.start").alias("PROVIDER_NETWORK_START_DATE"),
             F.col("period.end").alias("PROVIDER_NETWORK_END_DATE"),
-            _where(r["code_coding_system"], ENTITY_TYPE, r["code_coding_code"]).alias("ENTITY_TYPE_CODE"),
-            _where(r["code_coding_system"], PROVIDER_TYPE, r["code_coding_code"]).alias("PROVIDER_TYPE_CODE"),
-            _where(r["code_coding_system"], PROVIDER_TYPE, r["code_coding_display"]).alias("PROV_TYPE_NAME"),
+            _where(r["code_coding_system"], systems.entity_type, r["code_coding_code"]).alias("ENTITY_TYPE_CODE"),
+            _where(r["code_coding_system"], systems.provider_type, r["code_coding_code"]).alias("PROVIDER_TYPE_CODE"),
+            _where(r["code_coding_system"], systems.provider_type, r["code_coding_display"]).alias("PROV_TYPE_NAME"),
         ),
     )
 
@@ -363,7 +353,7 @@ def _affiliation(
         return F.flatten(F.transform(field, lambda x: F.coalesce(x["coding"], F.array())))
 
     taxonomies = F.transform(
-        F.filter(flat_codings("specialty"), lambda c: c["system"] == TAXONOMY), lambda c: c["code"]
+        F.filter(flat_codings("specialty"), lambda c: c["system"] == systems.taxonomy), lambda c: c["code"]
     )
     entity_ids = F.transform(
         F.filter("identifier", lambda i: F.exists(i["type"]["coding"], lambda c: c["code"] == "PEI")),
@@ -377,7 +367,7 @@ def _affiliation(
         lambda x: x["valueIdentifier"]["value"],
     )
     networks = F.transform(
-        F.filter("extension", lambda e: e["url"] == NETWORK_REF), lambda e: reference_id(e["valueReference"]["reference"])
+        F.filter("extension", lambda e: e["url"] == systems.network_ref), lambda e: reference_id(e["valueReference"]["reference"])
     )
     layout = Layout(
         [extension, references, codes, rows_only("specialty"), rows_only("identifier")],
@@ -391,7 +381,7 @@ def _affiliation(
     return finish(docs, _keys(), layout, unique)
 
 
-def practitioner(docs: DataFrame, unique: bool = False) -> DataFrame:
+def practitioner(docs: DataFrame, unique: bool = False, systems: Systems = NEUTRAL) -> DataFrame:
     """Names x qualifications, identifiers and text phones side by side, other values collapsed."""
     schema = docs.schema
     name_fields = ("LAST_NAME", "NAME_SUFFIX", "NAME_PREFIX", "PROVIDER_TITLE",
@@ -482,7 +472,7 @@ def practitioner(docs: DataFrame, unique: bool = False) -> DataFrame:
     )
     certificates = F.transform(
         boards,
-        lambda r: joined_record(_where(r["_system"], TAXONOMY, r["_code"]), yes_no(r["_flag"] == "true")),
+        lambda r: joined_record(_where(r["_system"], systems.taxonomy, r["_code"]), yes_no(r["_flag"] == "true")),
     )
     degrees = F.transform("_quals", lambda r: _where(r["_kind"], "degree", r["_code"]))
     complete = F.filter(
@@ -498,7 +488,7 @@ def practitioner(docs: DataFrame, unique: bool = False) -> DataFrame:
         lambda r: F.struct(
             _where(r[f"{i}type_coding_code"], "ITIN", r[f"{i}value"]).alias("ITIN"),
             _where(r[f"{i}type_coding_code"], "SS", r[f"{i}value"]).alias("SSN"),
-            _where(r[f"{i}system"], PRACTITIONER_MASTER, r[f"{i}value"]).alias("PMI"),
+            _where(r[f"{i}system"], systems.practitioner_master, r[f"{i}value"]).alias("PMI"),
             _where(r[f"{i}type_coding_code"], "NPI", r[f"{i}value"]).alias("PROVIDER_NPI"),
             _where(r[f"{i}type_coding_code"], "PRN", r[f"{i}value"]).alias("PROVIDER_NUMBER"),
             _where(r[f"{i}type_coding_code"], "CCN", r[f"{i}value"]).alias("PROV_MEDICARE_NUMBER"),
@@ -507,7 +497,7 @@ def practitioner(docs: DataFrame, unique: bool = False) -> DataFrame:
     languages = F.transform(
         F.filter(
             F.flatten(F.transform("communication", lambda c: F.coalesce(c["coding"], F.array()))),
-            lambda c: c["system"] == LANGUAGE,
+            lambda c: c["system"] == systems.language,
         ),
         lambda c: c["code"],
     )
@@ -525,8 +515,3 @@ def practitioner(docs: DataFrame, unique: bool = False) -> DataFrame:
         "RECOGNITION": Texts(recognitions, blank_length=BLANK_RECOGNITION),
     }
     return finish(docs, _keys(), Layout([qualification, identifiers, _text_phones(docs)], texts), unique)
-
-
-def masked(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Sensitive columns as SHA-256 digests, nulls kept."""
-    return df.withColumns({c: F.sha2(F.col(c), 256) for c in columns})

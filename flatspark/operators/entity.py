@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from flatspark.functions.scalars import printed_list, yes_no
 from flatspark.operators.project import union_by_name
 from flatspark.plans.paths import quoted
+from flatspark.session import materialize, work_dir
 
 
 # ---------------------------------------------------------------- joins
@@ -27,6 +28,10 @@ def attach(df: DataFrame, extra: DataFrame, keys: list[str], how: str = "left")
     the entities of ``extra`` that have no row: unlike a full outer join, the runtime can
     split both where an entity is large.
     """
+    if how == "outer":
+        # both parts need both inputs: they are written once and read twice
+        spark = df.sparkSession
+        df, extra = (materialize(x, work_dir(spark, "outer")) for x in (df, extra))
     new = [c for c in extra.columns if c not in keys]
     rows = df.drop(*[c for c in new if c in df.columns])
     right = extra.select(*[F.col(quoted(k)).alias(f"_key_{k}") for k in keys], *[F.col(quoted(c)) for c in new])
@@ -124,13 +129,17 @@ def number_rows(
 ) -> DataFrame:
     """1, 2, ... per entity in the given order, which must be unique per entity.
 
-    ``chunk`` is an expression that never falls along ``order`` (say, the hour of the first
-    order column). With it rows are numbered per (entity, chunk) and shifted by the count of
-    the entity's earlier chunks, so that a large entity is spread over many tasks.
+    Rows are numbered per (entity, chunk) and shifted by the count of the entity's earlier
+    chunks, so that a large entity is spread over many tasks. ``chunk`` is an expression that
+    never falls along ``order`` (say, the hour of the first order column). Without it the rows are
+    dealt out in ranges of keys and order, which cut large entities, and written once with the
+    range as chunk.
     """
     by = [F.col(quoted(o)) for o in order if o not in keys]
     if chunk is None:
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*by)))
+        ranged = df.repartitionByRange(*[F.col(quoted(k)) for k in keys], *by).withColumn("_range", F.spark_partition_id())
+        ranged = materialize(ranged, work_dir(df.sparkSession, "ranges"))
+        return number_rows(ranged, keys, order, name, F.col("_range")).drop("_range")
     # one struct key for counting, numbering and joining: they share one shuffle of the rows,
     # and null keys meet because the struct itself is never null
     rest = [c for c in df.columns if c not in keys]

@@ -158,8 +158,8 @@ def child_table(df: DataFrame, table: dict, keep: list[str]) -> DataFrame:
     rows = df.select(*keep, *scalars, F.posexplode(outer).alias("pos", "_row"))
 
     def field(name: str) -> Column:
-        if inner and name.split("_")[0] == inner:
-            return F.try_element_at(F.col(f"_row.{inner}"), F.lit(-1)).getField(name.split("_", 1)[1])
+        if inner and name.startswith(f"{inner}_"):
+            return F.try_element_at(F.col("_row").getField(inner), F.lit(-1)).getField(name[len(inner) + 1:])
         return F.col("_row").getField(name)
 
     return rows.select(

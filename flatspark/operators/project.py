@@ -48,15 +48,26 @@ def differs_or_null(col: Column, value) -> Column:
     return (col != value) | col.isNull()
 
 
-def void_as_text(df: DataFrame) -> DataFrame:
-    """Columns a file format cannot hold, as text: void by cast, structs as JSON."""
+def without_void(dtype: T.DataType) -> T.DataType:
+    """The same type with text for void, inside structs, arrays and maps as well."""
+    if isinstance(dtype, T.NullType):
+        return T.StringType()
+    if isinstance(dtype, T.ArrayType):
+        return T.ArrayType(without_void(dtype.elementType), dtype.containsNull)
+    if isinstance(dtype, T.MapType):
+        return T.MapType(without_void(dtype.keyType), without_void(dtype.valueType), dtype.valueContainsNull)
+    if isinstance(dtype, T.StructType):
+        return T.StructType([T.StructField(f.name, without_void(f.dataType), f.nullable) for f in dtype.fields])
+    return dtype
+
+
+def void_as_text(df: DataFrame, structs_as_json: bool = False) -> DataFrame:
+    """Void, which file formats cannot hold, as text; structs as JSON text where asked for."""
     def shown(f: T.StructField) -> Column:
-        col = F.col(quoted(f.name))
-        if isinstance(f.dataType, T.NullType):
-            return col.cast("string").alias(f.name)
-        if isinstance(f.dataType, T.StructType):
+        col, kind = F.col(quoted(f.name)), without_void(f.dataType)
+        if structs_as_json and isinstance(kind, T.StructType):
             return F.to_json(col).alias(f.name)
-        return col
+        return col if kind == f.dataType else col.cast(kind).alias(f.name)
 
     return df.select(*[shown(f) for f in df.schema.fields])
 

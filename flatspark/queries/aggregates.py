@@ -191,7 +191,7 @@ def pairs(spark, sf):
         both = F.when((k + i) % 2 == 0, F.array(kind, ref)).otherwise(F.array(ref, kind))
         return F.when((k + i) % 4 != 0, both).otherwise(F.array(kind))
 
-    docs = o.select(text(k).alias("id"), F.transform(counted(k % 4, 3), parent).alias("elements"))
+    docs = o.select(text(k).alias("id"), F.transform(counted(k % 4), parent).alias("elements"))
     found = pair_in_element(
         F.col("elements"), lambda x: x["url"], "type", "ref",
         lambda x: F.when(x["code"].isin("ADMITPRIV", "FACILITY"), x["code"]), lambda x: x["ref"],

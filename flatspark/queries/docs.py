@@ -14,24 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table in at least as many partitions as there are cores.
-
-    A small table is one row group, hence one task, however much work a row makes. A table
-    that has enough partitions of its own is not shuffled.
-    """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
-
-
 def text(col: Column) -> Column:
     return col.cast("string")
 
 
-def counted(n: Column, most: int) -> Column:
-    """``[0, 1, ..., n - 1]`` for n up to ``most``."""
-    return F.slice(F.array(*[F.lit(i) for i in range(most)]), F.lit(1), n.cast("int"))
+def counted(n: Column) -> Column:
+    """``[0, 1, ..., n - 1]``, empty for 0."""
+    return F.filter(F.sequence(F.lit(0), n.cast("int")), lambda i: i < n)
 
 
 def pick(n: Column, *options: str) -> Column:
@@ -45,7 +34,7 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
     contact: 0-3 elements, null for every fifth order. extension: 0-2 elements with 0-2 inner
     elements each. profile: 0-2 texts.
     """
-    o = spread_table(spark, sf_dir, "orders")
+    o = table(spark, sf_dir, "orders")
     k = F.col("o_orderkey")
 
     def contact(i: Column) -> Column:
@@ -65,7 +54,7 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.struct(
             pick(k + i, "status", "priority").alias("url"),
             F.when((k + i) % 2 == 0, F.col("o_orderstatus")).otherwise(F.col("o_orderpriority")).alias("valueString"),
-            F.transform(counted((k + i) % 3, 2), lambda j: inner(i, j)).alias("extension"),
+            F.transform(counted((k + i) % 3), lambda j: inner(i, j)).alias("extension"),
         )
 
     return o.select(
@@ -75,13 +64,13 @@ def order_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
             text(k % 3).alias("versionId"),
             text(F.col("o_orderdate").cast("date")).alias("lastUpdated"),
             F.transform(
-                counted(k % 3, 2),
+                counted(k % 3),
                 lambda i: F.concat(F.lit("http://example.org/profile/p"), text(i), F.lit("-"), "o_orderpriority"),
             ).alias("profile"),
         ).alias("meta"),
         F.struct(F.concat(F.lit("Customer/"), text(F.col("o_custkey"))).alias("reference")).alias("subject"),
-        F.when(k % 5 != 0, F.transform(counted(k % 4, 3), contact)).alias("contact"),
-        F.transform(counted(k % 3, 2), extension).alias("extension"),
+        F.when(k % 5 != 0, F.transform(counted(k % 4), contact)).alias("contact"),
+        F.transform(counted(k % 3), extension).alias("extension"),
     )
 
 

@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from flatspark.jobs import mappings, provider, schemas
+from flatspark.jobs.systems import NEUTRAL
 from flatspark.plans import level_flatten, map_documents
 from flatspark.queries import query
-from flatspark.queries.docs import counted, pick, spread_table, text
+from flatspark.queries.docs import counted, pick, table, text
 
 
 @dataclass(frozen=True)
@@ -29,7 +30,7 @@ def fit(value, dtype: T.DataType) -> Column:
     if isinstance(value, Column):
         return value.cast(dtype)
     if isinstance(value, Many):
-        return F.transform(counted(value.n, value.most), lambda i: fit(value.element(i), dtype.elementType))
+        return F.transform(counted(value.n), lambda i: fit(value.element(i), dtype.elementType))
     if isinstance(value, list):
         return F.array(*[fit(v, dtype.elementType) for v in value])
     return F.struct(*[fit(value.get(f.name), f.dataType).alias(f.name) for f in dtype.fields])
@@ -53,12 +54,12 @@ def ref(kind, key):
 def service_docs(spark, sf):
     k = F.col("o_orderkey")
     return documents(
-        spread_table(spark, sf, "orders"), schemas.HEALTHCARE_SERVICE,
+        table(spark, sf, "orders"), schemas.HEALTHCARE_SERVICE,
         id=text(F.col("o_custkey")), resourceType="HealthcareService", meta={"versionId": text(k)},
         category=Many(k % 3, 2, lambda i: concept(
             display=pick(k + i, "medicare", "translator", "disclaimer", "other"))),
         type=Many(k % 4, 3, lambda i: concept(
-            F.when((k + i) % 3 != 0, provider.CHARACTERISTIC).otherwise("other"), pick(k + i, "a", "b", "c", "d", "e"))),
+            F.when((k + i) % 3 != 0, NEUTRAL.characteristic).otherwise("other"), pick(k + i, "a", "b", "c", "d", "e"))),
     )
 
 
@@ -82,7 +83,7 @@ def healthcare_service(spark, sf):
 def network_docs(spark, sf):
     k = F.col("c_custkey")
     return documents(
-        spread_table(spark, sf, "customer"), schemas.NETWORK,
+        table(spark, sf, "customer"), schemas.NETWORK,
         id=text(k % 500), resourceType="Network", name=F.col("c_name"), meta={"versionId": text(F.col("c_nationkey"))},
         identifier=Many(k % 4, 3, lambda i: {
             "value": F.when((k + i) % 5 != 0, F.concat_ws("-", text(k % 50), text(i)))}),
@@ -108,7 +109,7 @@ def organization_docs(spark, sf):
         return {"url": url, "valueCodeableConcept": concept(code=code)}
 
     return documents(
-        spread_table(spark, sf, "customer"), schemas.PROVIDER_ORGANIZATION,
+        table(spark, sf, "customer"), schemas.PROVIDER_ORGANIZATION,
         id=text(k), resourceType="Organization", name=F.col("c_name"),
         meta={
             "versionId": "1", "lastUpdated": "2024-01-01",
@@ -117,7 +118,7 @@ def organization_docs(spark, sf):
         },
         identifier=Many(k % 5, 4, lambda i: {
             "type": concept(code=pick(k + i, "TAX", "NPI", "CCN", "PCRN", "PRN")),
-            "system": F.when((k + i) % 7 == 0, provider.ORGANIZATION_MASTER),
+            "system": F.when((k + i) % 7 == 0, NEUTRAL.organization_master),
             "value": F.concat_ws("-", text(k), text(i)),
             "period": {"start": text(k % 9)},
         }),
@@ -180,7 +181,7 @@ def affiliation_docs(spark, sf, schema, subject):
         return F.when(condition, fit(list(elements), extensions)).otherwise(F.array().cast(extensions))
 
     networks = Many(k % 3, 2, lambda i: {
-        "url": provider.NETWORK_REF, "valueReference": ref("Network", F.concat(F.lit("n"), text((k + i) % 5)))})
+        "url": NEUTRAL.network_ref, "valueReference": ref("Network", F.concat(F.lit("n"), text((k + i) % 5)))})
     inner = {"url": "inner", "extension": [
         {"url": "acceptingPatients", "valueCodeableConcept": concept(code=pick(k, "yes", "no"))},
         {"url": "valueBasedProgramIdentifier", "valueIdentifier": {"value": F.concat(F.lit("v"), text(k % 6))}},
@@ -189,18 +190,18 @@ def affiliation_docs(spark, sf, schema, subject):
         {"url": "provAffType", "valueCodeableConcept": concept(code=pick(k, "FACILITY", "ADMITPRIV", "HCSYSTEM"))},
         {"url": "provAffRef", "valueReference": ref("Organization", F.concat(F.lit("f"), key))},
     ]}
-    licensee = {"url": provider.LICENSEE_REF, "valueReference": ref("Organization", F.concat(F.lit("lic"), key))}
+    licensee = {"url": NEUTRAL.licensee_ref, "valueReference": ref("Organization", F.concat(F.lit("lic"), key))}
     return documents(
-        spread_table(spark, sf, "orders"), schema,
+        table(spark, sf, "orders"), schema,
         id=key, resourceType="Affiliation", active="true", meta={"versionId": text(k % 2), "lastUpdated": "u"},
         **{subject: ref("Organization", F.concat(F.lit("o"), text(F.col("o_custkey"))))},
         period={"start": "2020"},
         location=Many(k % 3, 2, lambda i: ref("Location", F.concat_ws("-", text(k % 11), text(i)))),
         healthcareService=Many(k % 4, 3, lambda i: ref("HealthcareService", text(i))),
         code=Many(k % 3, 2, lambda i: concept(
-            F.when((k + i) % 2 == 0, provider.ENTITY_TYPE).otherwise(provider.PROVIDER_TYPE),
+            F.when((k + i) % 2 == 0, NEUTRAL.entity_type).otherwise(NEUTRAL.provider_type),
             F.concat(F.lit("c"), text(i)), F.concat(F.lit("d"), text(i)))),
-        specialty=Many(k % 4, 3, lambda i: concept(provider.TAXONOMY, pick(k + i, "x", "y"))),
+        specialty=Many(k % 4, 3, lambda i: concept(NEUTRAL.taxonomy, pick(k + i, "x", "y"))),
         identifier=Many(k % 2, 1, lambda i: {
             "type": concept(code="PEI"), "value": F.concat(F.lit("p?"), key)}),
         extension=F.concat(
@@ -298,7 +299,7 @@ def practitioner_docs(spark, sf):
     })
     board = {
         "code": {
-            "coding": [{"system": provider.TAXONOMY, "code": "T1"}],
+            "coding": [{"system": NEUTRAL.taxonomy, "code": "T1"}],
             "extension": [{"valueBoolean": F.when(k % 3 != 2, F.when(k % 3 == 0, "true").otherwise("false"))}],
         },
         "extension": [{"valueCode": "boardcert"}],
@@ -309,7 +310,7 @@ def practitioner_docs(spark, sf):
     }
     given = F.when(k % 3 == 0, F.array("o_orderstatus", F.lit("M"))).when(k % 3 == 1, F.array("o_orderstatus"))
     return documents(
-        spread_table(spark, sf, "orders"), schemas.PRACTITIONER,
+        table(spark, sf, "orders"), schemas.PRACTITIONER,
         id=text(k), resourceType="Practitioner", gender=pick(k, "male", "female"),
         meta={"versionId": "1", "lastUpdated": "u"},
         name=[{"family": F.col("o_orderpriority"), "given": given, "prefix": ["Dr"]}],
@@ -318,7 +319,7 @@ def practitioner_docs(spark, sf):
         identifier=Many(k % 4, 3, lambda i: {
             "type": concept(code=pick(k + i, "NPI", "PRN", "SS")), "value": F.concat_ws("-", text(k), text(i))}),
         telecom=Many(k % 3, 2, lambda i: {"system": pick(k + i, "fax", "other"), "use": "work", "value": text(i)}),
-        communication=Many(k % 3, 2, lambda i: concept(provider.LANGUAGE, pick(k + i, "en", "fr"))),
+        communication=Many(k % 3, 2, lambda i: concept(NEUTRAL.language, pick(k + i, "en", "fr"))),
         extension=Many(k % 2, 1, lambda i: {"extension": [{
             "url": "recognitionValue", "valueCodeableConcept": concept(code=text(k % 8)),
             "valuePeriod": {"start": "2020"}}]}),
@@ -464,7 +465,7 @@ _O = """(SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS id, o_orderstatu
 
 
 def _o(spark, sf):
-    return spread_table(spark, sf, "orders").select(
+    return table(spark, sf, "orders").select(
         F.col("o_orderkey").alias("k"), text(F.col("o_orderkey")).alias("id"), F.col("o_orderstatus").alias("st"),
         F.col("o_orderpriority").alias("prio"), text(F.col("o_orderdate").cast("date")).alias("dt"),
         text(F.col("o_custkey")).alias("cust"))

@@ -14,7 +14,7 @@ from flatspark.session import work_dir
 from flatspark.sources import (
     Mark,
     Partition,
-    add_partition,
+    add_partitions,
     append_mark,
     read_documents,
     read_folder,
@@ -211,10 +211,9 @@ def partitions(spark, sf):
             f"USING parquet PARTITIONED BY (year, month, day) LOCATION '{path}'"
         )
     repair_partitions(spark, tables["flat"])
-    for day in days.toLocalIterator():  # one catalog statement per folder, as a run would issue it
-        values = day.asDict()
-        where = path + "/" + "/".join(f"{k}={v}" for k, v in values.items())
-        add_partition(spark, tables["raw"], values, where)
+    folders = [day.asDict() for day in days.collect()]  # as many as there are folders to register
+    add_partitions(spark, tables["raw"], [
+        (values, path + "/" + "/".join(f"{k}={v}" for k, v in values.items())) for values in folders])
     shown = [spark.sql(f"SHOW PARTITIONS {t}").select(F.lit(kind).alias("kind"), "partition")
              for kind, t in tables.items()]
     return shown[0].unionByName(shown[1])

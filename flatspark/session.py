@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans of this package rely on. A hot entity makes one
 # join partition large; the skew-join rule must be allowed to split it even where
@@ -14,9 +14,6 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
-    "spark.sql.session.timeZone": "UTC",
-    # collect_set over many keys: stay with hashing longer before sorting.
-    "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
 }
 
 # Settings worth having when a session is started. Without a call site per column
@@ -34,8 +31,8 @@ def configure(spark: SparkSession) -> SparkSession:
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder path below the shared folder named by ``spark.checkpoint.dir``.
 
-    Only a local master may fall back to a temporary folder of the machine; on a
-    cluster the executors could not see it.
+    Where the setting is missing, a local master, whose executors are the driver, takes a
+    temporary folder of the machine; a cluster's executors could not see it, so that is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -44,3 +41,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
         base = tempfile.mkdtemp(prefix="flatspark-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/flatspark/{name}-{uuid.uuid4().hex}"
+
+
+def folder_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a path exists, on any file system Spark knows."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
+
+
+def materialize(df: DataFrame, path: str) -> DataFrame:
+    """Write a frame to the shared folder and read it back: cuts its plan, survives lost
+    executors, unlike a cache.
+    """
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -17,6 +17,7 @@ from flatspark.sources.runlog import (
 )
 from flatspark.sources.sinks import (
     add_partition,
+    add_partitions,
     materialize,
     repair_partitions,
     write_csv,
@@ -30,6 +31,7 @@ __all__ = [
     "NoMark",
     "Partition",
     "add_partition",
+    "add_partitions",
     "append_mark",
     "infer_schema",
     "materialize",

@@ -52,9 +52,13 @@ def read_documents(
     return df.select("*", F.col("_metadata.file_path").alias("file_path")) if with_file else df
 
 
-def read_folder(spark: SparkSession, path: str, schema: T.StructType, **options) -> DataFrame:
-    """Every ``.json`` file at any depth below a folder, as one frame."""
-    return read_documents(spark, path, schema, pattern="*.json", recursive=True, **options)
+def read_folder(
+    spark: SparkSession, path: str, schema: T.StructType, *, pattern: str = "*.json", **options
+) -> DataFrame:
+    """Every file at any depth below a folder whose name fits ``pattern``, as one frame. ``*`` takes
+    documents without a suffix, ``*.json*`` compressed ones too.
+    """
+    return read_documents(spark, path, schema, pattern=pattern, recursive=True, **options)
 
 
 def infer_schema(
@@ -63,12 +67,12 @@ def infer_schema(
     *,
     one_per_file: bool = True,
     recursive: bool = False,
-    ratio: float = 1.0,
+    pattern: str = "*.json",
 ) -> T.StructType:
     """The union schema of a folder, leaves as text. It costs a pass over the files: keep the result."""
-    reader = spark.read.option("multiLine", one_per_file).option("samplingRatio", ratio)
+    reader = spark.read.option("multiLine", one_per_file)
     if recursive:
-        reader = reader.option("pathGlobFilter", "*.json").option("recursiveFileLookup", True)
+        reader = reader.option("pathGlobFilter", pattern).option("recursiveFileLookup", True)
     return text_leaves(reader.json(path).schema)
 
 
@@ -90,7 +94,8 @@ class Partition:
 
 
 def read_partition(
-    spark: SparkSession, root: str, schema: T.StructType, partition: Partition, *, one_per_file: bool = True
+    spark: SparkSession, root: str, schema: T.StructType, partition: Partition, *, one_per_file: bool = True,
+    pattern: str | None = None,
 ) -> DataFrame:
     """The documents of one partition folder, with the partition values and the date ``pdate``.
 
@@ -99,7 +104,7 @@ def read_partition(
     """
     try:
         df = read_documents(
-            spark, f"{root.rstrip('/')}/{partition.folder}", schema, one_per_file=one_per_file
+            spark, f"{root.rstrip('/')}/{partition.folder}", schema, one_per_file=one_per_file, pattern=pattern
         )
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
@@ -124,25 +129,61 @@ def split_corrupt(
 ) -> tuple[DataFrame, DataFrame]:
     """(good documents, bad ones as rows of code, file and text).
 
-    Text that is not JSON has code 1001. With ``max_chars``, a longer text has code 1002 and
-    is not parsed. The texts are read once more for each of the two frames; nothing is cached.
+    Text that is not JSON has code 1001. Files and lines may hold an array of documents. With
+    ``max_chars``, a longer text has code 1002 and is not parsed; only then texts are read as
+    such, otherwise the JSON reader splits and checks them. Each of the two frames reads the
+    folder when it is used; nothing is cached.
     """
+    if max_chars is None:
+        return _split_by_reader(spark, path, schema, one_per_file, pattern, recursive)
     texts = spark.read.text(path, wholetext=one_per_file, pathGlobFilter=pattern, recursiveFileLookup=recursive)
     texts = texts.select("value", F.col("_metadata.file_path").alias("file_path"))
     texts = texts.where(F.length(F.trim("value")) > 0)
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
-    too_large = F.length("value") > max_chars if max_chars else F.lit(False)
-    parsed = F.from_json(
-        F.when(~too_large, F.col("value")), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    )
+    text = F.when(F.length("value") <= max_chars, F.col("value"))
+    one = F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
+    several = F.from_json(text, T.ArrayType(full), {"mode": "PERMISSIVE"})
+    broken = F.array(F.struct(*[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields],
+                              text.alias(CORRUPT)))
+    parsed = F.when(F.ltrim("value").startswith("["), F.coalesce(several, broken)).otherwise(F.array(one))
     # a generator between parsing and the filters below, so that a text is parsed once
-    checked = texts.select(
-        F.col("value").alias("_value"), F.col("file_path").alias("_file"), F.inline_outer(F.array(parsed))
-    )
-    too_large = F.length("_value") > max_chars if max_chars else F.lit(False)
-    code = F.when(too_large, JSON_TOO_LARGE).when(F.col(CORRUPT).isNotNull(), JSON_INVALID)
+    checked = texts.select(F.col("value").alias("_value"), F.col("file_path").alias("_file"), F.inline_outer(parsed))
+    # an empty array of documents has neither a document nor a fault
+    checked = checked.where(~F.ltrim("_value").rlike(r"^\[\s*\]\s*$"))
+    code = F.when(F.length("_value") > max_chars, JSON_TOO_LARGE).when(F.col(CORRUPT).isNotNull(), JSON_INVALID)
     good = checked.where(code.isNull()).select(*[F.col(quoted(n)) for n in schema.names])
     bad = checked.where(code.isNotNull()).select(
         code.alias("code"), F.col("_file").alias("file_path"), F.col("_value").alias("value")
     )
     return good, bad
+
+
+def with_corrupt(schema: T.StructType) -> T.StructType:
+    """The schema with a column for the text of malformed documents."""
+    return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+
+
+def good_rows(checked: DataFrame, schema: T.StructType) -> DataFrame:
+    return checked.where(F.col(CORRUPT).isNull()).select(*[F.col(quoted(n)) for n in schema.names])
+
+
+def bad_rows(checked: DataFrame, schema: T.StructType) -> DataFrame:
+    """code, file and text of malformed documents; ``checked`` has the column ``_file``."""
+    # The reader does not give the text column alone, so another column is asked for beside it.
+    text = F.coalesce(F.col(CORRUPT), F.col(quoted(schema.names[0])).cast("string"))
+    return checked.where(F.col(CORRUPT).isNotNull()).select(
+        F.lit(JSON_INVALID).alias("code"), F.col("_file").alias("file_path"), text.alias("value")
+    )
+
+
+def _split_by_reader(
+    spark: SparkSession, path: str, schema: T.StructType, one_per_file: bool, pattern: str | None, recursive: bool
+) -> tuple[DataFrame, DataFrame]:
+    reader = spark.read.schema(with_corrupt(schema)).option("multiLine", one_per_file)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    checked = reader.json(path).select("*", F.col("_metadata.file_path").alias("_file"))
+    return good_rows(checked, schema), bad_rows(checked, schema)

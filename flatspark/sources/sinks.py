@@ -11,13 +11,15 @@ from pyspark.sql import types as T
 from flatspark.functions.scalars import zero_pad
 from flatspark.operators.project import void_as_text
 from flatspark.plans.paths import quoted
+from flatspark.session import materialize  # noqa: F401  (a sink like the others)
+
+
+DATE_PARTS = ("month", "day", "hour")
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
-    """Replace a Parquet folder; void columns become text."""
-    void_as_text_only = [f for f in df.schema.fields if isinstance(f.dataType, T.NullType)]
-    out = void_as_text(df) if void_as_text_only else df
-    out.write.mode("overwrite").parquet(path)
+    """Replace a Parquet folder; void becomes text, at any depth, and nothing else changes."""
+    void_as_text(df).write.mode("overwrite").parquet(path)
 
 
 def write_csv(df: DataFrame, path: str, run_stamp: str | None = None) -> None:
@@ -35,13 +37,14 @@ def write_csv(df: DataFrame, path: str, run_stamp: str | None = None) -> None:
 
 
 def write_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
-    """Replace only the partitions the frame has rows for; values zero-padded.
+    """Replace only the partitions the frame has rows for. One-digit values of the date parts in
+    ``DATE_PARTS`` get a zero in front; other partition values are written as they are.
 
     Rows are brought together per partition in a number of tasks the runtime chooses by size,
     so that a partition gets few files and a large one is still written in parallel.
     """
     padded = df.select(
-        *[(zero_pad(F.col(c)) if c in parts and c != "year" else F.col(quoted(c))).alias(c) for c in df.columns]
+        *[(zero_pad(F.col(c)) if c in parts and c in DATE_PARTS else F.col(quoted(c))).alias(c) for c in df.columns]
     )
     (
         padded.hint("rebalance", *parts)
@@ -52,14 +55,6 @@ def write_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
     )
 
 
-def materialize(df: DataFrame, path: str) -> DataFrame:
-    """Write a frame to the shared folder and read it back: cuts its plan, survives lost
-    executors, unlike a cache.
-    """
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 _NAME = re.compile(r"\w+(\.\w+)*")
 
 
@@ -71,9 +66,20 @@ def _table(name: str) -> str:
 
 def add_partition(spark: SparkSession, table: str, values: dict[str, str], location: str) -> None:
     """Register one partition folder of a table if it is not known yet."""
-    spec = ", ".join(f"{k}='{v}'" for k, v in values.items())
-    place = location.replace("'", "\\'")
-    spark.sql(f"ALTER TABLE {_table(table)} ADD IF NOT EXISTS PARTITION ({spec}) LOCATION '{place}'")
+    add_partitions(spark, table, [(values, location)])
+
+
+def add_partitions(spark: SparkSession, table: str, folders: list[tuple[dict[str, str], str]]) -> None:
+    """Register partition folders of a table that are not known yet, in one statement."""
+    def text(value: str) -> str:
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    clauses = [
+        f"PARTITION ({', '.join(f'{k}={text(v)}' for k, v in values.items())}) LOCATION {text(location)}"
+        for values, location in folders
+    ]
+    if clauses:
+        spark.sql(f"ALTER TABLE {_table(table)} ADD IF NOT EXISTS {' '.join(clauses)}")
 
 
 def repair_partitions(spark: SparkSession, table: str) -> None:

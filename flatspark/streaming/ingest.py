@@ -5,9 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from flatspark.session import folder_exists
+from flatspark.sources.documents import CORRUPT, bad_rows, good_rows, with_corrupt
+from flatspark.sources.sinks import write_parquet
+
 
 def ingest_new_documents(
     spark: SparkSession,
@@ -21,18 +26,27 @@ def ingest_new_documents(
     one_per_file: bool = True,
     files_per_batch: int | None = None,
     trigger: dict | None = None,
+    pattern: str = "*.json",
+    bad_path: str | None = None,
 ) -> StreamingQuery:
-    """Start a stream over the ``.json`` files of a folder.
+    """Start a stream over the files of a folder whose names fit ``pattern``.
 
     The default trigger handles what is there and stops. The transformation is stateless per
     document. Each batch replaces its own ``batch_id`` folder, so a batch that is repeated
-    after a failure is not written twice. With ``archive`` (a folder outside the source) the
+    after a failure is not written twice. Numbering starts again with a new checkpoint, so a
+    target that holds batches is refused with one. With ``bad_path`` malformed documents are
+    written there per batch, with their code and file, and do not reach the transformation;
+    without it they fail the stream. With ``archive`` (a folder outside the source) the
     files of a finished batch are moved there when the next batch ends.
     """
+    if folder_exists(spark, target) and not folder_exists(spark, f"{checkpoint.rstrip('/')}/offsets"):
+        raise ValueError(f"{target} holds batches of another checkpoint")
     reader = (
-        spark.readStream.schema(schema)
+        spark.readStream.schema(schema if bad_path is None else with_corrupt(schema))
         .option("multiLine", one_per_file)
-        .option("pathGlobFilter", "*.json")
+        .option("pathGlobFilter", pattern)
+        .option("mode", "FAILFAST" if bad_path is None else "PERMISSIVE")
+        .option("columnNameOfCorruptRecord", CORRUPT)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -40,11 +54,16 @@ def ingest_new_documents(
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
 
     def write(batch: DataFrame, batch_id: int) -> None:
+        if bad_path is not None:
+            write_parquet(bad_rows(batch, schema), f"{bad_path}/batch_id={batch_id}")
+            batch = good_rows(batch, schema)
         transform(batch).write.mode("overwrite").parquet(f"{target}/batch_id={batch_id}")
 
+    rows = reader.json(source)
+    if bad_path is not None:
+        rows = rows.select("*", F.col("_metadata.file_path").alias("_file"))
     return (
-        reader.json(source)
-        .writeStream.foreachBatch(write)
+        rows.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
         .start()

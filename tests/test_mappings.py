@@ -9,6 +9,7 @@ from pyspark.sql import types as T
 from flatspark.jobs import mappings as M
 from flatspark.jobs import provider as P
 from flatspark.jobs import schemas as S
+from flatspark.jobs.systems import NEUTRAL
 from flatspark.plans import level_flatten, map_documents
 from flatspark.sources import text_leaves
 
@@ -35,13 +36,13 @@ def affiliation(networks, locations, services):
     return {
         "id": "1",
         "extension": [
-            *[{"url": P.NETWORK_REF, "valueReference": {"reference": f"Network/{i:02}"}} for i in range(networks)],
-            {"url": P.LICENSEE_REF, "valueReference": {"reference": "Organization/x"}},
-            {"url": P.CONTRACT, "valueBoolean": "true"},
+            *[{"url": NEUTRAL.network_ref, "valueReference": {"reference": f"Network/{i:02}"}} for i in range(networks)],
+            {"url": NEUTRAL.licensee_ref, "valueReference": {"reference": "Organization/x"}},
+            {"url": NEUTRAL.contract, "valueBoolean": "true"},
             {"url": "n", "extension": [{"url": "displayIndicatorProvider", "valueBoolean": True}]},
         ],
-        "code": [coded((P.ENTITY_TYPE, "E")), coded((P.PROVIDER_TYPE, "T"))],
-        "specialty": [coded((P.TAXONOMY, "X"))],
+        "code": [coded((NEUTRAL.entity_type, "E")), coded((NEUTRAL.provider_type, "T"))],
+        "specialty": [coded((NEUTRAL.taxonomy, "X"))],
         "location": [{"reference": f"Location/{i}"} for i in range(locations)],
         "healthcareService": [{"reference": f"HealthcareService/{i}"} for i in range(services)],
     }

@@ -100,7 +100,10 @@ def test_optional_and_void_columns(spark):
     df = spark.sql("SELECT named_struct('b', array(named_struct('c', 'x'))) AS a, NULL AS v")
     r = df.select(optional_column(df, "a.b.c", "c"), optional_column(df, "a.z"), optional_column(df, "q.r")).first()
     assert tuple(r) == (["x"], None, None)
-    assert [f.dataType.simpleString() for f in void_as_text(df).schema] == ["string", "string"]
+    assert [f.dataType.simpleString() for f in void_as_text(df).schema] == ["struct<b:array<struct<c:string>>>", "string"]
+    assert [f.dataType.simpleString() for f in void_as_text(df, structs_as_json=True).schema] == ["string", "string"]
+    deep = void_as_text(spark.sql("SELECT array(named_struct('a', NULL, 'b', 1)) AS x, map('k', NULL) AS m"))
+    assert [f.dataType.simpleString() for f in deep.schema] == ["array<struct<a:string,b:int>>", "map<string,string>"]
 
 
 def test_union_by_name(spark):

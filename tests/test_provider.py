@@ -4,6 +4,7 @@ import pytest
 
 from flatspark.jobs import provider as P
 from flatspark.jobs import schemas as S
+from flatspark.jobs.systems import NEUTRAL
 
 
 def coding(system=None, code=None, display=None):
@@ -30,7 +31,7 @@ def test_healthcare_service(json_docs):
     docs = [
         {"id": "1", "resourceType": "H", "meta": {"versionId": "1"},
          "category": [coding(display="medicare"), coding(display="disclaimer")],
-         "type": [coding(P.CHARACTERISTIC, "b"), coding(P.CHARACTERISTIC, "a"), coding("other", "z")]},
+         "type": [coding(NEUTRAL.characteristic, "b"), coding(NEUTRAL.characteristic, "a"), coding("other", "z")]},
         {"id": "2", "resourceType": "H", "meta": {"versionId": "1"}},
     ]
     rows = both(P.healthcare_service, json_docs, docs, S.HEALTHCARE_SERVICE)
@@ -44,7 +45,7 @@ def test_healthcare_service(json_docs):
 
 def test_characteristics_are_collapsed_over_versions(json_docs):
     docs = [{"id": "1", "resourceType": "H", "meta": {"versionId": str(v)},
-             "type": [coding(P.CHARACTERISTIC, f"c{v}")]} for v in (1, 2)]
+             "type": [coding(NEUTRAL.characteristic, f"c{v}")]} for v in (1, 2)]
     rows = rows_of(P.healthcare_service(json_docs(docs, S.HEALTHCARE_SERVICE)))
     assert sorted((r["versionId"], r["PROV_CHRTC_CD"]) for r in rows) == [("1", "[c1~c2]"), ("2", "[c1~c2]")]
 
@@ -64,7 +65,7 @@ ORGANIZATION = {
     "identifier": [
         {"value": "t1", "type": coding(code="TAX")},
         {"value": "n1", "type": coding(code="NPI")}, {"value": "n0", "type": coding(code="NPI")},
-        {"value": "m1", "system": P.ORGANIZATION_MASTER},
+        {"value": "m1", "system": NEUTRAL.organization_master},
         {"value": "x1", "type": coding(code="PCRN"), "period": {"start": "s"}},
     ],
     "telecom": [{"system": "phone", "value": "2"}, {"system": "phone", "value": "1"},
@@ -100,14 +101,14 @@ def affiliation(ident="1", subject="participatingOrganization"):
         "period": {"start": "2020", "end": "2021"},
         "location": [{"reference": "Location/l1"}, {"reference": "Location/l2"}],
         "healthcareService": [{"reference": "HealthcareService/h1"}],
-        "code": [coding(P.ENTITY_TYPE, "E1"), coding(P.PROVIDER_TYPE, "T1", "Type one")],
-        "specialty": [coding(P.TAXONOMY, "x2"), coding(P.TAXONOMY, "x1")],
+        "code": [coding(NEUTRAL.entity_type, "E1"), coding(NEUTRAL.provider_type, "T1", "Type one")],
+        "specialty": [coding(NEUTRAL.taxonomy, "x2"), coding(NEUTRAL.taxonomy, "x1")],
         "identifier": [{"value": "p?1", "type": coding(code="PEI")}],
         "extension": [
-            {"url": P.NETWORK_REF, "valueReference": {"reference": "Network/n1"}},
-            {"url": P.NETWORK_REF, "valueReference": {"reference": "Network/n2"}},
-            {"url": P.LICENSEE_REF, "valueReference": {"reference": "Organization/lic"}},
-            {"url": P.CONTRACT, "valueBoolean": True},
+            {"url": NEUTRAL.network_ref, "valueReference": {"reference": "Network/n1"}},
+            {"url": NEUTRAL.network_ref, "valueReference": {"reference": "Network/n2"}},
+            {"url": NEUTRAL.licensee_ref, "valueReference": {"reference": "Organization/lic"}},
+            {"url": NEUTRAL.contract, "valueBoolean": True},
             {"url": "i", "extension": [
                 {"url": "acceptingPatients", "valueCodeableConcept": coding(code="yes")},
                 {"url": "valueBasedProgramIdentifier", "valueIdentifier": {"value": "v1"}}]},
@@ -155,17 +156,17 @@ PRACTITIONER = {
               "extension": [{"url": "t", "valueString": "Title"}]}],
     "qualification": [
         licence("L2"), licence("L1"), licence("L0", state=None),
-        {"code": {"coding": [{"system": P.TAXONOMY, "code": "TX1"}], "extension": [{"valueBoolean": True}]},
+        {"code": {"coding": [{"system": NEUTRAL.taxonomy, "code": "TX1"}], "extension": [{"valueBoolean": True}]},
          "extension": [{"valueCode": "boardcert"}]},
-        {"code": {"coding": [{"system": P.TAXONOMY, "code": "TX2"}]}, "extension": [{"valueCode": "boardcert"}]},
+        {"code": {"coding": [{"system": NEUTRAL.taxonomy, "code": "TX2"}]}, "extension": [{"valueCode": "boardcert"}]},
         {"code": {"coding": [{"code": "PHD"}]}, "extension": [{"valueCode": "degree"}]},
         {"code": {"coding": [{"code": "MEDSCHL"}]}, "issuer": {"reference": "Organization/school"},
          "period": {"end": "1999"}},
     ],
     "identifier": [{"value": "i1", "type": coding(code="NPI")}, {"value": "i2", "type": coding(code="PRN")},
-                   {"value": "m", "system": P.PRACTITIONER_MASTER}],
+                   {"value": "m", "system": NEUTRAL.practitioner_master}],
     "telecom": [{"system": "fax", "value": "f"}],
-    "communication": [coding(P.LANGUAGE, "fr"), coding(P.LANGUAGE, "en"), coding("x", "zz")],
+    "communication": [coding(NEUTRAL.language, "fr"), coding(NEUTRAL.language, "en"), coding("x", "zz")],
     "extension": [
         {"extension": [{"url": "recognizingEntity", "valueCodeableConcept": {"coding": [{"code": "E1"}]}}]},
         {"extension": [{"url": "recognitionValue", "valueCodeableConcept": {"coding": [{"code": "V2"}]}},
@@ -223,9 +224,3 @@ def test_unique_entities_need_no_shuffle(json_docs, spark):
     df = json_docs([PRACTITIONER], S.PRACTITIONER)
     plan = P.practitioner(df, unique=True)._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
-
-
-def test_sensitive_columns_can_be_masked(json_docs):
-    df = P.masked(P.network(json_docs([{"id": "1", "name": "x"}], S.NETWORK)), ["NETWORK_NM", "NETWORK_CD"])
-    (r,) = df.collect()
-    assert len(r.NETWORK_NM) == 64 and r.NETWORK_CD is None
