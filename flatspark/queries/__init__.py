@@ -33,5 +33,6 @@ def load_all() -> None:
         jobs,
         projection,
         rules,
+        shared,
         storage,
     )

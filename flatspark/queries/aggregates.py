@@ -100,6 +100,16 @@ def numbering(spark, sf):
     return number_rows(e, ["user_id"], ["ts", "event_id"], chunk=hour()).drop("ts")
 
 
+@query("w1_row_number_hot_entity", f"""{EVENT_CTE}
+SELECT event_id, CAST(row_number() OVER (PARTITION BY CASE WHEN user_id % 3 = 0 THEN 0 ELSE user_id END ORDER BY ts, event_id) AS INTEGER) AS seq
+FROM e""")
+def numbering_hot(spark, sf):
+    """A third of all events under one user, without a chunk."""
+    e = table(spark, sf, "events").select(
+        "event_id", F.when(F.col("user_id") % 3 == 0, 0).otherwise(F.col("user_id")).alias("user_id"), "ts")
+    return number_rows(e, ["user_id"], ["ts", "event_id"]).select("event_id", "seq")
+
+
 @query("w1_row_number_small_entities", f"""{EVENT_CTE}
 SELECT event_id, CAST(row_number() OVER (PARTITION BY user_id, day, kind ORDER BY event_id) AS INTEGER) AS seq FROM e""")
 def numbering_plain(spark, sf):

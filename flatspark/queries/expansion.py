@@ -185,6 +185,19 @@ def children(spark, sf):
     )
 
 
+@query("e10_child_tables_long_names", f"""{ORDER_CTE}
+SELECT o.id, CAST(e.i AS INTEGER) AS pos, e.url AS a, (SELECT arg_max(url, j) FROM {inner_extensions('e')}) AS b
+FROM o, LATERAL {EXTENSIONS} e""")
+def children_long_names(spark, sf):
+    """An inner array with an underscore in its name."""
+    table = {"No_of_array_levels": 2, "L1_array_name": "extension", "L2_array_name": "inner_ext",
+             "column_names": ["url", "inner_ext_url"]}
+    renamed = F.transform("extension", lambda e: F.struct(e["url"].alias("url"), e["extension"].alias("inner_ext")))
+    docs = order_docs(spark, sf).select("id", renamed.alias("extension"))
+    rows = child_tables(docs, {"Tables": {"t": table}}, ["id"])["t"]
+    return rows.select("id", "pos", F.col("extension_url").alias("a"), F.col("extension_inner_ext_url").alias("b"))
+
+
 @query("e11_nonarray_product", f"""{ORDER_CTE}
 SELECT o.id, c.value AS contact, e.value AS extension,
   coalesce((SELECT string_agg(url, ',' ORDER BY i) FROM {PROFILES}), '') AS profiles

@@ -25,6 +25,7 @@ from flatspark.sources import (
     write_parquet,
     write_partitions,
 )
+from flatspark.sources.runlog import SCHEMA as RUN_LOG
 from flatspark.streaming import ingest_new_documents
 
 CONTACT = obj("system", "value", "use")
@@ -153,6 +154,42 @@ def corrupt(spark, sf):
     )
 
 
+@query("s8_arrays_of_documents", """
+WITH t AS (SELECT o_orderkey AS k, CAST(o_orderkey AS VARCHAR) AS id, o_orderstatus AS status FROM orders)
+SELECT NULL::INTEGER AS code, id, status FROM t WHERE k % 5 <> 0
+UNION ALL SELECT NULL, id || '-' || CAST(i AS VARCHAR), status FROM t, (SELECT unnest([0, 1]) AS i) WHERE k % 5 = 0 AND k % 10 <> 0
+UNION ALL SELECT 1001, NULL, NULL FROM t WHERE k % 10 = 0""")
+def arrays(spark, sf):
+    """A file holds a document or an array of documents; a cut-off array is one malformed file."""
+    path = work_dir(spark, "s8a")
+    k, key = F.col("o_orderkey"), text(F.col("o_orderkey"))
+
+    def one(name):
+        return F.concat(F.lit('{"id":"'), name, F.lit('","status":"'), "o_orderstatus", F.lit('"}'))
+
+    two = F.concat(F.lit("["), one(F.concat(key, F.lit("-0"))), F.lit(", "), one(F.concat(key, F.lit("-1"))))
+    table(spark, sf, "orders").select(
+        F.when(k % 10 == 0, two).when(k % 5 == 0, F.concat(two, F.lit("]"))).otherwise(one(key)).alias("value")
+    ).write.text(path)
+    good, bad = split_corrupt(spark, path, obj("id", "status"), one_per_file=False)
+    none = F.lit(None).cast("string")
+    return good.select(F.lit(None).cast("int").alias("code"), "id", "status").unionByName(
+        bad.select("code", none.alias("id"), none.alias("status")))
+
+
+@query("k1_parquet_struct_and_void", f"""{ORDER_CTE}
+SELECT id, version, updated, CAST(NULL AS VARCHAR) AS nothing, CAST(NULL AS VARCHAR) AS deep FROM o""")
+def parquet_struct(spark, sf):
+    """A struct stays a struct beside a void column, and void inside an array becomes text."""
+    path = work_dir(spark, "k1s")
+    docs = order_docs(spark, sf).select(
+        "id", "meta", F.lit(None).alias("nothing"), F.array(F.struct(F.lit(None).alias("v"))).alias("deep"))
+    write_parquet(docs, path)
+    back = spark.read.parquet(path)
+    return back.select("id", F.col("meta.versionId").alias("version"), F.col("meta.lastUpdated").alias("updated"),
+                       "nothing", F.col("deep")[0]["v"].alias("deep"))
+
+
 @query("k1_parquet_roundtrip", f"{ORDER_CTE} SELECT id, version, CAST(NULL AS VARCHAR) AS nothing FROM o")
 def parquet(spark, sf):
     path = work_dir(spark, "k1")
@@ -193,6 +230,21 @@ def overwrite(spark, sf):
     return spark.read.schema(schema).parquet(path)
 
 
+@query("k3_partition_values", """
+SELECT event_id, event_type AS kind, event_type || '-' || CAST(user_id % 3 AS VARCHAR) AS region,
+  CASE user_id % 3 WHEN 0 THEN 'again' ELSE 'first' END AS run FROM events""")
+def partition_values(spark, sf):
+    """Values that share a beginning stay apart, and a later run replaces only its own."""
+    path = work_dir(spark, "k3v")
+    e = table(spark, sf, "events").select(
+        "event_id", F.col("event_type").alias("kind"), "user_id",
+        F.concat_ws("-", "event_type", text(F.col("user_id") % 3)).alias("region"))
+    write_partitions(e.drop("user_id").withColumn("run", F.lit("first")), path, ["region"])
+    again = e.where(F.col("user_id") % 3 == 0).drop("user_id")
+    write_partitions(again.withColumn("run", F.lit("again")), path, ["region"])
+    return spark.read.schema("event_id long, kind string, run string, region string").parquet(path)
+
+
 @query("k5_register_partitions", """
 SELECT DISTINCT kind, strftime(ts, 'year=%Y/month=%m/day=%d') AS partition
 FROM events, (SELECT unnest(['raw', 'flat']) AS kind)""")
@@ -245,6 +297,35 @@ def stream(spark, sf):
     return spark.read.parquet(f"{base}/out").drop("batch_id")
 
 
+_BAD_DOCS = """
+SELECT NULL::INTEGER AS code, CAST(o_orderkey AS VARCHAR) AS id FROM orders WHERE o_orderkey % 6 <> 0
+UNION ALL SELECT 1001, '{"id":"' || CAST(o_orderkey AS VARCHAR) FROM orders WHERE o_orderkey % 6 = 0"""
+
+
+def _some_broken(spark, sf):
+    key = text(F.col("o_orderkey"))
+    cut = F.concat(F.lit('{"id":"'), key)
+    return table(spark, sf, "orders").select(
+        F.when(F.col("o_orderkey") % 6 == 0, cut).otherwise(F.concat(cut, F.lit('"}'))).alias("value"))
+
+
+def _codes(spark, good, bad):
+    none = F.lit(None).cast("int")
+    return good.select(none.alias("code"), "id").unionByName(
+        bad.where(F.col("file_path").isNotNull()).select("code", F.col("value").alias("id")))
+
+
+@query("t1_stream_malformed", _BAD_DOCS)
+def stream_malformed(spark, sf):
+    """Files of any name; malformed documents are put aside per batch."""
+    base = work_dir(spark, "t1m")
+    _some_broken(spark, sf).write.text(f"{base}/in")
+    ingest_new_documents(
+        spark, f"{base}/in", obj("id"), lambda d: d, f"{base}/out", f"{base}/checkpoint", one_per_file=False,
+        pattern="part-*", bad_path=f"{base}/bad").awaitTermination()
+    return _codes(spark, spark.read.parquet(f"{base}/out"), spark.read.parquet(f"{base}/bad"))
+
+
 @query("k7_archive_source", _ORDER_ROWS.replace(
     "SELECT id, version", f"SELECT CASE WHEN updated < '{WAVE}' THEN 'done' ELSE 'in' END AS place, id, version"))
 def archive(spark, sf):
@@ -257,6 +338,37 @@ def archive(spark, sf):
 
 # ---------------------------------------------------------------- incremental
 
+@query("t2_incremental_malformed", _BAD_DOCS)
+def daily_malformed(spark, sf):
+    """One day's folder with malformed documents among its files."""
+    base = work_dir(spark, "t2m")
+    day = Partition(datetime(2024, 3, 5))
+    _some_broken(spark, sf).write.text(f"{base}/in/{day.folder}")
+    job = Job("t2m", obj("id"), lambda d: d, f"{base}/in", f"{base}/out", f"{base}/log", one_per_file=False,
+              pattern="part-*", bad_path=f"{base}/bad")
+    run_once(spark, job, after=Mark("2024-03-04"), now=datetime(2024, 4, 1))
+    good = spark.read.schema("id string").parquet(f"{base}/out/{day.folder}")
+    return _codes(spark, good, spark.read.parquet(f"{base}/bad/{day.folder}"))
+
+
+@query("t5_run_log", """
+WITH d AS (SELECT CAST(ts AS DATE) AS day, count(*) AS n FROM events GROUP BY 1),
+l AS (SELECT max(day) AS last FROM d)
+SELECT strftime(last - i, '%Y-%m-%d') AS last_date, 't5' AS job_name_met, n IS NOT NULL AS had_data, 2 * n AS row_count
+FROM (SELECT last, unnest([-1, 0, 1]) AS i FROM l) LEFT JOIN d ON d.day = last - i
+UNION ALL SELECT strftime(last - 2, '%Y-%m-%d'), 't5', TRUE, 0 FROM l""")
+def run_log(spark, sf):
+    """Three runs after a mark: two days with events, one without; the log holds each with its rows."""
+    base = work_dir(spark, "t5")
+    source, last = _event_folder(spark, sf, "t5-in", False), _last_moment(spark, sf)
+    job = Job("t5", EVENT_SCHEMA, _tag_rows, source, f"{base}/out", f"{base}/log", one_per_file=False)
+    append_mark(spark, job.log_path, "t5", Partition(last - timedelta(days=2)), True, 0)
+    for _ in range(3):
+        run_once(spark, job, now=last + timedelta(days=3))
+    log = spark.read.schema(RUN_LOG).option("header", True).csv(job.log_path)
+    return log.select("last_date", "job_name_met", "had_data", "row_count")
+
+
 def _tag_rows(docs):
     return docs.select("event_id", F.inline("tags")).select("event_id", "system", "value")
 

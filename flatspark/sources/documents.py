@@ -171,7 +171,7 @@ def bad_rows(checked: DataFrame, schema: T.StructType) -> DataFrame:
     """code, file and text of malformed documents; ``checked`` has the column ``_file``."""
     # The reader does not give the text column alone, so another column is asked for beside it.
     text = F.coalesce(F.col(CORRUPT), F.col(quoted(schema.names[0])).cast("string"))
-    return checked.where(F.col(CORRUPT).isNotNull()).select(
+    return checked.where(F.col(CORRUPT).isNotNull() & (F.length(text) >= 0)).select(
         F.lit(JSON_INVALID).alias("code"), F.col("_file").alias("file_path"), text.alias("value")
     )
 
