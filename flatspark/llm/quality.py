@@ -32,12 +32,14 @@ RESULTS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"
 class Rules:
     """Thresholds of the verdict: parts of a hundred, or words. A line of ``unclosed`` words may end
     without closing punctuation, as a text cut off does; one of ``stock`` words may hold a stock
-    phrase, as a paragraph about such things does.
+    phrase, as a paragraph about such things does; one of ``varied`` words may repeat its words, as
+    any long text does.
     """
 
     keep_share: int = 50
     unclosed: int = 12
     stock: int = 30
+    varied: int = 200
     separators: int = 25
     symbols: int = 50
     shouting: int = 50
@@ -58,7 +60,7 @@ def line_passes(line: Column, words: Column, rules: Rules) -> Column:
         | ((separators >= 2) & (separators * 100 >= n * rules.separators))
         | ((symbols >= 3) & (symbols * 100 > n * rules.symbols))
         | ((n >= 5) & (shouted * 100 > n * rules.shouting))
-        | ((n >= 10) & (F.size(F.array_distinct(words)) * 100 < n * rules.distinct))
+        | ((n >= 10) & (n < rules.varied) & (F.size(F.array_distinct(words)) * 100 < n * rules.distinct))
         | ((n < rules.stock) & F.lower(line).rlike(PHRASES))
     )
     return (n == 0) | ~fails
@@ -103,10 +105,12 @@ def covered_words(positions: Column) -> Column:
 
 def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFrame:
     """The input with the counts, the verdict ``kept`` and the text of the passing lines in ``cleaned``."""
-    source = F.coalesce(F.col(text), F.lit(""))
-    df = docs.drop(*[c for c in (*RESULTS, "cleaned") if c in docs.columns])
-    inputs = df.columns
-    df = held(df, _words=words_of(F.col(text)), _lines=F.split(source, "\n"))
+    inputs = [c for c in docs.columns if c not in (*RESULTS, "cleaned")]
+    # the input's other columns out of the way of names used here
+    rest = F.struct(*[F.col(c) for c in inputs if c != text], F.lit(0).alias("_none"))
+    df = docs.select(rest.alias("_rest"), F.col(text).alias("_text"))
+    source = F.coalesce(F.col("_text"), F.lit(""))
+    df = held(df, _words=words_of(F.col("_text")), _lines=F.split(source, "\n"))
     df = held(df, _windows=window_hashes(F.col("_words")))
     line_words = F.transform("_lines", lambda x: F.array_remove(F.split(x, SPACE), ""))
     judged = F.zip_with(
@@ -131,4 +135,5 @@ def judge(docs: DataFrame, rules: Rules = Rules(), text: str = "text") -> DataFr
     )
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     kept = ~failed & (F.col("_kept_words") * 100 >= F.col("n_words") * rules.keep_share)
-    return df.select(*inputs, *RESULTS[:5], failed.alias("base_failed"), kept.alias("kept"), "cleaned")
+    given = [F.col("_text").alias(c) if c == text else F.col("_rest")[c].alias(c) for c in inputs]
+    return df.select(*given, *RESULTS[:5], failed.alias("base_failed"), kept.alias("kept"), "cleaned")

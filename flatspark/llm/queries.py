@@ -100,7 +100,7 @@ lj AS (SELECT r, l, len(lw) AS n, len(lw) = 0 OR NOT (
          OR (len(regexp_extract_all(l, '[#*$%&|<>]')) >= 3 AND len(regexp_extract_all(l, '[#*$%&|<>]')) * 100 > len(lw) * 50)
          OR (len(lw) >= 5 AND len(list_filter(lw, lambda x: regexp_matches(x, '\p{Lu}.*\p{Lu}')
              AND NOT regexp_matches(x, '\p{Ll}'))) * 100 > len(lw) * 50)
-         OR (len(lw) >= 10 AND len(list_distinct(lw)) * 100 < len(lw) * 30)
+         OR (len(lw) >= 10 AND len(lw) < 200 AND len(list_distinct(lw)) * 100 < len(lw) * 30)
          OR (len(lw) < 30 AND regexp_matches(lower(l), '""" + quality.PHRASES + r"""'))) AS ok FROM li),
 g AS (SELECT r, count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS dups,
              coalesce(sum(n) FILTER (ok), 0) AS passing FROM lj GROUP BY r),
