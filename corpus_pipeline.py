@@ -19,14 +19,15 @@ ORACLE_SQL = None  # SQL has neither MinHash groups nor tokenizers; see tests/ll
 
 
 def _packed(docs: DataFrame) -> DataFrame:
-    """The operators' columns, and the whole row out of their way."""
-    return docs.select("doc_id", "text", F.struct("*").alias("_doc"))
+    """The operators' columns, and the rest of the row out of their way."""
+    rest = [F.col(c) for c in docs.columns if c not in ("text", "n_chars")]
+    return docs.select("doc_id", "text", F.struct(*rest).alias("_doc"))
 
 
 def _unpacked(df: DataFrame, docs: DataFrame, text: Column) -> DataFrame:
     """The columns of ``docs`` with another text."""
     new = {"text": text, "n_chars": F.length(text).cast("long")}
-    return df.select(*[new.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns])
+    return df.select(*[(new[c] if c in new else F.col("_doc")[c]).alias(c) for c in docs.columns])
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
