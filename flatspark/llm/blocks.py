@@ -52,3 +52,23 @@ def pack_words(words: list[bytes]) -> bytes:
 def unpack_words(n: int, data: bytes) -> list[bytes]:
     at = (4 * n + np.concatenate([[0], np.cumsum(np.frombuffer(data, np.uint32, n), dtype=np.int64)])).tolist()
     return [data[a:b] for a, b in zip(at[:-1], at[1:])]
+
+
+def squeezed(data: bytes) -> bytes:
+    """Compressed, behind its length."""
+    return len(data).to_bytes(8, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueezed(data: bytes) -> bytes:
+    return pa.decompress(data[8:], int.from_bytes(data[:8], "little"), codec="zstd", asbytes=True)
+
+
+def planes(numbers: np.ndarray) -> bytes:
+    """Unsigned 32-bit integers, compressed byte place by byte place: the high places are mostly zero."""
+    parts = np.ascontiguousarray(numbers, "<u4").view(np.uint8).reshape(-1, 4)
+    return squeezed(np.ascontiguousarray(parts.T).tobytes())
+
+
+def from_planes(data: bytes) -> np.ndarray:
+    parts = np.frombuffer(unsqueezed(data), np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(parts.T).view("<u4").reshape(-1)

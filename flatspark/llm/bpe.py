@@ -26,7 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from flatspark.llm.blocks import PART, in_blocks, pack_words, record, unpack_words
+from flatspark.llm.blocks import (
+    PART, from_planes, in_blocks, pack_words, planes, record, squeezed, unpack_words, unsqueezed,
+)
 
 BLOCK_BYTES = 24 << 20
 WORDS = "part int, block long, n int, codes binary, words binary"
@@ -119,8 +121,8 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", block_
                 if dealt[part]:
                     yield record({
                         "part": ([part], pa.int32()), "block": ([block], pa.int64()), "n": ([len(codes[part])], pa.int32()),
-                        "codes": ([np.array(codes[part], np.uint32).tobytes()], pa.binary()),
-                        "words": ([pack_words(dealt[part])], pa.binary())})
+                        "codes": ([planes(np.array(codes[part], np.uint32))], pa.binary()),
+                        "words": ([squeezed(pack_words(dealt[part]))], pa.binary())})
 
     def encode_once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding, known, current = _encoding(path, pattern), {}, None
@@ -129,14 +131,15 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", block_
                 part, block, n = b["part"][i].as_py(), b["block"][i].as_py(), b["n"][i].as_py()
                 if part != current:
                     known, current = {}, part
-                words = unpack_words(n, b["words"][i].as_py())
-                for w in set(words) - known.keys():
-                    known[w] = np.array(encoding.encode_ordinary(w.decode()), np.uint16).tobytes()
+                words = unpack_words(n, unsqueezed(b["words"][i].as_py()))
+                for w in words:
+                    if w not in known:
+                        known[w] = np.array(encoding.encode_ordinary(w.decode()), np.uint16).tobytes()
                 yield record({
                     "block": ([block], pa.int64()), "kind": ([0], pa.int32()), "row": ([part], pa.int64()),
                     "doc_id": ([None], pa.int64()), "n": ([n], pa.int32()),
                     "codes": ([b["codes"][i].as_py()], pa.binary()),
-                    "ids": ([pack_words([known[w] for w in words])], pa.binary())})
+                    "ids": ([squeezed(pack_words([known[w] for w in words]))], pa.binary())})
 
     def sequences(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = 0
@@ -144,7 +147,7 @@ def encoded(docs: DataFrame, path: str, pattern: str, text: str = "text", block_
             if rows is None:
                 continue
             n = rows.num_rows
-            small = [c.astype(np.uint16 if len(c) == 0 or c.max() < 1 << 16 else np.uint32).tobytes() for c in codes]
+            small = [planes(c) for c in codes]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([block] * n, pa.int64()), pa.array([1] * n, pa.int32()),
                  pa.array(range(row, row + n), pa.int64()), rows["doc_id"], pa.array([len(c) for c in codes], pa.int32()),
@@ -167,11 +170,11 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for i in range(b.num_rows):
             if blocks[i] != block:
                 block, gathered, flat = blocks[i], [], None
-            data = codes[i].as_buffer()
+            numbers = from_planes(codes[i].as_py())
             if kinds[i] == 0:
-                packed = ids[i].as_py()
+                packed = unsqueezed(ids[i].as_py())
                 size = np.frombuffer(packed, np.uint32, ns[i]) // 2
-                gathered.append((np.frombuffer(data, np.uint32), size, np.frombuffer(packed, np.uint16, offset=4 * ns[i])))
+                gathered.append((numbers, size, np.frombuffer(packed, np.uint16, offset=4 * ns[i])))
                 continue
             if flat is None:
                 order = np.concatenate([g[0] for g in gathered]) if gathered else np.empty(0, np.uint32)
@@ -181,8 +184,7 @@ def _reassemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 starts, lengths = np.empty(len(order), np.int64), np.empty(len(order), np.int64)
                 starts[order], lengths[order] = at, size
                 gathered = []
-            kind = np.uint16 if ns[i] and data.size == 2 * ns[i] else np.uint32
-            seq = np.frombuffer(data, kind) if ns[i] else np.empty(0, np.int64)
+            seq = numbers
             n = lengths[seq]
             total = int(n.sum())
             ends = np.cumsum(n)
