@@ -58,6 +58,9 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
+        vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
+        self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
         self._words: dict[bytes, bytes] = {}
         self._pieces: dict[str, bytes] = {}
         self._limit = limit
@@ -66,7 +69,18 @@ class WordEncoder:
         found = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, np.uint32).tobytes() for e in found]
 
-    def _learn(self, words: set[bytes]) -> None:
+    def _piece_ids(self, pieces: list[str], together: int = 200) -> list[bytes]:
+        """The ids of single pieces, many in one call: a piece's last token alone ends a word."""
+        out = []
+        groups = [pieces[i: i + together] for i in range(0, len(pieces), together)]
+        for group, found in zip(groups, self._tokenizer.encode_batch_fast([" ".join(g) for g in groups], add_special_tokens=False)):
+            ids = np.array(found.ids, np.uint32)
+            ends = (np.flatnonzero(self._ends[ids]) + 1) * 4
+            raw, at = ids.tobytes(), [0, *ends.tolist()]
+            out += [raw[x:y] for x, y in zip(at[:-1], at[1:])] if len(ends) == len(group) else self._ids(group)
+        return out
+
+    def _learn(self, words: list[bytes]) -> None:
         plain, other = {}, []
         for w in words:
             text = w.decode()
@@ -74,29 +88,33 @@ class WordEncoder:
                 plain[w] = _PIECES.findall(text.lower())
             else:
                 other.append(w)
-        new = list({p for pieces in plain.values() for p in pieces} - self._pieces.keys())
-        self._pieces.update(zip(new, self._ids(new)))
         known = self._pieces
+        new = list({p for pieces in plain.values() for p in pieces if p not in known})
+        known.update(zip(new, self._piece_ids(new)))
         for w, pieces in plain.items():
             self._words[w] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
         self._words.update(zip(other, self._ids([w.decode() for w in other])))
 
-    def encode(self, texts: list[bytes]) -> list[bytes]:
+    def encode(self, texts: list[bytes], at_once: int = 1 << 20) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        out = []
-        for text in texts:
-            words = text.split()
-            # Emptied between texts only: a text needs all its words at once.
+        start = 0
+        while start < len(texts):
+            end, size = start, 0
+            while end < len(texts) and (end == start or size + len(texts[end]) <= at_once):
+                size += len(texts[end])
+                end += 1
+            # Emptied between groups of texts only: a group needs all its words at once.
             if len(self._words) > self._limit:
                 self._words.clear()
             if len(self._pieces) > 2 * self._limit:
                 self._pieces.clear()
-            unknown = set(words) - self._words.keys()
+            known, split = self._words, [t.split() for t in texts[start:end]]
+            unknown = {w for words in split for w in words if w not in known}
             if unknown:
-                self._learn(unknown)
-            known = self._words
-            out.append(b"".join([known[w] for w in words]))
-        return out
+                self._learn(list(unknown))
+            for words in split:
+                yield b"".join([known[w] for w in words])
+            start = end
 
 
 @lru_cache(maxsize=1)
