@@ -2,12 +2,14 @@
 
 A gear rolling hash over the bytes of a text decides where chunks end: after a word whose last
 bytes hash below a limit. The decision sees ``window`` bytes and no position, so an insertion
-shifts nothing beyond its own chunk. Chunks are deduplicated by digest: the smallest id of the
-documents that hold a chunk owns it. A run of chunks owned by other documents, of ``least`` words
-or more, is a repeated passage and is cut out; shorter runs (phrases, stock lines) stay.
+shifts nothing beyond its own chunk. What is deduplicated are windows: runs of consecutive chunks
+that just reach ``least`` words, by a digest of their chunks in order. The smallest id of the
+documents that hold a window owns it. A window that another document owns is a passage which that
+document holds as a whole, and its chunks are cut out; phrases and stock lines shorter than that
+stay, however many documents have them and however many of them meet in one text.
 
 Digests meet in one shuffle, packed per (block of documents, part), each once per block. What
-goes back to a block is only its chunks that other documents own. A chunk that all documents
+goes back to a block is only its windows that other documents own. A window that all documents
 hold is one entry per block, and a very long text is a row like others.
 
 Null or empty texts have no chunks and stay as they are. Documents without an id own nothing and
@@ -103,6 +105,36 @@ def digests(text: bytes, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return both[:, 0], both[:, 1]
 
 
+BASES = (np.uint64(0x9E3779B97F4A7C17), np.uint64(0xC2B2AE3D27D4EB4F))
+INVERSES = tuple(np.uint64(pow(int(b), -1, 1 << 64)) for b in BASES)
+
+
+def windows(
+    low: np.ndarray, high: np.ndarray, words: np.ndarray, least: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Windows of a text as first chunk, chunk after the last, and the two halves of a digest.
+
+    Shortest runs of at least ``least`` words, from each chunk on and up to each chunk: together
+    those inside a longer run cover all of it. A half is the polynomial of the chunks' halves, a
+    difference of prefix sums, so a window costs the same however many chunks it has.
+    """
+    n, least = len(words), max(least, 1)
+    total = np.concatenate([[0], np.cumsum(words)])
+    after = np.searchsorted(total, total[:-1] + least, "left")
+    first = np.searchsorted(total, total[1:] - least, "right") - 1
+    onward, back = np.flatnonzero(after <= n), np.flatnonzero(first >= 0)
+    pairs = np.unique(np.concatenate([onward * (n + 1) + after[onward], first[back] * (n + 1) + back + 1]))
+    start, end = pairs // (n + 1), pairs % (n + 1)
+
+    def half(values: np.ndarray, base: np.uint64, inverse: np.uint64) -> np.ndarray:
+        powers = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, base), dtype=np.uint64)])
+        undone = np.concatenate([np.ones(1, np.uint64), np.cumprod(np.full(n, inverse), dtype=np.uint64)])
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(values * powers[:n], dtype=np.uint64)])
+        return (sums[end] - sums[start]) * undone[start]
+
+    return start, end, half(low, BASES[0], INVERSES[0]), half(high, BASES[1], INVERSES[1])
+
+
 def least_owner(low: np.ndarray, high: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, ...]:
     """Distinct digests with their least and greatest owner."""
     order = np.lexsort((owner, high, low))
@@ -122,7 +154,7 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
 
 
 def owned_elsewhere(source: DataFrame, chunking: Chunking, parts: int) -> DataFrame:
-    """(block, low, high, owners) packed: chunks of a block that some document of it does not own."""
+    """(block, low, high, owners) packed: windows of a block that some document of it does not own."""
 
     def packed(part: int, block: int, arrays: tuple[np.ndarray, ...]) -> pa.RecordBatch:
         data = [a.tobytes() for a in arrays]
@@ -146,9 +178,9 @@ def owned_elsewhere(source: DataFrame, chunking: Chunking, parts: int) -> DataFr
 
         for block, rows, ends in in_blocks(batches, "_text", chunking.block_bytes):
             for text, owner in zip(_texts(rows), _ids(rows)):
-                bounds, _ = chunker(text)
-                if len(bounds):
-                    low, high = digests(text, bounds)
+                bounds, words = chunker(text)
+                if words.sum() >= chunking.least and len(bounds):
+                    _, _, low, high = windows(*digests(text, bounds), words, chunking.least)
                     found.append((low, high, np.full(len(low), owner)))
             if ends:
                 yield from dealt()
@@ -194,12 +226,11 @@ def owned_elsewhere(source: DataFrame, chunking: Chunking, parts: int) -> DataFr
     return sent.repartition(parts, "part").sortWithinPartitions("part").mapInArrow(owners, PACKED)
 
 
-def repeated_runs(foreign: np.ndarray, words: np.ndarray, least: int) -> list[tuple[int, int]]:
-    """Runs of chunks owned elsewhere with at least so many words, as (first, after last)."""
-    edge = np.diff(np.concatenate([[0], foreign.astype(np.int8), [0]]))
-    total = np.concatenate([[0], np.cumsum(words)])
-    return [(a, b) for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())
-            if total[b] - total[a] >= least]
+def repeated_runs(start: np.ndarray, end: np.ndarray, n: int) -> list[tuple[int, int]]:
+    """Runs of chunks, of ``n``, that these windows cover, as (first, after last)."""
+    depth = np.cumsum(np.bincount(start, minlength=n + 1) - np.bincount(end, minlength=n + 1))[:n]
+    edge = np.diff(np.concatenate([[0], (depth > 0).astype(np.int8), [0]]))
+    return list(zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist()))
 
 
 def deduplicated(docs: DataFrame, chunking: Chunking = Chunking(), text: str = "text") -> DataFrame:
@@ -272,7 +303,7 @@ def _cleaned(text: bytes, doc: int, chunker: Chunker, known: tuple, least: int)
     bounds, words = chunker(text)
     if not len(bounds):
         return 0, 0, 0, 0, 0, [], text.decode()
-    low, high = digests(text, bounds)
+    start, end, low, high = windows(*digests(text, bounds), words, least)
     at = np.searchsorted(known[0], low)
     foreign = np.zeros(len(low), bool)
     # Equal first halves with other second halves are neighbours; step over them.
@@ -284,14 +315,14 @@ def _cleaned(text: bytes, doc: int, chunker: Chunker, known: tuple, least: int)
         live = live[~hit]
         at[live] += 1
         live = live[at[live] < len(known[0])]
-    runs = repeated_runs(foreign, words, least)
+    runs = repeated_runs(start[foreign], end[foreign], len(words))
     if not runs:
         return int(words.sum()), len(words), 0, 0, 0, [], text.decode()
     spans = [[int(bounds[a]), int(bounds[b])] for a, b in runs]
-    kept, start = [], 0
+    kept, done = [], 0
     for a, b in spans:
-        kept.append(text[start:a])
-        start = b
-    cleaned = b"".join([*kept, text[start:]]).decode()
+        kept.append(text[done:a])
+        done = b
+    cleaned = b"".join([*kept, text[done:]]).decode()
     gone = sum(int(words[a:b].sum()) for a, b in runs)
     return (int(words.sum()), len(words), sum(b - a for a, b in runs), gone, len(text.decode()) - len(cleaned), spans, cleaned)

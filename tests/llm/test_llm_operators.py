@@ -393,6 +393,45 @@ def test_insertions_shift_nothing(docs):
         assert out[i].removed_words <= 60 and len(text) - len(out[i].cleaned) == out[i].removed_chars
 
 
+def test_only_whole_passages_are_cut(docs):
+    rng = random.Random(8)
+    names = ["".join(rng.choice("aeioubcdfg") for _ in range(rng.randint(2, 5))) for _ in range(60)]
+    rows = [(i, " ".join(rng.choice(names) for _ in range(400))) for i in range(150)]
+    # one word again and again, in a document that has it beside runs of it too short to be a passage
+    rows += [(200 + i, " ".join(f"{prose(rng, 12)} {'la ' * 15}" for _ in range(20))) for i in range(4)]
+    rows += [(300, f"{prose(rng, 40)} {'la ' * 100}{prose(rng, 40)}")]
+    whole = prose(rng, 80).split()
+    rows += [(400, " ".join(whole)), (401, " ".join([*whole[40:], *prose(rng, 5).split(), *whole[:40]]))]
+    out = {r.doc_id: r for r in chunks.deduplicated(docs(rows, files=3)).collect()}
+    held = defaultdict(set)
+    for i, text in rows:
+        w = text.split()
+        for j in range(len(w) - 19):
+            held[tuple(w[j:j + 20])].add(i)
+    for i, text in rows:
+        for a, b in out[i].spans:
+            # every word of a cut stands in 20 words in order that a smaller id has
+            raw = text.encode()
+            w, at, n = text.split(), len(raw[:a].split()), len(raw[a:b].split())
+            near = [j for j in range(len(w) - 19) if min(held[tuple(w[j:j + 20])]) < i]
+            assert {p for j in near for p in range(j, j + 20)} >= set(range(at, at + n))
+    assert not any(out[i].spans for i, _ in rows if i != 401) and out[401].removed_words > 40
+
+
+def test_windows_cover_the_runs_they_are_in():
+    rng = np.random.default_rng(4)
+    for n in (1, 7, 300):
+        words, low, high = rng.integers(1, 30, n), *rng.integers(0, 2**63, (2, n)).astype(np.uint64)
+        start, end, *halves = chunks.windows(low, high, words, 20)
+        for a in range(0, n, 5):
+            for b in range(a + 1, min(n, a + 25) + 1):
+                inside = (start >= a) & (end <= b)
+                covered = {k for x, y in zip(start[inside], end[inside]) for k in range(x, y)}
+                assert covered == (set(range(a, b)) if words[a:b].sum() >= 20 else set())
+        moved = chunks.windows(np.concatenate([low[:3], low]), np.concatenate([high[:3], high]), np.concatenate([words[:3], words]), 20)
+        assert set(zip(*map(list, halves))) <= set(zip(*map(list, moved[2:])))
+
+
 def test_chunks_depend_on_content_alone():
     c = chunks.Chunker(chunks.Chunking())
     text = prose(random.Random(2), 3000).encode()
