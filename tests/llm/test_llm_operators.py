@@ -245,6 +245,30 @@ def test_pages_without_article_keep_unique_runs(spark, tmp_path):
     assert got == {**body, 99: top}
 
 
+def test_names_do_not_lose_articles():
+    text = "one two three"
+    for opening in ("div class='layout has-sidebar'", "div class='no-sidebar'", "section class='with-banner'", "form", "nav",
+                    "div class='sidebar'", "div id='social-history'"):
+        name = opening.split()[0]
+        for inner in (f"<article>{text}</article>", f"<main>{text}</main>"):
+            assert pages.page_blocks(f"<{opening}>{inner}</{name}>")[0] == text
+    article = "<article>{}</article><p>after</p><article>{}</article>"
+    for part in ("<div class='ad'>buy", "<nav>menu", "<div class='ad'>buy<article>card</article>"):
+        assert pages.page_blocks(article.format("one " + part, "two three"))[0] == text
+    for part in ("<p id='social-history'>two", "<div class='related-work'>two</div>", "<p class=ad-hoc>two"):
+        assert pages.page_blocks(article.format("one " + part, "three"))[0] == text
+    for part in ("<div class='site-footer ad'>x</div>", "<div class='sidebar_left'>x</div>", "<div class='a ad-box-2'>x</div>"):
+        assert pages.page_blocks(article.format("one " + part, "two three"))[0] == text
+    # cards and comments are articles too, but not the page's
+    assert pages.page_blocks(f"<article>{text}</article><div class='related'><article>{text} four</article></div>")[0] == text
+    main, blocks, named = pages.page_blocks(f"<p>{text}</p><div id='comments'><article>first!</article></div>")
+    assert main is None and [b for b, n in zip(blocks, named) if not n] == [text]
+    main, blocks, named = pages.page_blocks(f"<form><nav>menu</nav><p>{text}</p></form>")
+    assert main is None and [b for b, n in zip(blocks, named) if not n] == [text]
+    main, blocks, named = pages.page_blocks(f"<form>find</form><p>{text}</p>")
+    assert [b for b, n in zip(blocks, named) if not n] == [text]
+
+
 # 6: quality
 
 def plain_counts(text):
