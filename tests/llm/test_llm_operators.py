@@ -245,6 +245,26 @@ def test_pages_without_article_keep_unique_runs(spark, tmp_path):
     assert got == {**body, 99: top}
 
 
+def test_copies_and_quotations_keep_their_text(spark, tmp_path):
+    rng, top = random.Random(17), "home news sport culture weather about us contact"
+    quote, short = "to be or not to be that is the question", "Thank you."
+    body = {i: prose(rng, 40, 5000) for i in range(24)}
+    html = {i: f"<p>{top}</p><p>{body[i]}</p>" for i in body}
+    want = dict(body)
+    for i in (3, 7):  # a quotation, a short paragraph and a sentence inside a block that two pages share
+        html[i] += f"<p>{quote}</p><p>{short}</p><p>{body[0][:40]} {quote}</p>"
+        want[i] = f"{body[i]} {quote} {short} {body[0][:40]} {quote}"
+    rows = [(i, f"http://many.example/{i}", x) for i, x in html.items()]
+    rows += [(100 + i, f"http://many.example/{100 + i}", html[5]) for i in range(12)]
+    rows += [(200 + i, "http://copies.example/", f"<p>{body[1]}</p>") for i in range(2)]
+    # an article page has the menu too, in a layout of its own
+    rows += [(300 + i, f"http://mixed.example/{i}", f"<p>{top}</p><p>{body[i]}</p>") for i in range(4)]
+    rows += [(400 + i, f"http://mixed.example/a{i}", f"<p>other {i}</p><article>{body[i]}</article>") for i in range(24)]
+    got = dict(page_texts(spark, tmp_path, rows))
+    assert got == {**want, **{100 + i: body[5] for i in range(12)}, **{200 + i: body[1] for i in range(2)},
+                   **{300 + i: body[i] for i in range(4)}, **{400 + i: body[i] for i in range(24)}}
+
+
 def test_names_do_not_lose_articles():
     text = "one two three"
     for opening in ("div class='layout has-sidebar'", "div class='no-sidebar'", "section class='with-banner'", "form", "nav",
