@@ -16,6 +16,7 @@ from flatspark.session import configure, work_dir
 from flatspark.sources.sinks import materialize
 
 SPACE = r"[\x20\x09-\x0D]"
+SPLITS = "spark.sql.files.minPartitionNum"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
 
@@ -27,6 +28,10 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     configure(spark)
     sc = spark.sparkContext
+    # Two scans of a table have to give the same rows in the same parts. Unset, the split size
+    # follows the cores alive when a scan is planned, which may differ between the two.
+    if spark.conf.get(SPLITS, None) is None:
+        spark.conf.set(SPLITS, str(sc.defaultParallelism))
     if getattr(sc, "_flatspark_shipped", None) is None:
         root = os.path.dirname(os.path.abspath(flatspark.__file__))
         archive = os.path.join(tempfile.mkdtemp(), f"flatspark_{uuid.uuid4().hex[:8]}.zip")

@@ -58,6 +58,22 @@ def test_near_copies_go_and_passages_are_cut(spark, docs, tmp_path):
     assert all(r.kept == r["_row"] == "other" for r in mix)
 
 
+def test_rows_meet_though_cores_come_and_go(spark, docs):
+    rng, cores = random.Random(6), "spark.sql.leafNodeDefaultParallelism"
+    df = docs([(i, prose(rng, 30), "ab"[i % 2]) for i in range(60)], files=5)
+    try:
+        spark.conf.set(cores, "1")
+        parts = df.select(F.spark_partition_id().alias("p"), "doc_id")
+        want = [(r.doc_id, r.text) for r in corpus_pipeline.mix_sources(spark, df, SF).collect()]
+        before = sorted(map(tuple, parts.collect()))
+        started = corpus_pipeline.mix_sources(spark, df, SF)
+        spark.conf.set(cores, "64")
+        assert want and sorted((r.doc_id, r.text) for r in started.collect()) == sorted(want)
+        assert sorted(map(tuple, parts.select("*").collect())) == before
+    finally:
+        spark.conf.unset(cores)
+
+
 def test_empty_table(spark, docs, tmp_path):
     df = docs([(1, "x")]).where(F.col("doc_id") > 5)
     df.write.parquet(str(tmp_path / "none"))
