@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from flatspark.llm import bpe, chat, chunks, mixing, neardup, pages, quality, sharding, tokenfile, topk
+from flatspark.llm import (
+    bpe, chat, chunks, collocations, mixing, neardup, pages, quality, sharding, tokenfile, topk, vectorcode, vectordup,
+)
 from flatspark.llm.common import NOT_SPACE, prepare, table, written
 from flatspark.session import work_dir
 
@@ -178,3 +180,77 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(
         "doc_id", "n_words", "n_chunks", "n_repeated_chunks", "removed_words", "removed_chars", "spans",
         F.col("cleaned").alias("text"))
+
+
+OP11_SQL = r"""
+WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+             translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+           FROM documents WHERE text IS NOT NULL),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+g AS (SELECT lang, ws[i : i + k - 1] AS q, k FROM s, range(1, 6) t(k) WHERE i + k - 1 <= len(ws)),
+f AS (SELECT lang, q, k, count(*)::HUGEINT AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+n AS (SELECT lang, sum(len(ws))::HUGEINT AS n FROM w GROUP BY lang),
+c AS (SELECT f.lang, f.q, f.f AS a, c.c, x.f AS l, y.f AS r, n.n, (1000 * f.f * n.n) // (x.f * y.f) AS score
+      FROM f JOIN n USING (lang) JOIN range(1, 5) c(c) ON c.c < f.k
+      JOIN f x ON x.lang = f.lang AND x.q = f.q[1 : c.c] JOIN f y ON y.lang = f.lang AND y.q = f.q[c.c + 1 : f.k]),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, q ORDER BY score, c) = 1),
+covered AS (SELECT lang, q[1 : k - 1] AS q, f FROM f WHERE k > 2 UNION SELECT lang, q[2 : k], f FROM f WHERE k > 2)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(q, ' ')) AS rank,
+       array_to_string(q, ' ') AS phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM b WHERE NOT EXISTS (SELECT 1 FROM covered v WHERE v.lang = b.lang AND v.q = b.q AND v.f = b.a)
+QUALIFY rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+_SOUND = "embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+OP12_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE label IS NOT NULL AND """ + _SOUND + """ AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+link AS (SELECT p.vec_id AS a, q.vec_id AS b FROM v p JOIN v q ON p.label = q.label AND p.vec_id <> q.vec_id
+         WHERE list_cosine_similarity(p.v, q.v) >= 0.93),
+reach(a, b) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT reach.a, link.b FROM reach JOIN link ON reach.b = link.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+d AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN c ON c.a = vec_id LEFT JOIN d ON d.a = vec_id
+"""
+
+
+@query("op12_vector_duplicates", OP12_SQL)
+def op12_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectordup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+_ASSIGN = """
+a{i} AS (SELECT x.vec_id, x.part, c.entry, list_sum(list_transform(range(1, len(x.v) + 1),
+             lambda k: (x.v[k] - c.v[k]) * (x.v[k] - c.v[k])))::BIGINT AS d
+         FROM x JOIN c{i} c USING (part) QUALIFY row_number() OVER (PARTITION BY vec_id, part ORDER BY d, entry) = 1)"""
+_MEANS = """
+s{i} AS (SELECT part, entry, k, sum(v[k])::BIGINT AS s, count(*) AS n
+         FROM (SELECT part, entry, v, unnest(range(1, len(v) + 1)) AS k FROM x JOIN a{i} USING (vec_id, part)) GROUP BY ALL),
+m{i} AS (SELECT part, entry, list((s - ((s % n) + n) % n) // n ORDER BY k) AS v FROM s{i} GROUP BY ALL),
+c{j} AS (SELECT part, entry, coalesce(m{i}.v, c.v) AS v FROM c{i} c LEFT JOIN m{i} USING (part, entry))"""
+
+OP13_SQL = """
+WITH e AS (SELECT vec_id, label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+           WHERE """ + _SOUND + """),
+x AS (SELECT vec_id, part, v[part * (len(v) // 16) + 1 : (part + 1) * (len(v) // 16)] AS v FROM e, range(16) t(part)),
+c0 AS (SELECT part, dense_rank() OVER (ORDER BY vec_id) - 1 AS entry, v FROM x QUALIFY entry < 64),""" + ",".join(
+    _ASSIGN.format(i=i) + "," + _MEANS.format(i=i, j=i + 1) for i in range(2)) + "," + _ASSIGN.format(i=2) + """,
+o AS (SELECT vec_id, string_agg(format('{:02x}', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM a2 GROUP BY vec_id),
+h AS (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2)
+SELECT vec_id, code, error, sum(error) OVER (PARTITION BY label)::BIGINT AS label_error, codebooks_sha256
+FROM e JOIN o USING (vec_id), h
+"""
+
+
+@query("op13_vector_codes", OP13_SQL)
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectorcode.compressed(table(spark, sf_dir, "embeddings"))

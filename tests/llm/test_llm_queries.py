@@ -34,7 +34,7 @@ def texts(con):
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in llm.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert set(llm.QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(llm.ORACLES) <= set(entry.oracle_sql())
 
