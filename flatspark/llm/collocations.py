@@ -136,7 +136,8 @@ def words_of(blocks: DataFrame) -> DataFrame:
                 words = unpack_words(len(counts), unsqueezed(b["words"][i].as_py()))
                 n = len(words) - 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b["block"][i].as_py()] * n), pa.array([b["lang"][i].as_py()] * n), pa.array(words[1:], pa.binary()),
+                    [pa.array([b["block"][i].as_py()] * n, pa.string()), pa.array([b["lang"][i].as_py()] * n, pa.string()),
+                     pa.array(words[1:], pa.binary()),
                      pa.array(np.arange(1, n + 1), pa.int32()), pa.array(counts[1:])],
                     ["block", "lang", "word", "code", "count"])
 
