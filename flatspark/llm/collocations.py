@@ -38,17 +38,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flatspark.llm.blocks import from_planes, pack_words, planes, squeezed, unpack_words, unsqueezed
+from flatspark.llm.blocks import PART, from_planes, pack_words, planes, squeezed, unpack_words, unsqueezed
 from flatspark.llm.common import written
 
 MARK = b"."
 _MARKS = bytes(MARK[0] if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
-BLOCKS = "block string, lang string, n long, tokens binary, words binary, counts binary"
-WORDS = "block string, lang string, word binary, code int, count long"
+BLOCKS = "block long, lang string, n long, tokens binary, words binary, counts binary"
+WORDS = "block long, lang string, word binary, code int, count long"
 LONGEST = 5
 KEY = [f"w{i}" for i in range(1, LONGEST + 1)]
-PHRASES = "block string, lang string, " + ", ".join(f"{k} long" for k in KEY) + ", count long"
-STATES = "block string, lang string, tokens binary, ids binary, counts binary"
+PAIRS = "block long, w1 long, w2 long, count long"
+PHRASES = ", ".join(f"{k} long" for k in KEY) + ", count long"
+STATES = "block long, lang string, tokens binary, ids binary, counts binary"
 ALL = 1 << 62  # a level that every word reaches
 
 
@@ -60,7 +61,7 @@ class Settings:
 
     least: int = 100
     places: int = 2000
-    block_words: int = 1 << 20
+    block_words: int = 1 << 19
     share: float = 0.4
 
 
@@ -84,24 +85,25 @@ def in_blocks(docs: DataFrame, text: str, lang: str, settings: Settings) -> Data
     """A row per block and language: its words, how often each comes, and the text in their numbers."""
 
     def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import uuid
-
         open_: dict[str, tuple[Codes, list]] = {}
-        size = 0
+        size, block = 0, None
 
         def closed() -> Iterator[pa.RecordBatch]:
-            name = uuid.uuid4().hex
+            nonlocal block
             for language, (codes, parts) in open_.items():
                 seq = np.concatenate(parts)
                 counts = np.bincount(seq, minlength=len(codes))
+                block += 1
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([name]), pa.array([language]), pa.array([int(counts[1:].sum())], pa.int64()),
+                    [pa.array([block], pa.int64()), pa.array([language]), pa.array([int(counts[1:].sum())], pa.int64()),
                      pa.array([planes(seq)], pa.binary()), pa.array([squeezed(pack_words(list(codes)))], pa.binary()),
                      pa.array([planes(counts)], pa.binary())],
                     ["block", "lang", "n", "tokens", "words", "counts"])
             open_.clear()
 
         for b in batches:
+            if block is None and b.num_rows:
+                block = b[PART][0].as_py() << 32
             for language, t in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
                 if not t:
                     continue
@@ -122,7 +124,8 @@ def in_blocks(docs: DataFrame, text: str, lang: str, settings: Settings) -> Data
                         size = 0
         yield from closed()
 
-    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"))
+    rows = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text"),
+                       F.spark_partition_id().alias(PART))
     return rows.mapInArrow(number, BLOCKS)
 
 
@@ -134,54 +137,68 @@ def words_of(blocks: DataFrame) -> DataFrame:
             for i in range(b.num_rows):
                 counts = from_planes(b["counts"][i].as_py()).astype(np.int64)
                 words = unpack_words(len(counts), unsqueezed(b["words"][i].as_py()))
-                n = len(words) - 1
+                n, block = len(words) - 1, b["block"][i].as_py()
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([b["block"][i].as_py()] * n, pa.string()), pa.array([b["lang"][i].as_py()] * n, pa.string()),
-                     pa.array(words[1:], pa.binary()),
-                     pa.array(np.arange(1, n + 1), pa.int32()), pa.array(counts[1:])],
+                    [pa.array(np.full(n, block)), pa.array([b["lang"][i].as_py()] * n, pa.string()),
+                     pa.array(words[1:], pa.binary()), pa.array(np.arange(1, n + 1), pa.int32()), pa.array(counts[1:])],
                     ["block", "lang", "word", "code", "count"])
 
     return blocks.select("block", "lang", "words", "counts").mapInArrow(unpack, WORDS)
 
 
+def _by_block(batches: Iterator[pa.RecordBatch], state: list[str], told: list[str]) -> Iterator[tuple[dict, list[np.ndarray]]]:
+    """Each block's first row, and what its further rows tell, as one array per column."""
+    row, found = None, []
+
+    def joined() -> list[np.ndarray]:
+        return [np.concatenate([f[k] for f in found]) if found else np.empty(0, np.int64) for k in range(len(told))]
+
+    for b in batches:
+        blocks = b["block"].to_numpy()
+        edges = np.flatnonzero(blocks[1:] != blocks[:-1]) + 1
+        for x, y in zip([0, *edges.tolist()], [*edges.tolist(), b.num_rows]):
+            if x == y:
+                continue
+            if row is None or blocks[x] != row["block"]:
+                if row is not None:
+                    yield row, joined()
+                row, found = {c: b[c][x].as_py() for c in state}, []
+                x += 1
+            found.append([b[c].slice(x, y - x).to_numpy(zero_copy_only=False).astype(np.int64) for c in told])
+    if row is not None:
+        yield row, joined()
+
+
+def _with_answers(blocks: DataFrame, answers: DataFrame, told: list[str]) -> DataFrame:
+    """Blocks, each before the rows that tell about it."""
+    state = [F.col(c) for c in blocks.columns]
+    none = [F.lit(None).cast(answers.schema[c].dataType).alias(c) for c in told]
+    rows = blocks.select(*state, *none).unionByName(answers.select("block", *told), allowMissingColumns=True)
+    return rows.repartition("block").sortWithinPartitions("block", F.col(told[0]).asc_nulls_first())
+
+
 def states(blocks: DataFrame, local: DataFrame) -> DataFrame:
     """Blocks in which only frequent words are told apart: numbers, and id and count of each.
 
-    ``local``: (block, lang, code, id, f) of the frequent words of each block.
+    ``local``: (block, code, id, f) of the frequent words of each block.
     """
 
     def narrow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, known = None, []
-
-        def made() -> Iterator[pa.RecordBatch]:
-            if current is None or current[2] is None or not known:
-                return
-            seq = from_planes(current[2])
-            code, ids, counts = (np.array(x, np.int64) for x in zip(*known))
+        for row, (code, ids, counts) in _by_block(batches, ["block", "lang", "tokens"], ["code", "id", "f"]):
+            if not len(code):
+                continue
+            seq = from_planes(row["tokens"])
             order = np.argsort(counts, kind="stable")  # the rarest first: a level is a number
             new = np.zeros(int(seq.max(initial=0)) + 1, np.uint32)
             new[code[order]] = np.arange(1, len(order) + 1, dtype=np.uint32)
             seq = new[seq]
             seq = seq[(seq > 0) | np.concatenate([[False], seq[:-1] > 0])]  # one 0 between runs
             yield pa.RecordBatch.from_arrays(
-                [pa.array([current[0]]), pa.array([current[1]]), pa.array([planes(seq)], pa.binary()),
+                [pa.array([row["block"]], pa.int64()), pa.array([row["lang"]], pa.string()), pa.array([planes(seq)], pa.binary()),
                  pa.array([ids[order].tobytes()], pa.binary()), pa.array([counts[order].tobytes()], pa.binary())],
                 ["block", "lang", "tokens", "ids", "counts"])
 
-        for b in batches:
-            for block, lang, data, code, i, f in zip(*[b[c].to_pylist() for c in b.schema.names]):
-                if current is None or (block, lang) != current[:2]:
-                    yield from made()
-                    current, known = (block, lang, data), []
-                if data is None:
-                    known.append((code, i, f))
-        yield from made()
-
-    none = lambda t: F.lit(None).cast(t)
-    rows = blocks.select("block", "lang", "tokens", none("int").alias("code"), none("long").alias("id"), none("long").alias("f"))
-    rows = rows.unionByName(local.select("block", "lang", none("binary").alias("tokens"), "code", "id", "f"))
-    rows = rows.repartition("block", "lang").sortWithinPartitions("block", "lang", F.col("code").asc_nulls_first())
-    return rows.select("block", "lang", "tokens", "code", "id", "f").mapInArrow(narrow, STATES)
+    return _with_answers(blocks, local, ["code", "id", "f"]).mapInArrow(narrow, STATES)
 
 
 class State:
@@ -215,14 +232,6 @@ class State:
         return [self.ids[w] for w in reversed(words)], counts
 
 
-def _table(state: dict, columns: list[np.ndarray], counts: np.ndarray) -> pa.RecordBatch:
-    n = len(counts)
-    columns = columns + [np.zeros(n, np.int64)] * (LONGEST - len(columns))
-    return pa.RecordBatch.from_arrays(
-        [pa.array([state["block"]] * n, pa.string()), pa.array([state["lang"]] * n, pa.string()), *map(pa.array, columns),
-         pa.array(counts.astype(np.int64))], ["block", "lang", *KEY, "count"])
-
-
 def pairs(blocks: DataFrame) -> DataFrame:
     """Per block, the pairs whose rarer word is above ``done`` and at most at ``level``, with their counts."""
 
@@ -233,30 +242,28 @@ def pairs(blocks: DataFrame) -> DataFrame:
                 s = State(row)
                 rarer = np.minimum(s.seq[:-1], s.seq[1:])
                 at = np.flatnonzero((rarer > s.under(row["done"])) & (rarer > 0) & (rarer <= s.under(row["level"])))
-                yield _table(row, *s.distinct(at, 2))
+                words, counts = s.distinct(at, 2)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(counts), row["block"])), *map(pa.array, words), pa.array(counts.astype(np.int64))],
+                    ["block", "w1", "w2", "count"])
 
-    return blocks.mapInArrow(count, PHRASES)
+    return blocks.mapInArrow(count, PAIRS)
 
 
 def longer(blocks: DataFrame, alive: DataFrame) -> DataFrame:
     """Per block, the phrases of three words and more that start or end with a word of the level.
 
-    ``alive``: (block, lang, w1, w2) of the frequent pairs. A pair that has been counted and is not
-    among them is in no frequent phrase.
+    ``alive``: (block, w1, w2) of the frequent pairs. A pair that has been counted and is not among
+    them is in no frequent phrase.
     """
-    columns = [*STATES.replace(" string", "").replace(" binary", "").split(", "), "level", "w1", "w2"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        row, first, second = None, [], []
-
-        def made() -> Iterator[pa.RecordBatch]:
-            if row is None or row["tokens"] is None:
-                return
+        for row, (first, second) in _by_block(batches, ["block", "tokens", "ids", "counts", "level"], ["w1", "w2"]):
             s = State(row)
             order = np.argsort(s.ids)
-            code = lambda ids: order[np.searchsorted(s.ids[order], np.array(ids, np.int64))]
+            code = lambda ids: order[np.searchsorted(s.ids[order], ids)]
             base, top = len(s.ids), s.under(row["level"])
-            frequent = np.unique(code(first) * base + code(second)) if first else np.empty(0, np.int64)
+            frequent = np.unique(code(first) * base + code(second))
             a, b = s.seq[:-1], s.seq[1:]
             key = a * base + b
             there = np.zeros(len(key), bool)
@@ -268,23 +275,11 @@ def longer(blocks: DataFrame, alive: DataFrame) -> DataFrame:
             for length in range(3, LONGEST + 1):
                 run = run[:-1] & joined[length - 2:]
                 ends = np.minimum(s.seq[: len(run)], s.seq[length - 1: length - 1 + len(run)])
-                yield _table(row, *s.distinct(np.flatnonzero(run & (ends <= top)), length))
+                words, counts = s.distinct(np.flatnonzero(run & (ends <= top)), length)
+                words += [np.zeros(len(counts), np.int64)] * (LONGEST - length)
+                yield pa.RecordBatch.from_arrays([*map(pa.array, words), pa.array(counts.astype(np.int64))], [*KEY, "count"])
 
-        for b in batches:
-            for values in zip(*[b[c].to_pylist() for c in columns]):
-                if row is None or values[:2] != (row["block"], row["lang"]):
-                    yield from made()
-                    row, first, second = dict(zip(columns, values)), [], []
-                if values[2] is None:
-                    first.append(values[6])
-                    second.append(values[7])
-        yield from made()
-
-    none = lambda t: F.lit(None).cast(t)
-    rows = blocks.select(*columns[:6], none("long").alias("w1"), none("long").alias("w2"))
-    rows = rows.unionByName(alive.select("block", "lang", "w1", "w2"), allowMissingColumns=True)
-    rows = rows.repartition("block", "lang").sortWithinPartitions("block", "lang", F.col("w1").asc_nulls_first())
-    return rows.select(*columns).mapInArrow(count, PHRASES)
+    return _with_answers(blocks, alive, ["w1", "w2"]).mapInArrow(count, PHRASES)
 
 
 def _part(cut: int, rest: bool) -> list[Column]:
@@ -307,16 +302,16 @@ def _same(prefix: str) -> Column:
 def scored(words: DataFrame, phrases: DataFrame, langs: DataFrame) -> DataFrame:
     """Candidates that no longer phrase covers: their key, lang, a, l, r, n, score.
 
-    ``words``: (lang, id, f); ``phrases``: (lang, key, f) of the counted ones of two words and more;
+    ``words``: (lang, id, f); ``phrases``: (key, f) of the counted ones of two words and more;
     ``langs``: (lang, n, level).
     """
     zero = [F.lit(0).cast("long").alias(k) for k in KEY[1:]]
     counted = phrases.select(*KEY, "f").unionByName(words.select(F.col("id").alias("w1"), *zero, "f"))
     ends = F.array(*[F.col(k) for k in KEY])
     last = F.element_at(F.filter(ends, lambda x: x != 0), -1)
-    of = lambda name: words.select(F.col("id").alias(f"_{name}"), F.col("f").alias(f"_f_{name}"))
-    found = phrases.withColumn("_end", last).join(langs, "lang").join(
-        of("w1"), F.col("w1") == F.col("_w1")).join(of("last"), F.col("_end") == F.col("_last"))
+    of = lambda name: words.select("lang", F.col("id").alias(f"_{name}"), F.col("f").alias(f"_f_{name}"))
+    found = phrases.withColumn("_end", last).join(of("w1").join(langs, "lang"), F.col("w1") == F.col("_w1")).join(
+        of("last").drop("lang"), F.col("_end") == F.col("_last"))
     found = found.where((F.col("_f_w1") <= F.col("level")) & (F.col("_f_last") <= F.col("level")))
     found = found.select("lang", *KEY, F.col("f").alias("a"), "n")
 
@@ -363,39 +358,38 @@ def first_levels(words: DataFrame, share: float) -> DataFrame:
     return classes.groupBy("lang").agg(F.coalesce(level, F.lit(0)).cast("long").alias("level"))
 
 
-def grown(blocks: DataFrame, langs: DataFrame, before: DataFrame | None, settings: Settings) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Frequent pairs per block; and (lang, key, f) of the frequent pairs and of the longer phrases.
+def grown(blocks: DataFrame, langs: DataFrame, before: DataFrame | None, settings: Settings) -> tuple[DataFrame, DataFrame]:
+    """(block, w1, w2, f) of the frequent pairs; and (key, f) of all frequent phrases.
 
     ``langs``: (lang, done, level). ``before``: the frequent pairs per block of earlier steps.
     """
-    some = blocks.join(langs.select("lang", "done", "level"), "lang").select(*STATES_COLUMNS, "done", "level")
+    some = blocks.join(langs.select("lang", "done", "level"), "lang").drop("lang")
     sums = W.partitionBy("w1", "w2")
-    new = pairs(some).withColumn("f", F.sum("count").over(sums)).where(F.col("f") >= settings.least)
-    alive = written(new.select("block", "lang", "w1", "w2", "f"), "pairs")
+    new = pairs(some).withColumn("f", F.sum("count").over(sums)).where(F.col("f") >= settings.least).drop("count")
+    alive = written(new, "pairs")
     if before is not None:
-        alive = before.join(langs.select("lang"), "lang", "left_semi").select(alive.columns).unionByName(alive)
-    two = alive.groupBy("lang", "w1", "w2").agg(F.max("f").alias("f")).select(
-        "lang", "w1", "w2", *[F.lit(0).cast("long").alias(k) for k in KEY[2:]], "f")
-    more = longer(some.drop("done"), alive).groupBy("lang", *KEY).agg(F.sum("count").alias("f")).where(F.col("f") >= settings.least)
-    return alive, two, more
-
-
-STATES_COLUMNS = ["block", "lang", "tokens", "ids", "counts"]
+        kept = blocks.select("block", "lang").join(langs.select("lang"), "lang", "left_semi").select("block")
+        alive = before.join(kept, "block", "left_semi").unionByName(alive)
+    two = alive.groupBy("w1", "w2").agg(F.max("f").alias("f")).select(
+        "w1", "w2", *[F.lit(0).cast("long").alias(k) for k in KEY[2:]], "f")
+    more = longer(some.drop("done"), alive).groupBy(*KEY).agg(F.sum("count").alias("f")).where(F.col("f") >= settings.least)
+    return alive, written(two.unionByName(more), "phrases")
 
 
 def collocations(docs: DataFrame, settings: Settings = Settings(), text: str = "text", lang: str = "lang") -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: each language's first ``places`` phrases."""
     blocks = written(in_blocks(docs, text, lang, settings), "blocks")
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    words = words_of(blocks).groupBy("lang", "word").agg(F.sum("count").alias("f")).where(F.col("f") >= settings.least)
-    words = written(words.withColumn("id", F.monotonically_increasing_id() + 1), "words")
-    told = words_of(blocks).join(words, ["lang", "word"]).select("block", "lang", "code", "id", "f")
+    same = W.partitionBy(F.xxhash64("lang", "word"), "lang", "word")
+    rows = words_of(blocks).withColumn("id", F.monotonically_increasing_id() + 1)
+    told = rows.withColumn("f", F.sum("count").over(same)).where(F.col("f") >= settings.least)
+    told = written(told.select("block", "lang", "word", "code", F.min("id").over(same).alias("id"), "f"), "told")
+    words = written(told.select("lang", "word", "id", "f").distinct(), "words")
     reduced = written(states(blocks.select("block", "lang", "tokens"), told), "states")
 
     langs = totals.join(first_levels(words, settings.share), "lang").withColumn("done", F.lit(0).cast("long"))
     langs = written(langs, "langs")
-    alive, two, more = grown(reduced, langs, None, settings)
-    phrases = written(two.unionByName(more), "phrases")
+    alive, phrases = grown(reduced, langs, None, settings)
     found = written(scored(words.select("lang", "id", "f"), phrases, langs.select("lang", "n", "level")), "scored")
 
     by_score = W.partitionBy("lang").orderBy(F.col("score").desc())
@@ -408,8 +402,7 @@ def collocations(docs: DataFrame, settings: Settings = Settings(), text: str = "
         "lang", "n", F.col("level").alias("done"), next_level.alias("level"), (F.coalesce("_least", F.lit(0)) > bound).alias("_settled"))
     step = written(step.where((~F.col("_settled")) & (F.col("level") > F.col("done"))).drop("_settled"), "step")
     if not step.isEmpty():
-        _, two, more = grown(reduced, step, alive, settings)
-        phrases = written(two.unionByName(more), "phrases")
+        _, phrases = grown(reduced, step, alive, settings)
         again = scored(words.select("lang", "id", "f"), phrases, step.select("lang", "n", "level"))
         found = written(found.join(step.select("lang"), "lang", "left_anti").select(again.columns).unionByName(again), "scored")
 

@@ -104,7 +104,7 @@ def test_products_beyond_machine_integers(spark):
     prepare(spark)
     big, n = 3 * 10**12 + 7, 9 * 10**13 + 1
     words = spark.createDataFrame([("en", 1, big), ("en", 2, big + 5)], "lang string, id long, f long")
-    phrases = spark.createDataFrame([("en", 1, 2, 0, 0, 0, big - 3)], "lang string, w1 long, w2 long, w3 long, w4 long, w5 long, f long")
+    phrases = spark.createDataFrame([(1, 2, 0, 0, 0, big - 3)], "w1 long, w2 long, w3 long, w4 long, w5 long, f long")
     langs = spark.createDataFrame([("en", n, collocations.ALL)], "lang string, n long, level long")
     row = collocations.scored(words, phrases, langs).first()
     assert row["score"] == 1000 * (big - 3) * n // (big * (big + 5)) and (row["l"], row["r"]) == (big, big + 5)
