@@ -1,5 +1,5 @@
 from flatspark.jobs.batch import flatten_folder, map_folder
-from flatspark.jobs.incremental import Job, Outcome, run_once
+from flatspark.jobs.incremental import Job, Outcome, run_once, run_pending
 from flatspark.jobs.provider import (
     healthcare_service,
     network,
@@ -21,4 +21,5 @@ __all__ = [
     "practitioner_role",
     "provider_organization",
     "run_once",
+    "run_pending",
 ]

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from flatspark.functions.scalars import printed_list
 from flatspark.operators.entity import attach, batch_flags
+from flatspark.operators.expand import product_rows
 from flatspark.plans.paths import quoted
 from flatspark.session import materialize, work_dir
 
@@ -44,12 +45,20 @@ class Layout:
     ``sections``: arrays of structs of texts, aligned by position. ``texts``: collapsed
     columns. ``combine``: arrays whose distinct values are combined with all rows. ``flags``:
     conditions on documents; ``Y`` on every row where any document of the batch meets one.
+    ``product``: in place of sections, arrays of structs whose rows are combined with each other,
+    whatever the product's size: cells are filled and repeats removed on each side before.
     """
 
-    sections: list[Column]
+    sections: list[Column] = field(default_factory=list)
     texts: dict[str, Texts] = field(default_factory=dict)
     combine: dict[str, Column] = field(default_factory=dict)
     flags: dict[str, Column] = field(default_factory=dict)
+    product: list[Column] = field(default_factory=list)
+
+    @property
+    def sides(self) -> list[str]:
+        """Columns of arrays that are multiplied."""
+        return [f"_side{i}" for i in range(len(self.product))] or ["_rows"]
 
 
 def first_value(values: Column) -> Column:
@@ -65,17 +74,18 @@ def distinct_rows(rows: Column) -> Column:
     """The distinct structs of an array, in order of first appearance.
 
     Equal structs are neighbours once sorted, so the work grows as that of a sort; the built-in
-    distinct compares structs pair by pair.
+    distinct compares structs pair by pair. A hash in front settles nearly all comparisons.
     """
-    placed = F.sort_array(F.transform(rows, lambda r, i: F.struct(r.alias("r"), i.alias("i"))))
-    firsts = F.transform(
-        F.array(placed),
-        lambda s: F.filter(s, lambda x, k: (k == 0) | ~x["r"].eqNullSafe(F.get(s, k - 1)["r"])),
-    )[0]
+    placed = F.sort_array(F.transform(rows, lambda r, i: F.struct(F.xxhash64(r).alias("h"), r.alias("r"), i.alias("i"))))
+    firsts = F.transform(F.array(placed), lambda s: F.filter(s, lambda x, k: _differs(x, F.get(s, k - 1), k)))[0]
     back = F.sort_array(F.transform(firsts, lambda x: F.struct(x["i"].alias("i"), x["r"].alias("r"))))
     return F.transform(back, lambda x: x["r"])
 
 
+def _differs(x: Column, before: Column, k: Column) -> Column:
+    return (k == 0) | (x["h"] != before["h"]) | ~x["r"].eqNullSafe(before["r"])
+
+
 def sorted_distinct(rows: str) -> str:
     """The distinct structs of an array in sorted order, as SQL text."""
     return f"transform(array(sort_array({rows})), s -> filter(s, (x, k) -> k = 0 OR NOT (x <=> get(s, k - 1))))[0]"
@@ -98,7 +108,7 @@ def finish(docs: DataFrame, keys: dict[str, Column], layout: Layout, unique: boo
     folder and their keys are counted there: documents that are alone take the same narrow
     projection, only the others are brought together.
     """
-    rows = _document_rows(docs, keys, layout)
+    rows = _document_rows(docs, keys, layout, repeats=unique)
     names, spark = list(keys), docs.sparkSession
     if unique:
         if layout.flags:
@@ -121,50 +131,73 @@ def _with_flags(out: DataFrame, rows: DataFrame, layout: Layout) -> DataFrame:
     return batch_flags(rows, {n: F.col(f"_flag_{n}") for n in layout.flags}, into=out)
 
 
-def _document_rows(docs: DataFrame, keys: dict[str, Column], layout: Layout) -> DataFrame:
-    """Per document its keys, its aligned distinct rows, and its sorted text and combine values."""
-    names = [f"_section{i}" for i in range(len(layout.sections))]
+def _document_rows(docs: DataFrame, keys: dict[str, Column], layout: Layout, repeats: bool) -> DataFrame:
+    """Per document its keys, its aligned rows, and its sorted text and combine values. Rows may
+    keep their ``repeats`` where the next step removes them anyway.
+    """
+    given = layout.product or layout.sections
+    names = layout.sides if layout.product else [f"_section{i}" for i in range(len(given))]
     aligned = docs.select(
         *[c.alias(k) for k, c in keys.items()],
-        *[c.alias(n) for n, c in zip(names, layout.sections)],
+        *[c.alias(n) for n, c in zip(names, given)],
         *[distinct_values(t.values).alias(f"_text_{n}") for n, t in layout.texts.items()],
         *[distinct_values(c).alias(f"_combine_{n}") for n, c in layout.combine.items()],
         *[c.alias(f"_flag_{n}") for n, c in layout.flags.items()],
     )
+    if layout.product:
+        return aligned
     columns = [(s, f) for s in names for f in aligned.schema[s].dataType.elementType.names if f != PAD]
     rows = f"transform(arrays_zip({', '.join(names)}), z -> {struct_sql({f: f'z.{s}.`{f}`' for s, f in columns})})"
-    return aligned.select(*[c for c in aligned.columns if c not in names], F.expr(sorted_distinct(rows)).alias("_rows"))
+    rows = rows if repeats else sorted_distinct(rows)
+    return aligned.select(*[c for c in aligned.columns if c not in names], F.expr(rows).alias("_rows"))
 
 
-def _cells(df: DataFrame) -> list[str]:
-    return df.schema["_rows"].dataType.elementType.names
+def _cells(df: DataFrame, side: str) -> list[str]:
+    return df.schema[side].dataType.elementType.names
 
 
 # The generators below are the outer kind on purpose: for the inner kind the optimizer adds a
 # filter on the array's size and pushes it down, which works the whole array out twice.
 
+def _filled(df: DataFrame, side: str, fill) -> Column:
+    """The distinct rows of a side with its null cells filled: ``fill`` is each cell's filling as SQL."""
+    cells = _cells(df, side)
+    # As a lambda's variable the fillings are worked out once, not for every row.
+    rows = f"transform({side}, r -> {struct_sql({c: f'coalesce(r.`{c}`, f.`{c}`)' for c in cells})})"
+    rows = f"transform(array({struct_sql({c: fill(c) for c in cells})}), f -> {rows})[0]"
+    return F.expr(sorted_distinct(rows)).alias(side)
+
+
+def _multiplied(df: DataFrame, layout: Layout, keys: list[str]) -> DataFrame:
+    """Rows out of the sides: keys, cells, texts and combined values."""
+    cells = {s: _cells(df, s) for s in layout.sides}
+    if layout.product:
+        carried = [c for c in df.columns if c not in cells]
+        rows = product_rows(df, {s: f"_row{s}" for s in cells}, carried)
+    else:
+        rows = df.withColumn("_row_rows", F.explode_outer("_rows")).drop("_rows")
+    for n in layout.combine:
+        others = [F.col(quoted(c)) for c in rows.columns if c != f"_combine_{n}"]
+        rows = rows.select(*others, F.explode_outer(f"_combine_{n}").alias(n))
+    shown = [F.col(f"_row{s}").getField(c).alias(c) for s, names in cells.items() for c in names]
+    return rows.select(*keys, *shown, *layout.combine, *layout.texts)
+
+
 def _finish_in_row(df: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
-    cells = _cells(df)
-    greatest = struct_sql({c: f"greatest(a.`{c}`, r.`{c}`)" for c in cells})
-    df = df.withColumn("_fill", F.expr(f"aggregate(_rows, {null_struct(cells)}, (a, r) -> {greatest})"))
-    filled = f"transform(_rows, r -> {struct_sql({c: f'coalesce(r.`{c}`, _fill.`{c}`)' for c in cells})})"
     texts = [t.printed(F.col(f"_text_{n}")).alias(n) for n, t in layout.texts.items()]
-    df = df.select(*keys, *texts, *[f"_combine_{n}" for n in layout.combine],
-                   F.explode_outer(F.expr(sorted_distinct(filled))).alias("_row"))
-    for n in layout.combine:
-        others = [F.col(quoted(c)) for c in df.columns if c != f"_combine_{n}"]
-        df = df.select(*others, F.explode_outer(f"_combine_{n}").alias(n))
-    return df.select(*keys, *[F.col("_row").getField(c).alias(c) for c in cells], *layout.combine, *layout.texts)
+    sides = [_filled(df, s, lambda c, s=s: f"array_max({s}.`{c}`)") for s in layout.sides]
+    return _multiplied(df.select(*keys, *texts, *[f"_combine_{n}" for n in layout.combine], *sides), layout, keys)
 
 
 def _finish_by_entity(df: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
-    cells = _cells(df)
+    cells = {s: _cells(df, s) for s in layout.sides}
+    every = [c for names in cells.values() for c in names]
 
     def triples(name: str, values: Column) -> Column:
         return F.transform(values, lambda v: F.struct(F.lit(name).alias("_column"), v.alias("_value")))
 
     entries = F.concat(
-        *[triples(c, distinct_values(F.col("_rows").getField(c))) for c in cells],
+        *[triples(c, distinct_values(F.col(s).getField(c))) for s, names in cells.items() for c in names],
         *[triples(n, F.col(f"_text_{n}")) for n in layout.texts],
     )
     known = df.select(*keys, F.inline_outer(entries)).distinct()
@@ -173,18 +206,20 @@ def _finish_by_entity(df: DataFrame, keys: list[str], layout: Layout) -> DataFra
         return F.when(F.col("_column") == name, F.col("_value"))
 
     facts = known.groupBy(*keys).agg(
-        *[F.max(of(c)).alias(f"_fill_{c}") for c in cells],
+        *[F.max(of(c)).alias(f"_fill_{c}") for c in every],
         *[F.array_sort(F.collect_list(of(n))).alias(f"_all_{n}") for n in layout.texts],
     )
-    rows = df.select(*keys, F.inline_outer("_rows")).distinct()
-    joined = attach(rows, facts, keys, "left")
     empty = F.array().cast("array<string>")
-    out = joined.select(
-        *keys,
-        *[F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) for c in cells],
-        *[t.printed(F.coalesce(F.col(f"_all_{n}"), empty)).alias(n) for n, t in layout.texts.items()],
-    ).distinct()
+    texts = [t.printed(F.coalesce(F.col(f"_all_{n}"), empty)).alias(n) for n, t in layout.texts.items()]
+    if layout.product:
+        # Sides that several documents share are multiplied once.
+        sides = attach(df.select(*keys, *layout.sides), facts, keys, "left")
+        sides = sides.select(*keys, *[_filled(sides, s, lambda c: f"`_fill_{c}`") for s in layout.sides], *texts).distinct()
+        return _multiplied(sides, Layout(product=layout.product, texts=layout.texts), keys).distinct()
+    rows = df.select(*keys, F.inline_outer("_rows")).distinct()
+    out = attach(rows, facts, keys, "left")
+    out = out.select(*keys, *[F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) for c in every], *texts).distinct()
     for n in layout.combine:
         values = df.select(*keys, F.explode_outer(f"_combine_{n}").alias(n)).where(F.col(n).isNotNull()).distinct()
         out = attach(out, values, keys, "left")
-    return out.select(*keys, *cells, *layout.combine, *layout.texts)
+    return out.select(*keys, *every, *layout.combine, *layout.texts)

@@ -197,30 +197,12 @@ def provider_organization(docs: DataFrame, unique: bool = False, systems: System
         )
     )
 
-    # as columns of their own, so that they are not worked out again for every profile
-    docs = docs.withColumns({"_identifiers": identifiers, "_phones": _text_phones(docs)})
-
-    def side(name: str) -> Column:
-        return outer_array(F.col(name), docs.schema[name].dataType)
-
-    def row(profile: Column, identifier: Column, phone: Column) -> Column:
-        return F.struct(
-            F.col("resourceType").alias("resourceType"),
-            F.col("meta.lastUpdated").alias("ORGANIZATION_LAST_UPDATE_DATE"),
-            F.col("name").alias("ORG_NAME_FULL_STD"),
-            profile.alias("porg_profile"),
-            *[identifier[c].alias(c) for c in ("TAX_ID", "PMI", "PROV_MEDICARE_NUMBER", "PROVIDER_NUMBER")],
-            phone["PROVIDER_TDD"].alias("PROVIDER_TDD"),
-        )
-
-    rows = F.flatten(
-        F.transform(
-            profiles,
-            lambda p: F.flatten(
-                F.transform(side("_identifiers"), lambda i: F.transform(side("_phones"), lambda t: row(p, i, t)))
-            ),
-        )
-    )
+    heads = F.transform(profiles, lambda p: F.struct(
+        F.col("resourceType").alias("resourceType"),
+        F.col("meta.lastUpdated").alias("ORGANIZATION_LAST_UPDATE_DATE"),
+        F.col("name").alias("ORG_NAME_FULL_STD"),
+        p.alias("porg_profile"),
+    ))
     npi = F.transform(
         F.filter("identifier", lambda i: F.exists(i["type"]["coding"], lambda c: c["code"] == "NPI")),
         lambda i: i["value"],
@@ -241,7 +223,7 @@ def provider_organization(docs: DataFrame, unique: bool = False, systems: System
         "PROV_HQM_DATA_AVL_IND": other("recognizingEntity"),
         "PROV_BDTC_IND": other("recognitionValue"),
     }
-    out = finish(docs, _keys(), Layout([rows], texts, flags=flags), unique)
+    out = finish(docs, _keys(), Layout(texts=texts, flags=flags, product=[heads, identifiers, _text_phones(docs)]), unique)
     return out.withColumn("PROV_RCGNTN_QLTY_DATA_AVL_IND", F.col("PROV_BDTC_IND"))
 
 
@@ -287,20 +269,15 @@ def _affiliation(
                      lambda c: c.isin(*AFFILIATION_KINDS.values())), F.lit(0)),
         lambda x: x["valueReference"]["reference"],
     )
-    # as a column of its own, so that the pairs are not worked out again for every row
-    docs = docs.withColumn("_pairs", distinct_rows(pairs))
-    pairs = outer_array(F.col("_pairs"), docs.schema["_pairs"].dataType)
+    def pair_facts(p: Column) -> Column:
+        return F.struct(*[_where(p["code"], kind, reference_id(p["ref"])).alias(n) for n, kind in AFFILIATION_KINDS.items()])
 
-    def extension_row(r: Column, p: Column) -> Column:
+    def row_facts(r: Column) -> Column:
         url, tag = r[f"{outer}_url"], r[f"{inner}_url"]
         flag = r[f"{inner}_valueBoolean"]
         top_code = r[f"{outer}_valueCodeableConcept_coding_code"]
         ref = reference_id(r[f"{outer}_valueReference_reference"])
         return F.struct(
-            F.col("resourceType").alias("resourceType"),
-            F.col("active").alias("active"),
-            F.col("active").alias("ACTV_FLAG"),
-            F.col("meta.lastUpdated").alias(updated),
             _where(tag, "displayIndicatorProvider", flag).alias("DISPLAY_INDICATOR"),
             _where(tag, "pcpIndicatorCode", r[code]).alias("PCP_INDICATOR_CODE"),
             _where(tag, "pcpSelectabilityCode", r[code]).alias("PCP_SELECTABILITY_CODE"),
@@ -312,16 +289,32 @@ def _affiliation(
             _where(url, systems.contract, r[f"{outer}_valueBoolean"]).alias("PROVIDER_CONTRACT_STATUS"),
             _where(url, systems.licensee_ref, ref).alias("licensee_id"),
             _where(url, systems.tier, top_code).alias("PROV_TIER_DESIG"),
-            *[_where(p["code"], kind, reference_id(p["ref"])).alias(n) for n, kind in AFFILIATION_KINDS.items()],
-            F.when(r[code] == "PROVGRP", reference_id(organization)).alias("PROVGRP_ref_id"),
+            (r[code] == "PROVGRP").alias("_group"),
             _where(url, systems.network_ref, ref).alias("_network"),  # tells rows apart, dropped below
         )
 
-    rows = section_rows(schema, "extension", keep)
-    extension = distinct_rows(
-        F.flatten(F.transform(rows, lambda r: F.transform(pairs, lambda p: extension_row(r, p))))
-    )
-    extension = F.transform(extension, lambda r: r.dropFields("_network"))
+    # Both sides lose their repeats before they are multiplied: the product of distinct rows has none.
+    # As columns of their own neither is worked out again for every element of the other.
+    docs = docs.withColumns({
+        "_pairs": distinct_rows(F.transform(pairs, pair_facts)),
+        "_facts": distinct_rows(F.transform(section_rows(schema, "extension", keep), row_facts)),
+        "_group": reference_id(organization),
+    })
+    pairs = outer_array(F.col("_pairs"), docs.schema["_pairs"].dataType)
+    facts = docs.schema["_facts"].dataType.elementType.names
+
+    def extension_row(r: Column, p: Column) -> Column:
+        return F.struct(
+            F.col("resourceType").alias("resourceType"),
+            F.col("active").alias("active"),
+            F.col("active").alias("ACTV_FLAG"),
+            F.col("meta.lastUpdated").alias(updated),
+            *[r[f].alias(f) for f in facts if f not in ("_group", "_network")],
+            *[p[n].alias(n) for n in AFFILIATION_KINDS],
+            F.when(r["_group"], F.col("_group")).alias("PROVGRP_ref_id"),
+        )
+
+    extension = F.flatten(F.transform("_facts", lambda r: F.transform(pairs, lambda p: extension_row(r, p))))
 
     references = expanded_rows(
         [(n, F.col(n), schema[n].dataType) for n in ("healthcareService", "location")],
@@ -446,12 +439,16 @@ def practitioner(docs: DataFrame, unique: bool = False, systems: Systems = NEUTR
     quals = outer_array(F.col("_quals"), docs.schema["_quals"].dataType)
     docs = docs.withColumn("_quals", F.flatten(F.transform(names, lambda n: F.transform(quals, lambda r: wide(n, r)))))
 
-    # state licences: one row per licence number, each column its first non-null value
+    # State licences: one row per licence number, each column its first non-null value. Sorted by
+    # number, a number's licences are one slice, so the work is that of a sort.
     docs = docs.withColumn("_licences", F.filter("_quals", lambda r: r["_kind"] == STATE_LICENCE))
-    first = struct_sql({c: f"coalesce(a.{c}, r.{c})" for c in every})
+    first = struct_sql({c: f"coalesce(a.{c}, x.r.{c})" for c in every})
     licences = F.expr(f"""
-        transform(array_distinct(transform(_licences, r -> r._number)), number ->
-          aggregate(filter(_licences, r -> r._number <=> number), {null_struct(every)}, (a, r) -> {first}))""")
+        transform(array(sort_array(transform(_licences, (r, i) -> struct(r._number AS n, i AS i, r AS r)))), s ->
+          transform(array(filter(transform(s, (x, k) -> IF(k = 0 OR NOT (x.n <=> get(s, k - 1).n), k, NULL)), k -> k IS NOT NULL)), b ->
+            transform(sort_array(transform(b, (k, j) -> struct(s[k].i AS i,
+              aggregate(slice(s, k + 1, coalesce(get(b, j + 1), size(s)) - k), {null_struct(every)}, (a, x) -> {first}) AS r))),
+              x -> x.r))[0])[0]""")
     others = F.filter("_quals", lambda r: (r["_kind"] != STATE_LICENCE) | r["_kind"].isNull())
     docs = docs.withColumn("_quals", F.concat(others, licences))
 

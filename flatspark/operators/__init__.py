@@ -19,6 +19,7 @@ from flatspark.operators.expand import (
     flatten_explode,
     isolated_sections,
     leaf_paths,
+    product_rows,
     replicate,
     zip_arrays,
 )
@@ -51,6 +52,7 @@ __all__ = [
     "flatten_structs",
     "isolated_sections",
     "leaf_paths",
+    "product_rows",
     "many_to_many",
     "number_rows",
     "optional_column",

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -40,6 +42,37 @@ def explode_siblings(df: DataFrame, arrays: dict[str, str], keep: list[str]) ->
     return df
 
 
+PIECE = 10_000  # rows of a document's product that one task makes in one go
+
+
+def product_rows(df: DataFrame, arrays: dict[str, str], keep: list[str], piece: int = PIECE) -> DataFrame:
+    """The product of :func:`explode_siblings`, for products of any size: ``{array column: element column}``.
+
+    A row of the product has a number, whose digits to the bases of the arrays' lengths are the
+    places in the arrays. Numbers are dealt out in pieces. A document of up to ``piece`` rows stays
+    where it is; the pieces of larger ones are spread over the shuffle's partitions, each with its
+    document's arrays, and become rows there. Finding the larger ones reads the input twice.
+    """
+    names = list(arrays)
+    sizes = [F.greatest(F.coalesce(F.size(quoted(a)), F.lit(1)), F.lit(1)).cast("long").alias(f"_n{i}") for i, a in enumerate(names)]
+    kept = [F.col(quoted(k)) for k in keep]
+    sides = df.select(*kept, *[F.col(quoted(a)).alias(f"_side{i}") for i, a in enumerate(names)], *sizes)
+    total = reduce(lambda a, b: a * b, [F.col(f"_n{i}") for i in range(len(names))], F.lit(1).cast("long"))
+    sized = sides.withColumn("_total", total)
+    small = sized.where(F.col("_total") <= piece).withColumn("_piece", F.lit(0).cast("long"))
+    pieces = F.explode_outer(F.sequence(F.lit(0).cast("long"), F.expr(f"(_total - 1) div {piece}")))
+    large = sized.where(F.col("_total") > piece).withColumn("_piece", pieces)
+    large = large.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    number = F.sequence(F.col("_piece") * piece, F.least((F.col("_piece") + 1) * piece, F.col("_total")) - 1)
+    rows = small.unionByName(large).withColumn("_k", F.explode_outer(number))
+
+    def place(i: int) -> Column:
+        later = " * ".join(["1L", *[f"_n{j}" for j in range(i + 1, len(names))]])
+        return F.expr(f"CAST(_k div ({later}) % _n{i} AS INT)")
+
+    return rows.select(*kept, *[F.get(f"_side{i}", place(i)).alias(arrays[a]) for i, a in enumerate(names)])
+
+
 def explode_tagged(df: DataFrame, array: str, name: str, pos: str) -> DataFrame:
     """Explode an array and keep each element's position as its identity.
 
@@ -192,6 +225,7 @@ __all__ = [
     "flatten_explode",
     "isolated_sections",
     "leaf_paths",
+    "product_rows",
     "replicate",
     "zip_arrays",
 ]

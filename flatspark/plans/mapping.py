@@ -72,12 +72,14 @@ def map_documents(
     keep: list[str] = (),
     dedupe: bool = True,
     explode: bool = True,
+    piece: int | None = None,
 ) -> DataFrame:
     """One row per document, one array column per rule, then one row per combination of the
     values of the columns marked ``explode``. ``keep`` columns are carried along.
 
     The rows a document gives are the product of those columns' lengths;
-    :func:`product_size` tells it before the explosion.
+    :func:`product_size` tells it before the explosion. With ``piece``, products of more rows are
+    made in pieces, each by a task of its own.
     """
     check_names(rules)
     names = P.FlatNames(df.schema)
@@ -85,11 +87,18 @@ def map_documents(
         *[F.col(P.quoted(k)) for k in keep],
         *[rule_column(df.schema, names, r, dedupe).alias(r.name) for r in rules],
     )
-    return explode_columns(mapped, [r.name for r in rules if r.explode]) if explode else mapped
+    return explode_columns(mapped, [r.name for r in rules if r.explode], piece) if explode else mapped
 
 
-def explode_columns(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Explode array columns one after the other; a null column gives one null."""
+def explode_columns(df: DataFrame, columns: list[str], piece: int | None = None) -> DataFrame:
+    """Explode array columns one after the other; a null column gives one null. With ``piece``,
+    documents that give more rows are cut into pieces for different tasks.
+    """
+    if piece is not None and columns:
+        from flatspark.operators.expand import product_rows
+
+        rest = [c for c in df.columns if c not in columns]
+        return product_rows(df, {c: c for c in columns}, rest, piece).select(*[F.col(P.quoted(c)) for c in df.columns])
     for name in columns:
         df = df.select(
             *[F.explode_outer(P.quoted(c)).alias(c) if c == name else F.col(P.quoted(c))

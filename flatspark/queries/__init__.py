@@ -33,6 +33,7 @@ def load_all() -> None:
         jobs,
         projection,
         rules,
+        shapes,
         shared,
         storage,
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 # Runtime SQL settings the plans of this package rely on. A hot entity makes one
@@ -49,6 +50,23 @@ def folder_exists(spark: SparkSession, path: str) -> bool:
     return place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).exists(place)
 
 
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist yet; whether it did not."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    try:
+        stream = files.create(place, False)
+    except Py4JJavaError:
+        if files.exists(place):
+            return False
+        raise
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    return True
+
+
 def materialize(df: DataFrame, path: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: cuts its plan, survives lost
     executors, unlike a cache.

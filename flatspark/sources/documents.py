@@ -137,8 +137,12 @@ def split_corrupt(
     if max_chars is None:
         return _split_by_reader(spark, path, schema, one_per_file, pattern, recursive)
     texts = spark.read.text(path, wholetext=one_per_file, pathGlobFilter=pattern, recursiveFileLookup=recursive)
-    texts = texts.select("value", F.col("_metadata.file_path").alias("file_path"))
-    texts = texts.where(F.length(F.trim("value")) > 0)
+    return split_texts(texts.select("value", F.col("_metadata.file_path").alias("file_path")), schema, max_chars)
+
+
+def split_texts(texts: DataFrame, schema: T.StructType, max_chars: int = 2**31 - 1) -> tuple[DataFrame, DataFrame]:
+    """:func:`split_corrupt` of texts that are there already, in columns value and file_path."""
+    texts = texts.select("value", "file_path").where(F.length(F.trim("value")) > 0)
     full = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
     text = F.when(F.length("value") <= max_chars, F.col("value"))
     one = F.from_json(text, full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT})
@@ -158,6 +162,76 @@ def split_corrupt(
     return good, bad
 
 
+SMALL_FILE_COST = 64 << 10
+
+
+def pack_documents(
+    spark: SparkSession, path: str | list[str], packed_path: str, *, bin_bytes: int = 128 << 20,
+    pattern: str | None = None, recursive: bool = False,
+) -> DataFrame:
+    """Very many small one-document files as few: rows of file_path and value, one per file.
+
+    Files are read in bins by their sizes, each bin one task and one output file: a small file
+    counts with its bytes and ``SMALL_FILE_COST``, not with the megabytes that Spark takes the opening
+    of a file for. Nothing is parsed, so malformed documents keep their text and file name; give the
+    result to :func:`split_texts`.
+    """
+    sizes = {"spark.sql.files.openCostInBytes": str(SMALL_FILE_COST), "spark.sql.files.maxPartitionBytes": str(bin_bytes)}
+    before = {k: spark.conf.get(k) for k in sizes}
+    try:
+        for k, v in sizes.items():
+            spark.conf.set(k, v)
+        texts = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=recursive)
+        texts.select(F.col("_metadata.file_path").alias("file_path"), "value").write.mode("overwrite").parquet(packed_path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    return spark.read.schema("file_path string, value string").parquet(packed_path)
+
+
+def oversized_files(
+    spark: SparkSession, path: str | list[str], max_bytes: int, *, pattern: str | None = None, recursive: bool = False
+) -> DataFrame:
+    """code, file_path, length of files above a size. Only the listing is looked at: the content
+    column is not asked for, so no file is opened.
+    """
+    reader = spark.read.format("binaryFile")
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    files = reader.load(path).select(F.col("path").alias("file_path"), "length")
+    return files.where(F.col("length") > max_bytes).select(F.lit(JSON_TOO_LARGE).alias("code"), "file_path", "length")
+
+
+def split_by_size(
+    spark: SparkSession,
+    path: str,
+    schema: T.StructType,
+    max_bytes: int,
+    *,
+    one_per_file: bool = True,
+    pattern: str | None = None,
+    recursive: bool = False,
+) -> tuple[DataFrame, DataFrame]:
+    """(good documents, bad ones as rows of code, file_path, value), as :func:`split_corrupt`, where
+    files of more than ``max_bytes`` have code 1002 and no text: the condition is on the files'
+    listing, so they are left out of the scan, and neither loaded nor parsed.
+    """
+    reader = spark.read.schema(with_corrupt(schema)).option("multiLine", one_per_file)
+    reader = reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+    if pattern:
+        reader = reader.option("pathGlobFilter", pattern)
+    if recursive:
+        reader = reader.option("recursiveFileLookup", True)
+    small = reader.json(path).where(F.col("_metadata.file_size") <= max_bytes)
+    checked = small.select("*", F.col("_metadata.file_path").alias("_file"))
+    large = oversized_files(spark, path, max_bytes, pattern=pattern, recursive=recursive)
+    bad = bad_rows(checked, schema).unionByName(
+        large.select("code", "file_path", F.lit(None).cast("string").alias("value")))
+    return good_rows(checked, schema), bad
+
+
 def with_corrupt(schema: T.StructType) -> T.StructType:
     """The schema with a column for the text of malformed documents."""
     return T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
