@@ -53,17 +53,14 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """A document is repeated as often as the mix takes its first word, or left out."""
     prepare(spark)
     size = F.coalesce(F.regexp_count("text", F.lit(NOT_SPACE)), F.lit(0))
-    mix = mixing.mixed(docs, size).where("copies > 0").select(F.col("_row").alias("_taken"), "copies")
-    rows = docs.select(F.monotonically_increasing_id().alias("_row"), F.struct("*").alias("_doc"))
-    met = rows.join(mix, F.col("_row") == F.col("_taken"))
-    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select("_doc.*")
+    return mixing.repeated(docs, size)
 
 
 def byte_bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the text decoded from the ids."""
     prepare(spark)
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
-    rows = bpe.decoded(bpe.encoded(docs, ranks, pre_token_pattern()), ranks)
+    rows = bpe.round_trip(docs, ranks, pre_token_pattern())
     return rows.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", "text")
 
 

@@ -17,6 +17,7 @@ from flatspark.sources.sinks import materialize
 
 SPACE = r"[\x20\x09-\x0D]"
 SPLITS = "spark.sql.files.minPartitionNum"
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 NOT_SPACE = r"[^\x20\x09-\x0D]+"
 
 
@@ -32,6 +33,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     # follows the cores alive when a scan is planned, which may differ between the two.
     if spark.conf.get(SPLITS, None) is None:
         spark.conf.set(SPLITS, str(sc.defaultParallelism))
+    # A batch of long texts ends by its bytes, not by its rows.
+    if int(spark.conf.get(BATCH_BYTES, str(2**31 - 1)).removesuffix("b")) > 16 << 20:
+        spark.conf.set(BATCH_BYTES, str(16 << 20))
     if getattr(sc, "_flatspark_shipped", None) is None:
         root = os.path.dirname(os.path.abspath(flatspark.__file__))
         archive = os.path.join(tempfile.mkdtemp(), f"flatspark_{uuid.uuid4().hex[:8]}.zip")
@@ -76,3 +80,11 @@ def strings(column: pa.Array) -> list[bytes]:
 
 def bytes_of(texts: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b"" if x is None else x.encode() for x in texts.to_pylist()]
+
+
+def parts_of(df: DataFrame, text: Column, part_bytes: int) -> int:
+    """Into how many parts what the texts have in common is dealt: by their bytes, and no fewer
+    than a shuffle has.
+    """
+    size = df.agg(F.sum(F.octet_length(text).cast("long"))).first()[0] or 0
+    return max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-size // part_bytes))

@@ -197,7 +197,21 @@ def mixed(docs: DataFrame, size: Column, mix: Mix = Mix()) -> DataFrame:
     """
     base = docs.select("doc_id", "source", size.cast("long").alias("size"),
                        F.monotonically_increasing_id().alias("_row"))
-    base = written(base, "mix-sizes")
+    return _mixed(written(base, "mix-sizes"), mix)
+
+
+def repeated(docs: DataFrame, size: Column, mix: Mix = Mix()) -> DataFrame:
+    """The documents of the mix: each as often as the mix takes its first word, or left out."""
+    rows = docs.select(F.monotonically_increasing_id().alias("_row"), size.cast("long").alias("_size"), F.struct("*").alias("_doc"))
+    rows = written(rows, "mix-rows")
+    base = rows.select("_doc.doc_id", "_doc.source", F.col("_size").alias("size"), "_row")
+    taken = _mixed(base, mix).where("copies > 0").select(F.col("_row").alias("_taken"), "copies")
+    met = rows.join(taken, F.col("_row") == F.col("_taken"))
+    return met.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select("_doc.*")
+
+
+def _mixed(base: DataFrame, mix: Mix) -> DataFrame:
+    """The mix of written rows (doc_id, source, size, _row)."""
     targets = written(source_targets(base, mix), "mix-targets")
     placed = written(positions(base, targets, mix), "mix-places")
     block = F.lit(mix.block)

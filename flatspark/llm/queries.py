@@ -125,7 +125,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = vocabulary("byte_bpe_multi_50k.tiktoken")
-    return bpe.digests(bpe.encoded(table(spark, sf_dir, "documents"), ranks, pre_token_pattern()), ranks)
+    return bpe.digests(table(spark, sf_dir, "documents"), ranks, pre_token_pattern())
 
 
 OP8_SQL = """
