@@ -95,15 +95,23 @@ win AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS s
 dup AS (SELECT r, s FROM win GROUP BY r, s HAVING count(*) > 1),
 hit AS (SELECT r, count(DISTINCT p) AS n FROM (
           SELECT r, unnest([i, i + 1, i + 2]) AS p FROM win JOIN dup USING (r, s)) GROUP BY r),
-li AS (SELECT r, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS lw FROM (SELECT r, unnest(ls) AS l FROM w)),
-lj AS (SELECT r, l, len(lw) AS n, len(lw) = 0 OR NOT (
-         (len(lw) < 12 AND NOT regexp_matches(lw[-1], '[.!?…:;,"''”’»)\]]$'))
-         OR (len(regexp_extract_all(l, '[|»›•·]')) >= 2 AND len(regexp_extract_all(l, '[|»›•·]')) * 100 >= len(lw) * 25)
+li AS (SELECT r, i, l, regexp_extract_all(l, '[^\x20\x09-\x0D]+') AS lw
+       FROM (SELECT r, i, ls[i] AS l FROM (SELECT r, ls, unnest(range(1, len(ls) + 1)) AS i FROM w))),
+lk AS (SELECT r, i, l, lw, len(lw) AS n, length(l) AS c, length(lw[1]) AS f, len(lw) >= 12
+         OR (regexp_matches(lw[-1], '[\p{Po}\p{Pe}\p{Pf}\p{Pi}]\z') AND NOT regexp_matches(lw[-1], '[#%&*@/\\•·§¶†‡]\z')) AS closed
+       FROM li),
+lo AS (SELECT *, coalesce(n >= 3 AND NOT closed AND lead(n) OVER o > 0
+                          AND greatest(c, lead(c) OVER o, CASE WHEN lag(n) OVER o > 0 THEN lag(c) OVER o END) >= 20
+                          AND (c + 1 + lead(f) OVER o) * 100 >=
+                              greatest(c, lead(c) OVER o, CASE WHEN lag(n) OVER o > 0 THEN lag(c) OVER o END) * 80, false) AS goes_on
+       FROM lk WINDOW o AS (PARTITION BY r ORDER BY i)),
+lj AS (SELECT r, l, n, n = 0 OR ((closed OR goes_on OR coalesce(lag(goes_on) OVER (PARTITION BY r ORDER BY i), false)) AND NOT (
+         (len(regexp_extract_all(l, '[|»›•·]')) >= 2 AND len(regexp_extract_all(l, '[|»›•·]')) * 100 >= len(lw) * 25)
          OR (len(regexp_extract_all(l, '[#*$%&|<>]')) >= 3 AND len(regexp_extract_all(l, '[#*$%&|<>]')) * 100 > len(lw) * 50)
          OR (len(lw) >= 5 AND len(list_filter(lw, lambda x: regexp_matches(x, '\p{Lu}.*\p{Lu}')
              AND NOT regexp_matches(x, '\p{Ll}'))) * 100 > len(lw) * 50)
          OR (len(lw) >= 10 AND len(lw) < 200 AND len(list_distinct(lw)) * 100 < len(lw) * 30)
-         OR (len(lw) < 30 AND regexp_matches(lower(l), '""" + quality.PHRASES + r"""'))) AS ok FROM li),
+         OR (len(lw) < 30 AND regexp_matches(lower(l), '""" + quality.PHRASES + r"""')))) AS ok FROM lo),
 g AS (SELECT r, count(*) FILTER (n > 0) - count(DISTINCT l) FILTER (n > 0) AS dups,
              coalesce(sum(n) FILTER (ok), 0) AS passing FROM lj GROUP BY r),
 b AS (SELECT doc_id, len(ws) AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g')) AS word_chars,
