@@ -46,6 +46,7 @@ _MARKS = bytes(MARK[0] if c in b".,;:!?\n\x0b\x0c\r" else c for c in range(256))
 BLOCKS = "block long, lang string, n long, tokens binary, words binary, counts binary"
 WORDS = "block long, lang string, word binary, code int, count long"
 LONGEST = 5
+CODE_BITS = 22
 KEY = [f"w{i}" for i in range(1, LONGEST + 1)]
 PAIRS = "block long, w1 long, w2 long, count long"
 PHRASES = ", ".join(f"{k} long" for k in KEY) + ", count long"
@@ -61,7 +62,7 @@ class Settings:
 
     least: int = 100
     places: int = 2000
-    block_words: int = 1 << 19
+    block_words: int = 1 << 21
     share: float = 0.4
 
 
@@ -103,7 +104,7 @@ def in_blocks(docs: DataFrame, text: str, lang: str, settings: Settings) -> Data
 
         for b in batches:
             if block is None and b.num_rows:
-                block = b[PART][0].as_py() << 32
+                block = b[PART][0].as_py() << 16
             for language, t in zip(b["lang"].to_pylist(), b["text"].to_pylist()):
                 if not t:
                     continue
@@ -380,10 +381,13 @@ def collocations(docs: DataFrame, settings: Settings = Settings(), text: str = "
     """lang, rank, phrase, a, l, r, n, score: each language's first ``places`` phrases."""
     blocks = written(in_blocks(docs, text, lang, settings), "blocks")
     totals = blocks.groupBy("lang").agg(F.sum("n").alias("n"))
-    same = W.partitionBy(F.xxhash64("lang", "word"), "lang", "word")
-    rows = words_of(blocks).withColumn("id", F.monotonically_increasing_id() + 1)
-    told = rows.withColumn("f", F.sum("count").over(same)).where(F.col("f") >= settings.least)
-    told = written(told.select("block", "lang", "word", "code", F.min("id").over(same).alias("id"), "f"), "told")
+    if settings.block_words >= 1 << CODE_BITS:
+        raise ValueError(f"a block has fewer than {1 << CODE_BITS} words")
+    same = W.partitionBy("word", "lang")
+    # A word's number is that of its first block and its place there.
+    number = F.min(F.shiftleft("block", CODE_BITS) + F.col("code")).over(same)
+    told = words_of(blocks).withColumn("f", F.sum("count").over(same)).where(F.col("f") >= settings.least)
+    told = written(told.select("block", "lang", "word", "code", number.alias("id"), "f"), "told")
     words = written(told.select("lang", "word", "id", "f").distinct(), "words")
     reduced = written(states(blocks.select("block", "lang", "tokens"), told), "states")
 
