@@ -31,6 +31,7 @@ from flatspark.jobs.finish import (
 )
 from flatspark.jobs.systems import NEUTRAL, Systems
 from flatspark.operators.entity import attach, backfill, collapse, pair_in_element
+from flatspark.operators.project import indexed, tag_index
 from flatspark.plans.paths import expanded_rows, outer_array, section_rows
 from flatspark.session import materialize, work_dir
 
@@ -72,11 +73,13 @@ def _where(tag: Column, equals: str, value: Column) -> Column:
 
 # ---------------------------------------------------------------- shared sections
 
-def _contact_texts() -> dict[str, Texts]:
-    def of(system: str) -> Column:
-        return F.transform(F.filter("telecom", lambda t: t["system"] == system), lambda t: t["value"])
+def _with_contacts(docs: DataFrame) -> DataFrame:
+    """The documents with their contact values by system, which all contact columns look up."""
+    return docs.withColumn("_contacts", tag_index(F.col("telecom"), lambda t: t["system"], lambda t: t["value"]))
+
 
-    return {name: Texts(of(system)) for name, system in CONTACT_COLUMNS.items()}
+def _contact_texts() -> dict[str, Texts]:
+    return {name: Texts(indexed(F.col("_contacts"), system)) for name, system in CONTACT_COLUMNS.items()}
 
 
 def _text_phones(docs: DataFrame) -> Column:
@@ -223,6 +226,7 @@ def provider_organization(docs: DataFrame, unique: bool = False, systems: System
         "PROV_HQM_DATA_AVL_IND": other("recognizingEntity"),
         "PROV_BDTC_IND": other("recognitionValue"),
     }
+    docs = _with_contacts(docs)
     out = finish(docs, _keys(), Layout(texts=texts, flags=flags, product=[heads, identifiers, _text_phones(docs)]), unique)
     return out.withColumn("PROV_RCGNTN_QLTY_DATA_AVL_IND", F.col("PROV_BDTC_IND"))
 
@@ -511,4 +515,5 @@ def practitioner(docs: DataFrame, unique: bool = False, systems: Systems = NEUTR
         "PROVIDER_LANGUAGE_CODE": Texts(languages),
         "RECOGNITION": Texts(recognitions, blank_length=BLANK_RECOGNITION),
     }
+    docs = _with_contacts(docs)
     return finish(docs, _keys(), Layout([qualification, identifiers, _text_phones(docs)], texts), unique)

@@ -26,8 +26,10 @@ from flatspark.operators.expand import (
 from flatspark.operators.project import (
     differs_or_null,
     flatten_structs,
+    indexed,
     optional_column,
     strip_suffix,
+    tag_index,
     tagged,
     tagged_pivot,
     tagged_values,
@@ -50,16 +52,18 @@ __all__ = [
     "first_non_null",
     "flatten_explode",
     "flatten_structs",
+    "indexed",
     "isolated_sections",
     "leaf_paths",
-    "product_rows",
     "many_to_many",
     "number_rows",
     "optional_column",
     "pair_in_element",
     "positional_join",
+    "product_rows",
     "replicate",
     "strip_suffix",
+    "tag_index",
     "tagged",
     "tagged_pivot",
     "tagged_values",

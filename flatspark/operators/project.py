@@ -43,6 +43,30 @@ def tagged_values(elements: Column, tag, equals: str, value) -> Column:
     return F.transform(F.filter(elements, lambda x: tag(x) == equals), value)
 
 
+def tag_index(elements: Column, tag, value) -> Column:
+    """All values of an array by their tag, in order: one pass over the section, whatever the number of
+    columns that look up a tag. Elements without a tag are left out; a null array gives a null.
+
+    Sorted by tag and place, the elements of a tag are one slice. Keep the index as a column of its own
+    and ask it with :func:`indexed`.
+    """
+    placed = F.sort_array(F.filter(
+        F.transform(elements, lambda x, i: F.struct(tag(x).alias("t"), i.alias("i"), value(x).alias("v"))), lambda x: x["t"].isNotNull()))
+
+    def grouped(s: Column) -> Column:
+        first = F.transform(s, lambda x, k: F.when((k == 0) | (x["t"] != F.get(s, k - 1)["t"]), k))
+        return F.transform(F.array(F.filter(first, lambda k: k.isNotNull())), lambda b: F.map_from_entries(F.transform(
+            b, lambda k, j: F.struct(F.get(s, k)["t"], F.transform(
+                F.slice(s, k + 1, F.coalesce(F.get(b, j + 1), F.size(s)) - k), lambda x: x["v"])))))[0]
+
+    return F.transform(F.array(placed), lambda s: F.when(s.isNotNull(), grouped(s)))[0]
+
+
+def indexed(index: Column, equals: str, dtype: str = "array<string>") -> Column:
+    """The values of a tag in an index, an empty array where it has none."""
+    return F.coalesce(F.element_at(index, equals), F.array().cast(dtype))
+
+
 def differs_or_null(col: Column, value) -> Column:
     """``col`` is not the value, or is null."""
     return (col != value) | col.isNull()

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from flatspark.jobs import provider, schemas
 from flatspark.jobs.incremental import Job, run_once, run_pending
 from flatspark.jobs.schemas import obj
-from flatspark.operators import number_rows, positional_join, product_rows
+from flatspark.operators import indexed, number_rows, positional_join, product_rows, tag_index
 from flatspark.operators.variants import variant_leaves
 from flatspark.plans import Rule, level_flatten, map_documents
 from flatspark.plans.checks import all_config_errors, config_rules
@@ -29,6 +29,7 @@ from flatspark.sources import (
     split_texts,
 )
 from flatspark.sources.runlog import SCHEMA as RUN_LOG
+from flatspark.streaming import ingest_new_documents, ingested
 
 
 # ---------------------------------------------------------------- leaves of documents of any shape
@@ -247,6 +248,21 @@ def rules_in_pieces(spark, sf):
     return map_documents(docs, rules, keep=["id"], piece=2)
 
 
+# ---------------------------------------------------------------- a section by its tags
+
+_BY_SYSTEM = ", ".join(f"(SELECT string_agg(value, ',' ORDER BY i) FROM {CONTACTS} WHERE system = '{s}') AS {s}" for s in ("phone", "email", "fax"))
+
+
+@query("p5_tag_index", f"""{ORDER_CTE}
+SELECT id, {_BY_SYSTEM}, NULL::VARCHAR AS pager FROM o""")
+def by_tag(spark, sf):
+    """Four columns look up one index of the section; a tag that is not there has no values."""
+    docs = order_docs(spark, sf).select("id", tag_index(F.col("contact"), lambda c: c["system"], lambda c: c["value"]).alias("index"))
+    return docs.select("id", *[
+        F.when(F.size(v) > 0, F.array_join(v, ",")).alias(s)
+        for s in ("phone", "email", "fax", "pager") for v in [indexed(F.col("index"), s)]])
+
+
 # ---------------------------------------------------------------- sections numbered apart
 
 @query("j4_sections_numbered_apart", f"""{ORDER_CTE},
@@ -298,6 +314,21 @@ def catch_up(spark, sf):
     return _log(spark, job).join(written, "last_date", "left")
 
 
+@query("t1_lost_checkpoint", f"""{ORDER_CTE}
+SELECT id, CAST(version AS INTEGER) % 2 = 0 AS first FROM o""")
+def lost_checkpoint(spark, sf):
+    """Two waves of files, the second under a new checkpoint that sees the files of the first again."""
+    base = work_dir(spark, "t1l")
+    docs = order_docs(spark, sf).select("id", F.col("meta.versionId").alias("version"))
+    schema = obj("id", "version")
+    for number, some in enumerate((docs.where("version <> '1'"), docs.where("version = '1'"))):
+        some.write.mode("append").json(f"{base}/in")
+        ingest_new_documents(
+            spark, f"{base}/in", schema, lambda d: d.select("id", (F.col("version").cast("int") % 2 == 0).alias("first")),
+            f"{base}/out", f"{base}/checkpoint{number}", one_per_file=False, ledger=f"{base}/ledger").awaitTermination()
+    return ingested(spark, f"{base}/out", f"{base}/ledger").drop("batch_id")
+
+
 @query("t5_refused_run", """
 SELECT strftime(max(CAST(ts AS DATE)), '%Y-%m-%d') AS last_date, 't5r' AS job_name_met, TRUE AS had_data, 7::BIGINT AS row_count,
   'refused' AS run, 0::BIGINT AS files FROM events""")

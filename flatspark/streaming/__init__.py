@@ -1,3 +1,3 @@
-from flatspark.streaming.ingest import ingest_new_documents
+from flatspark.streaming.ingest import ingest_new_documents, ingested
 
-__all__ = ["ingest_new_documents"]
+__all__ = ["ingest_new_documents", "ingested"]

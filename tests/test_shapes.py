@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from flatspark.jobs import provider, schemas
 from flatspark.jobs.incremental import Job, run_once, run_pending
 from flatspark.jobs.schemas import many, obj
-from flatspark.operators import explode_siblings, leaf_paths, product_rows
+from flatspark.operators import explode_siblings, indexed, leaf_paths, product_rows, tag_index
 from flatspark.operators.variants import malformed, variant_leaves
 from flatspark.plans import ConfigError, Rule, load_rules, map_documents
 from flatspark.plans.checks import all_config_errors, config_rules
@@ -35,6 +35,7 @@ from flatspark.sources import (
     split_texts,
 )
 from flatspark.sources.derived import parse_shape
+from flatspark.streaming import ingest_new_documents, ingested
 
 
 # ---------------------------------------------------------------- leaves without a schema
@@ -156,6 +157,21 @@ def test_checks_agree_with_the_reader_of_one_config(spark):
             assert f"c{i}" not in errors and rules.get(f"c{i}", set()) == set(want), t
 
 
+# ---------------------------------------------------------------- a section by its tags
+
+def test_an_index_gives_what_filters_give(spark, json_docs):
+    rng = random.Random(8)
+    schema = obj("id", telecom=many(obj("system", "value")))
+    docs = [{"id": str(i), "telecom": [{k: v for k, v in (("system", rng.choice(["a", "b", "c", None])), ("value", rng.choice(["x", "y", None])))
+                                        if v is not None} for _ in range(rng.randrange(8))]} for i in range(50)]
+    docs += [{"id": "none"}, {"id": "empty", "telecom": []}, {"id": "long", "telecom": [{"system": "b", "value": str(i)} for i in range(500)]}]
+    df = json_docs(docs, schema).withColumn("index", tag_index(F.col("telecom"), lambda t: t["system"], lambda t: t["value"]))
+    for tag in ("a", "b", "nowhere"):
+        got = {r.id: r.v for r in df.select("id", indexed(F.col("index"), tag).alias("v")).collect()}
+        assert got == {d["id"]: [t.get("value") for t in d.get("telecom", []) if t.get("system") == tag] for d in docs}
+    assert df.where("index is null").count() == 1
+
+
 # ---------------------------------------------------------------- products in pieces
 
 def test_products_in_pieces_are_the_products(spark):
@@ -245,6 +261,39 @@ def test_many_small_files_are_packed(spark, tmp_path):
     assert all(r.code == 1001 for r in bad.collect())
 
 
+# ---------------------------------------------------------------- lost checkpoints
+
+def test_a_lost_checkpoint_goes_on_without_repeats(spark, tmp_path):
+    source, out, ledger, bad = (str(tmp_path / n) for n in ("in", "out", "ledger", "bad"))
+
+    def run(check):
+        ingest_new_documents(spark, source, obj("id"), lambda d: d, out, str(tmp_path / check), ledger=ledger,
+                             bad_path=bad, files_per_batch=2).awaitTermination()
+        return sorted(r.id for r in ingested(spark, out, ledger).collect())
+
+    os.makedirs(source)
+
+    def save(name, text):
+        with open(f"{source}/{name}.json", "w") as f:
+            f.write(text)
+
+    for i in range(3):
+        save(i, json.dumps({"id": str(i)}))
+    save("broken", '{"id": ')
+    assert run("one") == ["0", "1", "2"]
+    save(3, json.dumps({"id": "3"}))
+    assert run("one") == ["0", "1", "2", "3"]  # the same checkpoint goes on
+    save(4, json.dumps({"id": "4"}))
+    assert run("two") == ["0", "1", "2", "3", "4"]
+    assert run("three") == ["0", "1", "2", "3", "4"]
+    assert spark.read.parquet(bad).where("code = 1001").count() == 1
+    # rows of a batch that broke off before its list do not count
+    spark.createDataFrame([("ghost",)], "id string").write.parquet(f"{out}/batch_id=lost-7")
+    assert run("two") == ["0", "1", "2", "3", "4"]
+    with pytest.raises(ValueError):
+        ingest_new_documents(spark, source, obj("id"), lambda d: d, out, str(tmp_path / "four"))
+
+
 # ---------------------------------------------------------------- catching up, two runners
 
 NETWORK = schemas.NETWORK
