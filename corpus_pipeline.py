@@ -1,8 +1,9 @@
 """A training corpus out of ``documents``: five stages, each written as Parquet and read by the next.
 
-Rows without a doc_id pass the near-duplicate stage; rows that repeat one stay or go together. A
-null text has no words and goes in the first stage. A text that later stages empty stays as an
-empty row. Columns that ``documents`` has beside its own travel along unchanged.
+Rows without a doc_id, and rows that repeat one, are documents of their own: of a group of near copies
+one row stays, whatever their ids. A null text has no words and goes in the first stage. A text that
+later stages empty stays as an empty row. Very long texts go through whole. Columns that ``documents``
+has beside its own travel along unchanged. An empty table gives an empty one after each stage.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from flatspark.llm.common import NOT_SPACE, prepare, table
 from flatspark.llm.queries import pre_token_pattern, vocabulary
 from flatspark.session import work_dir
 
-ORACLE_SQL = None  # SQL has neither MinHash groups nor tokenizers; see tests/llm/test_pipeline.py
+ORACLE_SQL = None  # SQL has neither tokenizers nor gear hashes; tests/llm/test_llm_pipeline.py has a brute-force version
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -39,8 +40,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies stays, that with the smallest id."""
     prepare(spark)
-    gone = neardup.near_duplicates(docs, neardup.Settings(shingle=5, percent=80)).where(~F.col("kept"))
-    return docs.join(gone.select("doc_id").distinct(), "doc_id", "left_anti").select(docs.columns)
+    return neardup.deduplicated(docs, neardup.Settings(shingle=5, percent=80))
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from flatspark.llm.blocks import (
     PART, from_planes, in_blocks, pack_words, planes, record, squeezed, unpack_words, unsqueezed,
 )
-from flatspark.llm.common import parts_of
+from flatspark.llm.common import Numbers, parts_of
 
 BLOCK_BYTES = 12 << 20
 PART_BYTES = 16 << 20  # of text whose distinct words one part encodes
@@ -82,14 +82,6 @@ def token_bytes(path: str) -> list[bytes]:
     return table
 
 
-class Numbers(dict):
-    """Numbers words in the order in which they come."""
-
-    def __missing__(self, word: str) -> int:
-        n = self[word] = len(self)
-        return n
-
-
 def _numbered(batches, text: str, pattern: str, block_bytes: int):
     """(block, batch slice, codes of its rows, the block's words if it ends here)."""
     numbers, block = Numbers(), None

@@ -59,6 +59,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, work_dir(df.sparkSession, name))
 
 
+def written_texts(df: DataFrame, name: str) -> DataFrame:
+    """The same for whole texts, packed more closely."""
+    path = work_dir(df.sparkSession, name)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def held(df: DataFrame, **columns: Column) -> DataFrame:
     """Columns worked out once per row, whatever is asked of them later.
 
@@ -69,6 +76,14 @@ def held(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", packed.alias("_held")).select(*df.columns, *[F.col("_held")[n].alias(n) for n in columns])
 
 
+class Numbers(dict):
+    """Numbers words in the order in which they come."""
+
+    def __missing__(self, word: str | bytes) -> int:
+        n = self[word] = len(self)
+        return n
+
+
 def words_of(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE), "")
 

@@ -9,7 +9,7 @@ first block when all are taken; the last slot takes only what the target leaves.
 equally many words of the source's documents in a shuffled order.
 
 A null source is a source of its own, last in the order; null or empty texts have no words and
-are never taken. Repeated rows are documents of their own. An empty table gives an empty mix.
+are never taken. A very long text spans many blocks and is taken block by block. Repeated rows are documents of their own. An empty table gives an empty mix.
 The order depends on ids and sizes alone, so reruns agree.
 """
 
@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flatspark.llm.common import written
+from flatspark.llm.common import written, written_texts
 
 BEFORE = (W.unboundedPreceding, -1)
 
@@ -203,7 +203,7 @@ def mixed(docs: DataFrame, size: Column, mix: Mix = Mix()) -> DataFrame:
 def repeated(docs: DataFrame, size: Column, mix: Mix = Mix()) -> DataFrame:
     """The documents of the mix: each as often as the mix takes its first word, or left out."""
     rows = docs.select(F.monotonically_increasing_id().alias("_row"), size.cast("long").alias("_size"), F.struct("*").alias("_doc"))
-    rows = written(rows, "mix-rows")
+    rows = written_texts(rows, "mix-rows")
     base = rows.select("_doc.doc_id", "_doc.source", F.col("_size").alias("size"), "_row")
     taken = _mixed(base, mix).where("copies > 0").select(F.col("_row").alias("_taken"), "copies")
     met = rows.join(taken, F.col("_row") == F.col("_taken"))

@@ -13,10 +13,11 @@ is dropped. Survivors are verified on their full sets, computed again from the w
 tiles of some dozens of texts on either side, so that neither texts nor pairs of a large group are
 rows of their own.
 
-Documents without words are linked with nothing. Null texts have no words. A class has the
-smallest id of its rows, so rows that repeat an id are one node; rows without an id take their
-class's group and never name it. An empty table gives an empty result. Only the id and the text
-are used of the columns.
+Documents without words are linked with nothing. Null texts have no words. Very long texts are sets
+like others, held one tile at a time. Rows are told apart by a number of their own, written with
+them, so rows that repeat an id or have none are worked in full; a group is named by the smallest
+id in it, and a group without ids has none. An empty table gives an empty result. Only the id and
+the text are used of the columns.
 """
 
 from __future__ import annotations
@@ -31,11 +32,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from flatspark.llm.common import bytes_of, written
+from flatspark.llm.common import bytes_of, written, written_texts
 from flatspark.llm.components import connected
 
-SIGNED = "doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
+SIGNED = "row long, doc_id long, n_shingles long, digest binary, bands array<long>, sketch array<long>"
 BITS = 4  # of each hash in a sketch
+SLICES = 64  # of the pairs of a place that is cut into tiles
 PER_LONG = 64 // BITS
 _A, _B = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
 
@@ -53,7 +55,7 @@ class Settings:
     rows: int = 4
     batch: int = 32
     miss: float = 1e-6
-    chunk: int = 64
+    chunk: int = 256
     pairs_per_member: int = 64
 
     @property
@@ -172,8 +174,17 @@ def sketched(sigs: np.ndarray) -> np.ndarray:
     return (bits << (np.arange(PER_LONG, dtype=np.uint64) * np.uint64(BITS))).sum(axis=2, dtype=np.uint64).view(np.int64)
 
 
-def signed(docs: DataFrame, settings: Settings, text: str) -> DataFrame:
-    """Set size, digest of the set, band keys and sketch of every document; none without words."""
+def numbered(docs: DataFrame, text: str, rest: Column | None = None) -> DataFrame:
+    """row, doc_id, text of every row, and the ``rest`` where given, written once: later reads see the
+    same numbers.
+    """
+    more = [] if rest is None else [rest.alias("rest")]
+    return written_texts(docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                                     F.col(text).alias("text"), *more), "rows")
+
+
+def signed(rows: DataFrame, settings: Settings) -> DataFrame:
+    """Set size, digest of the set, band keys and sketch of every row; none without words."""
 
     def lists(rows: np.ndarray, there: list[bool]) -> pa.Array:
         made = iter(rows)
@@ -190,12 +201,12 @@ def signed(docs: DataFrame, settings: Settings, text: str) -> DataFrame:
                 there = [len(s) > 0 for s in sets]
                 sigs = np.array([signature(s, a, b) for s in sets if len(s)], np.uint32).reshape(-1, settings.hashes)
                 yield pa.RecordBatch.from_arrays(
-                    [part["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
+                    [part["row"], part["doc_id"], pa.array([len(s) for s in sets], pa.int64()),
                      pa.array([xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets], pa.binary()),
                      lists(banded(sigs, settings), there), lists(sketched(sigs), there)],
-                    ["doc_id", "n_shingles", "digest", "bands", "sketch"])
+                    ["row", "doc_id", "n_shingles", "digest", "bands", "sketch"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).mapInArrow(sign, SIGNED)
+    return rows.select("row", "doc_id", "text").mapInArrow(sign, SIGNED)
 
 
 def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFrame:
@@ -225,10 +236,16 @@ def verified(pairs: DataFrame, texts: DataFrame, settings: Settings) -> DataFram
                 ["a", "b", "linked", "similarity"])
 
     def cut(c: str, n: str) -> Column:
-        return F.pmod(F.xxhash64(c), F.ceil(F.col(n) / settings.chunk))
-
-    counts = pairs.groupBy("place").agg(F.approx_count_distinct("a").alias("_na"), F.approx_count_distinct("b").alias("_nb"))
-    tiled = pairs.join(counts, "place").select("place", cut("a", "_na").alias("_ca"), cut("b", "_nb").alias("_cb"), "a", "b")
+        return F.pmod(F.xxhash64(c), F.coalesce(F.ceil(F.col(n) / settings.chunk), F.lit(1).cast("long")))
+
+    # Only places with more texts than a tile are cut. Their counts come once per slice of the pairs,
+    # so the pairs of one place meet them in many tasks.
+    sizes = pairs.groupBy("place").agg(F.approx_count_distinct("a").alias("_na"), F.approx_count_distinct("b").alias("_nb"))
+    sizes = sizes.where((F.col("_na") > settings.chunk) | (F.col("_nb") > settings.chunk))
+    sizes = sizes.select(F.col("place").alias("_place"), F.explode(F.sequence(F.lit(0), F.lit(SLICES - 1))).alias("_slice"), "_na", "_nb")
+    sliced = pairs.withColumn("_of", F.pmod(F.xxhash64("a", "b"), F.lit(SLICES)).cast("int"))
+    tiled = sliced.join(sizes, (F.col("place") == F.col("_place")) & (F.col("_of") == F.col("_slice")), "left").select(
+        "place", cut("a", "_na").alias("_ca"), cut("b", "_nb").alias("_cb"), "a", "b")
     tiled = written(tiled, "tiles")
     tile = ["place", "_ca", "_cb"]
     need = tiled.select(*tile, F.col("a").alias("_id")).union(tiled.select(*tile, "b")).distinct()
@@ -337,8 +354,8 @@ def tile_links(here: DataFrame, outs: DataFrame, places: DataFrame, texts: DataF
 LEVELS = 16
 
 
-def groups(classes: DataFrame, docs: DataFrame, settings: Settings, text: str) -> DataFrame:
-    """(node, label): the group of each class that is linked with another.
+def groups(classes: DataFrame, rows: DataFrame, settings: Settings) -> DataFrame:
+    """(node, label): the group of each class that is linked with another; nodes are row numbers.
 
     A class is looked at again only with classes of other groups in its buckets, and only where
     sizes and the distances of both to the bucket's hub leave the threshold possible: Jaccard
@@ -348,8 +365,8 @@ def groups(classes: DataFrame, docs: DataFrame, settings: Settings, text: str) -
     hubs = buckets.groupBy("bucket").agg(F.min("id").alias("hub"), F.max("id").alias("_most")).where("hub < _most")
     members = written(buckets.join(hubs.select("bucket", "hub"), "bucket").select("bucket", "id", "hub"), "members")
     some = members.select("id").distinct().withColumnRenamed("id", "_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col(text).alias("text")).join(some, "_id")
-    texts = written(texts, "candidate-texts")
+    texts = rows.select(F.col("row").alias("_id"), "text").join(some, "_id")
+    texts = written_texts(texts, "candidate-texts")
     sketch = written(classes.select("id", F.col("n_shingles").alias("size"), "sketch").join(
         some, F.col("id") == F.col("_id"), "left_semi"), "sketches")
 
@@ -413,17 +430,40 @@ def groups(classes: DataFrame, docs: DataFrame, settings: Settings, text: str) -
     return labels
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    rows = written(signed(docs, settings, text), "signed")
-    classes = rows.where(F.col("digest").isNotNull()).groupBy("digest").agg(
-        F.min("doc_id").alias("id"), F.any_value("n_shingles").alias("n_shingles"),
+def grouped(rows: DataFrame, settings: Settings) -> DataFrame:
+    """row, doc_id, n_shingles, and the number of the row's group."""
+    sets = written(signed(rows, settings), "signed")
+    classes = sets.where(F.col("digest").isNotNull()).groupBy("digest").agg(
+        F.min("row").alias("id"), F.any_value("n_shingles").alias("n_shingles"),
         F.any_value("bands").alias("bands"), F.any_value("sketch").alias("sketch"))
-    classes = written(classes.where(F.col("id").isNotNull()), "classes")
-    labels = groups(classes, docs, settings, text)
+    classes = written(classes, "classes")
+    labels = groups(classes, rows, settings)
     named = classes.select("digest", "id").join(labels, F.col("id") == F.col("node"), "left").select(
-        "digest", F.coalesce("label", "id").alias("_component"))
-    out = rows.select("doc_id", "n_shingles", "digest").join(named, "digest", "left")
-    component = F.coalesce("_component", "doc_id")
+        "digest", F.coalesce("label", "id").alias("_group"))
+    out = sets.select("row", "doc_id", "n_shingles", "digest").join(named, "digest", "left")
+    return written(out.select("row", "doc_id", "n_shingles", F.coalesce("_group", "row").alias("group")), "grouped")
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    found = grouped(numbered(docs, text), settings)
+    # Groups of one row name themselves; the others' smallest ids are one row per group.
+    least = found.groupBy("group").agg(F.min("doc_id").alias("component_id"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    least = written(least.select(F.col("group").alias("_group"), "component_id", F.lit(True).alias("_many")), "named")
+    out = found.join(least, F.col("group") == F.col("_group"), "left")
+    component = F.when(F.col("_many"), F.col("component_id")).otherwise(F.col("doc_id"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
                       F.coalesce(F.col("doc_id") == component, component.isNull()).alias("kept"))
+
+
+def deduplicated(docs: DataFrame, settings: Settings = Settings(), text: str = "text") -> DataFrame:
+    """The input with one row of each group: that of the smallest id, the first of several such."""
+    rest = F.struct(*[F.col(c) for c in docs.columns if c != text], F.lit(0).alias("_none"))
+    rows = numbered(docs, text, rest)
+    found = grouped(rows, settings)
+    place = F.struct(F.col("doc_id").isNull(), "doc_id", "row")
+    several = found.groupBy("group").agg(F.min(place).alias("_first"), F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    several = written(several.select(F.col("group").alias("_group"), F.col("_first.row").alias("_kept")), "several")
+    gone = found.join(several, F.col("group") == F.col("_group")).where(F.col("row") != F.col("_kept")).select(F.col("row").alias("_gone"))
+    left = rows.join(gone, F.col("row") == F.col("_gone"), "left_anti")
+    return left.select(*[F.col("text").alias(c) if c == text else F.col("rest")[c].alias(c) for c in docs.columns])
