@@ -14,12 +14,15 @@ hold is one entry per block, and a very long text is a row like others.
 
 Null or empty texts have no chunks and stay as they are. Documents without an id own nothing and
 rows that repeat an id are one document: passages they share with one another stay. The input is
-read twice and has to give the same rows in the same parts both times, as a table in files does.
+read twice and has to give the same rows in the same parts both times, as a table in files does; a
+checksum of each block's texts is compared, and a second reading that differs is an error. Parts
+are as many as the bytes of text ask for, so a task holds a bounded share of the digests.
 An empty table gives an empty result. Columns of the input stay, but those named like results.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -31,6 +34,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from flatspark.llm.blocks import PART, in_blocks, record
+from flatspark.llm.common import parts_of
 
 RESULTS = ["n_words", "n_chunks", "n_repeated_chunks", "removed_words", "removed_chars", "spans", "cleaned"]
 PACKED = "part int, block long, low binary, high binary, owners binary"
@@ -40,13 +44,15 @@ NO_ID = np.int64(2**63 - 1)
 @dataclass(frozen=True)
 class Chunking:
     """Bytes the hash sees; words in a chunk on average; words of the shortest passage that is cut
-    out; bytes of text in a block; the seed of the gear table.
+    out; bytes of text in a block, and of the text whose digests a part compares; the seed of the
+    gear table.
     """
 
     window: int = 16
     words: int = 4
     least: int = 20
-    block_bytes: int = 24 << 20
+    block_bytes: int = 12 << 20
+    part_bytes: int = 16 << 20
     seed: int = 7
 
 
@@ -153,6 +159,14 @@ def _texts(batch: pa.RecordBatch) -> list[bytes]:
     return [b"" if x is None else x for x in batch["_text"].cast(pa.large_binary()).to_pylist()]
 
 
+OTHER_ROWS = "the input gave other rows when it was read again; write it to files first"
+
+
+def _checked(text: bytes, before: int) -> int:
+    """A checksum of a block's texts in order, one by one."""
+    return zlib.crc32(text, zlib.crc32(len(text).to_bytes(8, "little"), before))
+
+
 def owned_elsewhere(source: DataFrame, chunking: Chunking, parts: int) -> DataFrame:
     """(block, low, high, owners) packed: windows of a block that some document of it does not own."""
 
@@ -162,9 +176,13 @@ def owned_elsewhere(source: DataFrame, chunking: Chunking, parts: int) -> DataFr
                        "high": ([data[1]], pa.binary()), "owners": ([b"".join(data[2:])], pa.binary())})
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunker, found, block = Chunker(chunking), [], None
+        chunker, found, block, check = Chunker(chunking), [], None, 0
 
         def dealt() -> Iterator[pa.RecordBatch]:
+            if block is not None:
+                yield record({"part": ([block % parts], pa.int32()), "block": ([block], pa.int64()),
+                              "low": ([check.to_bytes(4, "little")], pa.binary()), "high": ([None], pa.binary()),
+                              "owners": ([None], pa.binary())})
             if not found:
                 return
             low, high, least, most = least_owner(*[np.concatenate([f[i] for f in found]) for i in range(3)])
@@ -178,13 +196,14 @@ def owned_elsewhere(source: DataFrame, chunking: Chunking, parts: int) -> DataFr
 
         for block, rows, ends in in_blocks(batches, "_text", chunking.block_bytes):
             for text, owner in zip(_texts(rows), _ids(rows)):
+                check = _checked(text, check)
                 bounds, words = chunker(text)
                 if words.sum() >= chunking.least and len(bounds):
                     _, _, low, high = windows(*digests(text, bounds), words, chunking.least)
                     found.append((low, high, np.full(len(low), owner)))
             if ends:
                 yield from dealt()
-                found = []
+                found, block, check = [], None, 0
         yield from dealt()
 
     def owners(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,6 +231,10 @@ def owned_elsewhere(source: DataFrame, chunking: Chunking, parts: int) -> DataFr
                     yield packed(part, b[0], (low[take], high[take], owner[take]))
 
         for b in batches:
+            checks = b.filter(b["high"].is_null())
+            if checks.num_rows:
+                yield checks
+            b = b.filter(b["high"].is_valid())
             for i in range(b.num_rows):
                 if b["part"][i].as_py() != part:
                     yield from answered()
@@ -237,7 +260,7 @@ def deduplicated(docs: DataFrame, chunking: Chunking = Chunking(), text: str = "
     """The input with, per document: words, chunks, chunks cut out, words and characters cut out,
     the cut byte ranges in ``spans``, and the rest of the text in ``cleaned``.
     """
-    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = parts_of(docs, F.col(text), chunking.part_bytes)
     inputs = [c for c in docs.columns if c not in RESULTS]
     source = docs.select(
         F.col("doc_id").cast("long").alias("_id"), F.col(text).alias("_text"), F.spark_partition_id().alias(PART),
@@ -262,18 +285,25 @@ def deduplicated(docs: DataFrame, chunking: Chunking = Chunking(), text: str = "
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         chunker, block, answers, known = Chunker(chunking), None, [], None
+        want, check = None, 0
         for b in batches:
             kinds, blocks, texts, ids = b["kind"].to_pylist(), b["block"].to_pylist(), _texts(b), _ids(b)
             out, at = [], []
             for i in range(b.num_rows):
                 if blocks[i] != block:
-                    block, answers, known = blocks[i], [], None
+                    if block is not None and check != want:
+                        raise RuntimeError(OTHER_ROWS)
+                    block, answers, known, want, check = blocks[i], [], None, None, 0
+                if kinds[i] == 0 and not b["high"][i].is_valid:
+                    want = int.from_bytes(b["low"][i].as_py(), "little")
+                    continue
                 if kinds[i] == 0:
                     answers.append(tuple(np.frombuffer(b[c][i].as_py(), k) for c, k in (
                         ("low", np.uint64), ("high", np.uint64), ("owners", np.int64))))
                     continue
                 if known is None:
                     known = _table(answers)
+                check = _checked(texts[i], check)
                 out.append(_cleaned(texts[i], ids[i], chunker, known, chunking.least))
                 at.append(i)
             if out:
@@ -283,11 +313,13 @@ def deduplicated(docs: DataFrame, chunking: Chunking = Chunking(), text: str = "
                     [rows["_rest"], rows["_text"], *[pa.array([o[k] for o in out], pa.int64()) for k in range(5)],
                      pa.array([o[5] for o in out], pa.list_(pa.list_(pa.int64()))), pa.array(clean, pa.string())],
                     ["_rest", "_text", *RESULTS])
+        if block is not None and check != want:
+            raise RuntimeError(OTHER_ROWS)
 
     answers = owned_elsewhere(source, chunking, parts).select("block", F.lit(0).alias("kind"), "low", "high", "owners")
     texts = source.mapInArrow(blocks_of, placed)
     both = texts.unionByName(answers, allowMissingColumns=True)
-    out = both.repartition("block").sortWithinPartitions("block", "kind").mapInArrow(cut, answer)
+    out = both.repartition(parts, "block").sortWithinPartitions("block", "kind").mapInArrow(cut, answer)
     return out.select(*[F.col("_text").alias(c) if c == text else F.col("_rest")[c].alias(c) for c in inputs], *RESULTS)
 
 
