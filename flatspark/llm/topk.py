@@ -8,7 +8,11 @@ exact products of integers. ``t`` starts from products with a bounded number of
 vectors, and rises while the buckets of a task pass by.
 
 Queries and candidates are dealt over a grid of cells, so a task holds at most ``queries`` queries
-and one bucket at a time, whatever the size of the tables or of a group of equal vectors.
+and one bucket at a time, whatever the size of the tables or of a group of equal vectors. Columns
+of cells are ranges of the candidates' lengths, rows are ranges of the length that a query's score
+to reach asks for. A cell whose longest candidate is shorter than the least length asked for is
+left out before anything is exchanged. Where lengths differ, that leaves the cells of the long
+candidates; where all are equal, cells and exchange grow with the square of the table.
 
 Vectors that are null or hold null or non-finite components take no part. A vector is compared
 with those of its own dimension. Rows that repeat an id are vectors of their own; a row without
@@ -31,6 +35,7 @@ from flatspark.llm.common import written
 
 EXACT = 2.0**53
 VECTORS = "row long, vec_id long, dim int, norm double, data binary, is_query boolean"
+QUERIES = "row long, vec_id long, dim int, norm double, data binary, reach double, need double"
 FOUND = "query_row long, query_id long, vec_id long, score long"
 
 
@@ -50,7 +55,9 @@ class Search:
 
 
 def scaled_vectors(df: DataFrame, vec_id: str, vector: str, scale: int, is_query: Column) -> DataFrame:
-    """Vectors as floor(scale * component) in whole doubles, with their lengths."""
+    """Vectors as floor(scale * component) in two-byte integers, or in doubles where those are too
+    short, with their lengths.
+    """
 
     def scaled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -58,7 +65,8 @@ def scaled_vectors(df: DataFrame, vec_id: str, vector: str, scale: int, is_query
             yield pa.RecordBatch.from_arrays(
                 [b["row"], b["vec_id"], pa.array([len(v) for v in made], pa.int32()),
                  pa.array([float(np.sqrt(v @ v)) for v in made], pa.float64()),
-                 pa.array([v.astype("<f8").tobytes() for v in made], pa.binary()), b["is_query"]],
+                 pa.array([v.astype("<i2" if np.abs(v).max(initial=0) < 1 << 15 else "<f8").tobytes() for v in made], pa.binary()),
+                 b["is_query"]],
                 ["row", "vec_id", "dim", "norm", "data", "is_query"])
 
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
@@ -68,8 +76,11 @@ def scaled_vectors(df: DataFrame, vec_id: str, vector: str, scale: int, is_query
     return rows.where(F.col("v").isNotNull() & ~bad).mapInArrow(scaled, VECTORS)
 
 
-def _matrix(data: list[bytes]) -> np.ndarray:
-    return np.frombuffer(b"".join(data), "<f8").reshape(len(data), -1)
+def _matrix(data: list[bytes], dim: int) -> np.ndarray:
+    """Rows as doubles, whichever way each is stored."""
+    if all(len(d) == 2 * dim for d in data):
+        return np.frombuffer(b"".join(data), "<i2").reshape(len(data), dim).astype(np.float64)
+    return np.array([np.frombuffer(d, "<i2" if len(d) == 2 * dim else "<f8") for d in data], np.float64).reshape(len(data), dim)
 
 
 def products(q: np.ndarray, p: np.ndarray, bound: float) -> np.ndarray:
@@ -154,6 +165,39 @@ def _last(vec_id: int | None) -> int:
     return _NO_ID if vec_id is None else vec_id
 
 
+def _with_reach(queries: DataFrame, longest: list[tuple[int, int, bytes]], k: int) -> DataFrame:
+    """Queries with the k-th best of their scores among the longest vectors, where there are as many,
+    and the length that a candidate needs to come up to it.
+    """
+
+    def reaches(rows: np.ndarray, dim: int, data: np.ndarray, norms: np.ndarray) -> np.ndarray:
+        same = [(r, d) for r, n, d in longest if n == dim]
+        if len(same) <= k or not dim:
+            return np.full(len(rows), -np.inf)
+        p = _matrix([d for _, d in same], dim)
+        bound = float(norms.max(initial=0) * np.sqrt((p * p).sum(axis=1)).max()) * 2
+        scores = products(data, p, bound).astype(np.float64)
+        scores[rows[:, None] == np.array([r for r, _ in same])[None, :]] = -np.inf
+        return np.partition(scores, -k, axis=1)[:, -k]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            rows, dims, norms = (b[c].to_numpy() for c in ("row", "dim", "norm"))
+            reach = np.full(len(rows), -np.inf)
+            for dim in np.unique(dims).tolist():
+                for at in np.array_split(np.flatnonzero(dims == dim), -(-int((dims == dim).sum()) // 2048)):
+                    data = _matrix(b["data"].take(pa.array(at)).to_pylist(), dim)
+                    reach[at] = reaches(rows[at], dim, data, norms[at])
+            # Half a unit below the score to reach, so that ties and rounding stay in.
+            need = np.full(len(rows), -np.inf)
+            some = (reach > 0.5) & (norms > 0)
+            need[some] = (reach[some] - 0.5) / norms[some]
+            yield pa.RecordBatch.from_arrays(
+                [*[b[c] for c in VECTOR_COLUMNS], pa.array(reach), pa.array(need)], [*VECTOR_COLUMNS, "reach", "need"])
+
+    return queries.select(*VECTOR_COLUMNS).mapInArrow(run, QUERIES)
+
+
 def top_k(df: DataFrame, vec_id: str, vector: str, is_query: Column, scale: int = 256, search: Search = Search()) -> DataFrame:
     """query_id, rank, vec_id, score: the ``k`` highest scores of each query, ties to smaller ids."""
     vectors = written(scaled_vectors(df, vec_id, vector, scale, is_query), "vectors")
@@ -163,40 +207,37 @@ def top_k(df: DataFrame, vec_id: str, vector: str, is_query: Column, scale: int
     longest = [(r.row, r.dim, bytes(r.data)) for r in
                vectors.orderBy(F.col("norm").desc(), "row").limit(search.longest).collect()]
 
-    deal = lambda salt, cells: F.pmod(F.xxhash64(F.lit(salt), "row"), F.lit(cells)).cast("int")
-    every = lambda cells: F.explode(F.sequence(F.lit(0), F.lit(cells - 1)))
-    queries = vectors.where("is_query").select(
-        deal(1, down).alias("down"), every(across).alias("across"), F.lit(0).alias("role"), *VECTOR_COLUMNS)
-    candidates = vectors.select(
-        every(down).alias("down"), deal(2, across).alias("across"), F.lit(1).alias("role"), *VECTOR_COLUMNS)
-    cells = queries.unionByName(candidates).repartition(max(1, down * across), "down", "across", "dim")
+    # Ranges make the rows and the columns of cells; a partition's number is that of its range.
+    asked = _with_reach(vectors.where("is_query"), longest, search.k)
+    asked = written(asked.repartitionByRange(down, "need", "row").withColumn("down", F.spark_partition_id()), "queries")
+    given = vectors.select(*VECTOR_COLUMNS).repartitionByRange(across, F.col("norm").desc(), "row")
+    given = written(given.withColumn("across", F.spark_partition_id()), "candidates")
+    rows = asked.groupBy("down", "dim").agg(F.min("need").alias("need"))
+    columns = given.groupBy("across", "dim").agg(F.max("norm").alias("top"))
+    grid = written(rows.join(columns, (rows["dim"] == columns["dim"]) & (F.col("need") <= F.col("top") * (1 + 1e-9))).select(
+        "down", "across", rows["dim"].alias("cell_dim")), "grid")
+    sent = [(asked, "down", 0, F.col("reach")), (given, "across", 1, F.lit(None).cast("double"))]
+    queries, candidates = (
+        df.join(grid.withColumnRenamed(key, "_at"), (F.col(key) == F.col("_at")) & (F.col("dim") == F.col("cell_dim")))
+        .select("down", "across", F.lit(role).alias("role"), *VECTOR_COLUMNS, reach.alias("reach"))
+        for df, key, role, reach in sent)
+    cells = queries.unionByName(candidates).repartition(max(1, grid.count()), "down", "across", "dim")
     cells = cells.sortWithinPartitions("down", "across", "dim", "role", F.col("norm").desc(), "row")
 
-    def first_reach(rows: np.ndarray, dim: int, data: np.ndarray, norms: np.ndarray) -> np.ndarray:
-        """The k-th best score among the longest vectors, where there are as many."""
-        same = [(r, d) for r, n, d in longest if n == dim]
-        if len(same) <= search.k:
-            return np.full(len(rows), -np.inf)
-        p = _matrix([d for _, d in same])
-        bound = float(norms.max(initial=0) * np.sqrt((p * p).sum(axis=1)).max()) * 2
-        scores = products(data, p, bound).astype(np.float64)
-        scores[rows[:, None] == np.array([r for r, _ in same])[None, :]] = -np.inf
-        return np.partition(scores, -search.k, axis=1)[:, -search.k]
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, cell, waiting, bucket = None, None, [], []
 
         def close_queries() -> Cell | None:
             if not waiting:
                 return None
-            rows, norms = np.array([r["row"] for r in waiting]), np.array([r["norm"] for r in waiting])
-            data = _matrix([r["data"] for r in waiting])
-            return Cell(search, rows, [r["vec_id"] for r in waiting], norms, data, first_reach(rows, key[2], data, norms))
+            column = lambda c: np.array([r[c] for r in waiting])
+            data = _matrix([r["data"] for r in waiting], key[2])
+            return Cell(search, column("row"), [r["vec_id"] for r in waiting], column("norm"), data, column("reach"))
 
         def close_bucket() -> None:
             if cell is not None and bucket:
                 cell.meet(np.array([r["row"] for r in bucket]), [r["vec_id"] for r in bucket],
-                          np.array([r["norm"] for r in bucket]), _matrix([r["data"] for r in bucket]))
+                          np.array([r["norm"] for r in bucket]), _matrix([r["data"] for r in bucket], key[2]))
             bucket.clear()
 
         for b in batches:
