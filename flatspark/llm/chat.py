@@ -10,7 +10,7 @@ Template: ``<s>`` opens a conversation; ``[INST]text[/INST]`` is a user's turn,
 assistant's, ``[SYS]text[/SYS]`` the system's, ``[ROLE]role[SEP]text[/ROLE]`` any other's. Only
 the text of an assistant's turn is learned.
 
-Null texts and roles are empty. Turns of equal number are ordered by role, then by a hash of the
+Null texts and roles are empty. Very long texts are encoded whole. Turns of equal number are ordered by role, then by a hash of the
 text; a null turn comes first, rows without a conversation id form one conversation. An empty table gives an empty
 output. Columns other than the four are not used.
 """
@@ -37,10 +37,14 @@ FORMATTED = "conv_id long, part int, turn long, role string, tie long, ids array
 
 
 def escaped(text: str) -> str:
+    if "<" not in text and "[" not in text:
+        return text
     return _ESCAPE.sub(lambda m: m[0][0] + "\\" + m[0][1:], text)
 
 
 def unescaped(text: str) -> str:
+    if "\\" not in text:
+        return text
     return _UNESCAPE.sub(lambda m: m[0][0] + m[0][2:], text)
 
 
@@ -55,8 +59,8 @@ class Template:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self._encoding = tiktoken.Encoding("chat", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-        first = max(ranks.values()) + 1
-        self.reserved = {c: first + i for i, c in enumerate(CONTROLS)}
+        self.first = max(ranks.values()) + 1
+        self.reserved = {c: self.first + i for i, c in enumerate(CONTROLS)}
         self.control = {i: c for c, i in self.reserved.items()}
 
     def encode(self, text: str) -> list[int]:
@@ -92,23 +96,25 @@ class Template:
             change[end] -= 1
         return np.array(ids, np.int32), np.cumsum(change[:-1], dtype=np.int8)
 
-    def read(self, ids: list[int], mask: list[int]) -> tuple[str | None, str, int, list[str]]:
+    def read(self, ids: np.ndarray, mask: np.ndarray) -> tuple[str | None, str, int, list[str]]:
         """Role, text, formatted length, and the learned texts of one part; the opening of a
         conversation has no role.
         """
-        role, texts, chars, run = "assistant", [], 0, []
-        for i in [*ids, None]:
-            control = self.control.get(i) if i is not None else "end"
-            if control is None:
-                run.append(i)
-                continue
-            chars += len(self.decode(run)) + (len(control) if i is not None else 0)
+        role, texts, chars, start = "assistant", [], 0, 0
+        runs: dict[tuple[int, int], str] = {}  # between reserved ids, decoded once
+        for stop in [*np.flatnonzero(ids >= self.first).tolist(), len(ids)]:
+            text = runs[start, stop] = self.decode(ids[start:stop].tolist()) if stop > start else ""
+            control = self.control[int(ids[stop])] if stop < len(ids) else ""
+            chars += len(text) + len(control)
             if control in ("[/INST]", "</s>", "[/SYS]", "[SEP]", "[/ROLE]"):
-                texts.append(unescaped(self.decode(run)))
+                texts.append(unescaped(text))
                 role = {"[/INST]": "user", "[/SYS]": "system", "[/ROLE]": texts[0]}.get(control, role)
-            run = []
-        m = np.diff(np.concatenate([[0], np.asarray(mask, np.int8), [0]]))
-        learned = [unescaped(self.decode(ids[a:b])) for a, b in zip(np.flatnonzero(m == 1), np.flatnonzero(m == -1))]
+            start = stop + 1
+        m = np.diff(np.concatenate([[0], mask, [0]]))
+        learned = []
+        for a, b in zip(np.flatnonzero(m == 1).tolist(), np.flatnonzero(m == -1).tolist()):
+            text = runs.get((a, b))
+            learned.append(unescaped(self.decode(ids[a:b].tolist()) if text is None else text))
         return (role, texts[-1], chars, learned) if texts else (None, "", chars, learned)
 
 
@@ -123,6 +129,11 @@ def _lists(arrays: list[np.ndarray], kind: pa.DataType) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat, kind))
 
 
+def _arrays(lists: pa.ListArray) -> list[np.ndarray]:
+    flat, at = lists.values.to_numpy(), lists.offsets.to_numpy()
+    return [flat[x:y] for x, y in zip(at[:-1], at[1:])]
+
+
 def formatted(turns: DataFrame, path: str, pattern: str) -> DataFrame:
     """One row per part of a conversation, its ids and its mask: part 0 opens it, part 1 are the
     turns, in the order of turn, role, tie.
@@ -171,7 +182,7 @@ def digests(output: DataFrame, path: str, pattern: str) -> DataFrame:
                     state["chars"], state["tokens"])
 
         for b in batches:
-            for conv, ids, mask in zip(b["conv_id"].to_pylist(), b["ids"].to_pylist(), b["mask"].to_pylist()):
+            for conv, ids, mask in zip(b["conv_id"].to_pylist(), _arrays(b["ids"]), _arrays(b["mask"])):
                 if state is None or conv != key:
                     if state is not None:
                         rows.append(done())
