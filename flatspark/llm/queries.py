@@ -71,8 +71,8 @@ def op2_shard_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op3_token_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "tokens")
     tokenfile.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary("word_bpe_49k.json"), end_id=2)
-    rows = tokenfile.checksums(tokenfile.read_tokens(spark, path))
-    return tokenfile.offsets(rows).select("doc_id", "start", "n_tokens", "ids_crc32")
+    files = tokenfile.read_tokens(spark, path)
+    return tokenfile.offsets(tokenfile.checksums(files), files).select("doc_id", "start", "n_tokens", "ids_crc32")
 
 
 @query("op4_near_duplicates")

@@ -6,13 +6,14 @@ part, so files, stripes and row groups hold narrow ranges of ids. A read with a
 read is parallel over stripes. Each document's ids end with an end id. ``pos`` is the document's
 place: its part above, its row in the part in the lowest 33 bits.
 
-Null texts are empty: the end id alone. Documents without an id come first; rows that repeat an
+Null texts are empty: the end id alone. Very long texts are encoded whole, in a group of their own. Documents without an id come first; rows that repeat an
 id are kept, ordered by a hash of the text. An empty table gives a readable output without rows.
 Columns other than the two are not used.
 """
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from flatspark.llm.common import bytes_of
+from flatspark.llm.common import Numbers, bytes_of
 
 STORED = "doc_id long, n_tokens long, ids array<int>"
 PLACED = f"pos long, {STORED}"
@@ -42,25 +43,52 @@ ORC = {
 # context. Everything else goes through the tokenizer as it is.
 _PLAIN = re.compile(r"[\x21-\x7eÀ-ÖØ-öø-ÿ]+")
 _LETTERS = "a-zß-öø-ÿ"
+_PLAIN_TEXT = re.compile(r"[\t-\r\x20-\x7eÀ-ÖØ-öø-ÿ‐-‧«»¿¡§©®°·]*")
+_TEXT_PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^\s{_LETTERS}0-9]+")
 _PIECES = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[0-9]|[^{_LETTERS}0-9]+")
 
 
+# How the tokenizer's file must normalize and split for words to be encoded apart.
+_NORMALIZERS = ["NFC", "Replace", "Lowercase"]
+_SPLITS = ["Split", "ByteLevel"]
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_WORD_END = "</w>"
+
+
+def by_words(path: str) -> bool:
+    """Whether a text's ids are those of its words: the file drops white space, splits a word by the
+    pattern that ``_PIECES`` follows, and marks the ends of pieces.
+    """
+    with open(path, encoding="utf-8") as f:
+        file = json.load(f)
+    first, second = file["normalizer"] or {}, file["pre_tokenizer"] or {}
+    splits = second.get("pretokenizers", [])
+    return (
+        [n["type"] for n in first.get("normalizers", [])] == _NORMALIZERS
+        and [s["type"] for s in splits] == _SPLITS
+        and splits[0]["pattern"] == {"Regex": _SPLIT} and splits[0]["invert"] and splits[0]["behavior"] == "Removed"
+        and file["model"].get("end_of_word_suffix") == _WORD_END
+    )
+
+
 class WordEncoder:
     """Encodes text word by word and remembers words.
 
-    The vocabulary's tokenizer drops white space and never joins across it, so a text's ids are
-    those of its white-space separated words; a plain word's are those of its pieces. Both are
-    kept in tables of at most ``limit`` entries, emptied when full.
+    Where the tokenizer drops white space and never joins across it, a text's ids are those of its
+    white-space separated words, and a plain text's or word's those of its pieces. Both are kept in
+    tables of about ``limit`` entries, emptied when full. With any other tokenizer texts are encoded
+    whole.
     """
 
-    def __init__(self, path: str, limit: int = 400_000):
+    def __init__(self, path: str, limit: int = 600_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._ends = np.zeros(max(vocabulary.values()) + 1, bool)
-        self._ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        self._ends[[i for token, i in vocabulary.items() if token.endswith(_WORD_END)]] = True
+        self._by_words = by_words(path)
         self._words: dict[bytes, bytes] = {}
         self._pieces: dict[str, bytes] = {}
         self._limit = limit
@@ -81,21 +109,26 @@ class WordEncoder:
         return out
 
     def _learn(self, words: list[bytes]) -> None:
-        plain, other = {}, []
+        whole, split, other = [], {}, []
         for w in words:
+            if w.isalpha():  # ASCII letters alone are one piece
+                whole.append(w)
+                continue
             text = w.decode()
             if _PLAIN.fullmatch(text) and "<|" not in text:
-                plain[w] = _PIECES.findall(text.lower())
+                split[w] = _PIECES.findall(text.lower())
             else:
                 other.append(w)
-        known = self._pieces
-        new = list({p for pieces in plain.values() for p in pieces if p not in known})
-        known.update(zip(new, self._piece_ids(new)))
-        for w, pieces in plain.items():
-            self._words[w] = known[pieces[0]] if len(pieces) == 1 else b"".join([known[p] for p in pieces])
-        self._words.update(zip(other, self._ids([w.decode() for w in other])))
-
-    def encode(self, texts: list[bytes], at_once: int = 1 << 20) -> Iterator[bytes]:
+        known, lower = self._pieces, [w.lower().decode() for w in whole]
+        new = set(lower).union(*split.values()).difference(known)
+        known.update(zip(new, self._piece_ids(list(new))))
+        found = self._words
+        found.update(zip(whole, map(known.__getitem__, lower)))
+        for w, pieces in split.items():
+            found[w] = b"".join(map(known.__getitem__, pieces))
+        found.update(zip(other, self._ids([w.decode() for w in other])))
+
+    def encode(self, texts: list[bytes], at_once: int = 1 << 22) -> Iterator[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
         start = 0
         while start < len(texts):
@@ -103,17 +136,35 @@ class WordEncoder:
             while end < len(texts) and (end == start or size + len(texts[end]) <= at_once):
                 size += len(texts[end])
                 end += 1
+            if not self._by_words:
+                yield from self._ids([t.decode() for t in texts[start:end]])
+                start = end
+                continue
             # Emptied between groups of texts only: a group needs all its words at once.
             if len(self._words) > self._limit:
                 self._words.clear()
             if len(self._pieces) > 2 * self._limit:
                 self._pieces.clear()
-            known, split = self._words, [t.split() for t in texts[start:end]]
-            unknown = {w for words in split for w in words if w not in known}
+            # A group numbers its pieces and words: only different ones are looked up in the large tables.
+            numbers = Numbers()
+            codes = []
+            for t in texts[start:end]:
+                text = t.decode()
+                units = _TEXT_PIECES.findall(text.lower()) if _PLAIN_TEXT.fullmatch(text) and "<|" not in text else t.split()
+                codes.append(np.fromiter(map(numbers.__getitem__, units), np.uint32, len(units)))
+            pieces, words = self._pieces, self._words
+            new = [u for u in numbers if type(u) is str and u not in pieces]
+            pieces.update(zip(new, self._piece_ids(new)))
+            unknown = [u for u in numbers if type(u) is bytes and u not in words]
             if unknown:
-                self._learn(list(unknown))
-            for words in split:
-                yield b"".join([known[w] for w in words])
+                self._learn(unknown)
+            ids = [pieces[u] if type(u) is str else words[u] for u in numbers]
+            size = np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            flat, at = np.frombuffer(b"".join(ids), np.uint32), np.concatenate([[0], np.cumsum(size)])[:-1]
+            for c in codes:
+                n = size[c]
+                ends = np.cumsum(n)
+                yield flat[np.repeat(at[c] - (ends - n), n) + np.arange(int(n.sum()))].tobytes()
             start = end
 
 
@@ -131,8 +182,8 @@ def token_rows(docs: DataFrame, path: str, end_id: int, text: str = "text") -> D
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, end = word_encoder(path), np.array([end_id], np.uint32).tobytes()
         for b in batches:
-            for at in range(0, b.num_rows, 512):
-                part = b.slice(at, 512)
+            for at in range(0, b.num_rows, 2048):
+                part = b.slice(at, 2048)
                 ids = [np.frombuffer(x + end, np.int32) for x in encoder.encode(bytes_of(part["text"]))]
                 n = np.array([len(x) for x in ids], np.int64)
                 lists = pa.ListArray.from_arrays(
@@ -158,13 +209,15 @@ def read_tokens(spark: SparkSession, path: str, where: Column | None = None) ->
     return df if where is None else df.where(where)
 
 
-def offsets(tokens: DataFrame) -> DataFrame:
+def offsets(tokens: DataFrame, files: DataFrame | None = None) -> DataFrame:
     """The input with ``start``: where each document's ids begin in the whole sequence.
 
-    Counts are summed per part first, so no window is longer than a part.
+    Counts are summed per part first, so no window is longer than a part. The sums are taken from
+    ``files`` where it is given, the rows as read, of which they need the two short columns alone.
     """
-    placed = tokens.withColumn("_part", F.shiftright("pos", 33))
-    sums = placed.groupBy("_part").agg(F.sum("n_tokens").alias("_sum"))
+    part = F.shiftright("pos", 33).alias("_part")
+    placed = tokens.select("*", part)
+    sums = (tokens if files is None else files).select(part, "n_tokens").groupBy("_part").agg(F.sum("n_tokens").alias("_sum"))
     before = W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
     sums = sums.select("_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"))
     inside = W.partitionBy("_part").orderBy("pos").rowsBetween(W.unboundedPreceding, -1)
