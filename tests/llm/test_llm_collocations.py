@@ -70,7 +70,7 @@ def made(rng, docs, vocabulary, fixed):
 
 
 @pytest.mark.parametrize("seed,least,places,share,block", [
-    (1, 3, 2000, 0.4, 1 << 20), (2, 2, 5, 0.4, 50), (3, 3, 1, 0.7, 100), (4, 2, 40, 0.2, 1 << 20), (5, 4, 10, 0.0, 300), (6, 2, 12, 0.95, 64)])
+    (1, 3, 2000, 0.4, 1 << 20), (2, 2, 5, 0.4, 50), (5, 4, 10, 0.0, 300), (6, 2, 12, 0.95, 64)])
 def test_phrases(texts, seed, least, places, share, block):
     rng = random.Random(seed)
     fixed = [["as", "well", "as"], ["of", "the", "order", "of", "the"], ["a", "b", "c", "d", "e", "f", "g"], ["Rare", "Pair"], ["x", "x"]]

@@ -1,5 +1,6 @@
 """Awkward rows for each operator: nulls, empty and very long texts, repeats, empty tables, other columns."""
 
+import base64
 import hashlib
 import random
 import zlib
@@ -182,6 +183,30 @@ def test_near_duplicates_awkward(docs):
     assert neardup.near_duplicates(none_of(df)).count() == 0
 
 
+def test_near_copies_without_ids_or_with_one_id(docs):
+    rng = random.Random(21)
+    base, second, third = (prose(rng, 90) for _ in range(3))
+    near = lambda t, w: " ".join([*t.split()[:40], w, *t.split()[41:]])
+    rows = [(None, base), (None, near(base, "x")), (5, second), (5, third), (9, near(second, "y")), (8, near(third, "z")),
+            (None, third), (None, "alone and without an id"), (3, None), (3, "")]
+    got = sorted(((r.doc_id, r.component_id, r.kept) for r in neardup.near_duplicates(docs(rows)).collect()), key=str)
+    want = [(None, None, True)] * 3 + [(None, 5, False)] + [(3, 3, True)] * 2 + [(5, 5, True)] * 2 + [(8, 5, False), (9, 5, False)]
+    assert got == sorted(want, key=str)
+    left = neardup.deduplicated(docs(rows, extra=["rest", "row", "group"]))
+    assert left.columns[-3:] == ["rest", "row", "group"]
+    kept = left.collect()
+    assert sorted((r.doc_id or 0) for r in kept) == [0, 0, 3, 3, 5, 5]
+    assert sum(r.text in (base, near(base, "x")) for r in kept) == 1 and all(r.group == "other" for r in kept)
+
+
+def test_a_hot_place_is_cut_into_slices(docs, spark):
+    rng = random.Random(22)
+    base = prose(rng, 120).split()
+    given = [(i, " ".join([*base[:50], f"w{i}", *base[51:]])) for i in range(300)]
+    rows = neardup.near_duplicates(docs(given), neardup.Settings(chunk=8)).collect()
+    assert {r.component_id for r in rows} == {0} and sum(r.kept for r in rows) == 1
+
+
 @pytest.mark.parametrize("k", [2, 5])
 def test_near_duplicates_match_all_pairs(docs, k):
     rng = random.Random(k)
@@ -265,6 +290,20 @@ def test_copies_and_quotations_keep_their_text(spark, tmp_path):
                    **{300 + i: body[i] for i in range(4)}, **{400 + i: body[i] for i in range(24)}}
 
 
+def test_quotations_on_small_hosts_stay(spark, tmp_path):
+    rng, top = random.Random(18), "home news sport culture weather about us contact"
+    quote = "to be or not to be that is the question"
+    body = {i: prose(rng, 40, 5000) for i in range(16)}
+    rows = [(i, "http://two.example/", f"<p>{body[i]}</p><p>{quote}</p>") for i in range(2)]
+    rows += [(i, "http://ten.example/", f"<div>{top}</div><p>{body[i]}</p>" + (f"<p>{quote}</p>" if i < 5 else ""))
+             for i in range(2, 12)]
+    # a menu inside a paragraph of a page's own is that paragraph's text
+    rows += [(12, "http://ten.example/", f"<p>{top} {body[12]}</p>")]
+    got = dict(page_texts(spark, tmp_path, rows))
+    want = {i: f"{body[i]} {quote}" if i < 5 else body[i] for i in range(12)}
+    assert got == {**want, 12: f"{top} {body[12]}"}
+
+
 def test_names_do_not_lose_articles():
     text = "one two three"
     for opening in ("div class='layout has-sidebar'", "div class='no-sidebar'", "section class='with-banner'", "form", "nav",
@@ -323,6 +362,44 @@ def test_quality_lines(docs):
     assert not rows[2].kept and not rows[2].base_failed
 
 
+def test_wrapped_text_has_one_verdict(docs):
+    import textwrap
+
+    rng = random.Random(12)
+    text = prose(rng, 629)
+    widths = [None, *range(24, 100, 4), 120, 200]
+    rows = [(i, textwrap.fill(text, w) if w else text) for i, w in enumerate(widths)]
+    two = "\n\n".join(prose(rng, n) for n in (90, 41, 160))
+    rows += [(100 + i, "\n\n".join(textwrap.fill(x, w) for x in two.split("\n\n"))) for i, w in enumerate((40, 55, 60, 65, 70, 78))]
+    verse = "\n".join(" ".join(prose(rng, n).rstrip(".").replace(".", "").split()) for n in [6, 7, 6, 7] * 8)
+    rows += [(200, verse), (201, textwrap.fill(text, 60).replace("\n", "\n\n"))]
+    got = {r.doc_id: r for r in quality.judge(docs(rows)).collect()}
+    assert all(r.kept for i, r in got.items() if i < 201)
+    for i in range(len(widths)):
+        assert len(got[i].cleaned.split()) >= 0.9 * 629
+    assert not got[201].kept  # lines apart from each other do not go on
+
+
+def test_closing_marks_of_any_script(docs):
+    def closed(mark, sep=" "):
+        rng = random.Random(13)
+        return "\n".join(prose(rng, 7).rstrip(".").replace(".", "") + sep + mark for _ in range(30))
+
+    marks = ["।", "؟", "۔", "。", "！", "።", "»", "”", "“", "…", ")", "』"]
+    bad = ["#", "%", "•", "*", "&", "x", "-", "$"]
+    rows = [(i, closed(m, "")) for i, m in enumerate(marks)] + [(100 + i, closed(m, "\u00a0")) for i, m in enumerate(bad)]
+    got = {r.doc_id: r.cleaned for r in quality.judge(docs(rows)).collect()}
+    assert all(got[i].count("\n") == 29 for i in range(len(marks)))
+    # Without a mark the lines are judged by whether they go on.
+    assert quality.judge(docs([(1, "\n\n".join(closed(m, "").split("\n")[0] for m in bad * 8))])).first()["cleaned"].strip() == ""
+
+
+def test_menus_do_not_go_on(docs):
+    menu = "\n".join(["Home", "About us", "Contact", "News", "Sport", "Our team", "Jobs", "Weather"] * 10)
+    got = quality.judge(docs([(1, menu)])).first()
+    assert not got.kept and got.cleaned == ""
+
+
 # 7: byte-level BPE
 
 def test_bpe_awkward(docs):
@@ -335,6 +412,39 @@ def test_bpe_awkward(docs):
     back = bpe.decoded(bpe.encoded(df, BYTE, PATTERN), BYTE).collect()
     assert Counter((r.doc_id, r.text) for r in back) == Counter((i, x or "") for i, x, _ in AWKWARD)
     assert bpe.encoded(none_of(df), BYTE, PATTERN).count() == 0
+    both = bpe.round_trip(df, BYTE, PATTERN, block_bytes=40).collect()
+    assert Counter((r.doc_id, tuple(r.ids), r.text) for r in both) == Counter(
+        (i, tuple(e.encode_ordinary(x or "")), x or "") for i, x, _ in AWKWARD)
+    assert bpe.digests(none_of(df), BYTE, PATTERN).count() == 0
+
+
+def test_bpe_of_a_large_vocabulary(docs, tmp_path):
+    """Ids beyond two bytes."""
+    path = str(tmp_path / "large.tiktoken")
+    with open(path, "wb") as f:
+        for token, rank in bpe.ranks_of(BYTE).items():
+            f.write(base64.b64encode(token) + b" %d\n" % (rank if rank < 256 else rank + 70_000))
+    df = docs([(1, "some words, some other words"), (2, "x"), (3, None)])
+    rows = {r.doc_id: r for r in bpe.round_trip(df, path, PATTERN).collect()}
+    assert max(rows[1].ids) > 70_000 and rows[1].text == "some words, some other words" and rows[3].text == ""
+
+
+def test_rows_that_change_between_readings_are_an_error(docs):
+    import pyarrow as pa
+
+    def changed(batches):
+        import os
+
+        for b in batches:
+            texts = pa.array([f"{x} {os.urandom(4).hex()}" for x in b["text"].to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([b["doc_id"], texts], ["doc_id", "text"])
+
+    df = docs([(i, f"word{i} and some{i % 7}") for i in range(200)], files=1).select("doc_id", "text")
+    other = df.mapInArrow(changed, df.schema)
+    with pytest.raises(Exception, match="other rows"):
+        bpe.encoded(other, BYTE, PATTERN, block_bytes=400).collect()
+    with pytest.raises(Exception, match="other rows"):
+        chunks.deduplicated(other, chunks.Chunking(block_bytes=400)).collect()
 
 
 def test_pre_tokens_are_the_patterns():

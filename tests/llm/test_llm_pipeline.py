@@ -1,13 +1,19 @@
 """The pipeline against plain restatements of its stages, and on awkward rows."""
 
+import itertools
 import os
 import random
+import re
+import textwrap
+from collections import Counter
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from texts import prose
+from flatspark.llm import chunks, quality
 from flatspark.llm.common import prepare
 
 SF = "/root/testdata/sf0.001"
@@ -74,6 +80,168 @@ def test_rows_meet_though_cores_come_and_go(spark, docs):
         spark.conf.unset(cores)
 
 
+def split(text):
+    return [w for w in re.split(r"[\x20\x09-\x0D]", text) if w]
+
+
+def plain_quality(text):
+    """The text of the passing lines; nothing for a rejected document."""
+    words = split(text)
+    windows = list(zip(words, words[1:], words[2:]))
+    seen = Counter(windows)
+    repeats = len({i + k for i, w in enumerate(windows) if seen[w] > 1 for k in range(3)})
+    lines = text.split("\n")
+    own = [split(x) for x in lines]
+
+    def closed(w):
+        return len(w) >= 12 or bool(regex.search(r"[\p{Po}\p{Pe}\p{Pf}\p{Pi}]\Z", w[-1]) and not regex.search(r"[#%&*@/\\•·§¶†‡]\Z", w[-1]))
+
+    def goes_on(i):
+        if i < 0 or i + 1 >= len(lines) or len(own[i]) < 3 or closed(own[i]) or not own[i + 1]:
+            return False
+        width = max(len(lines[i]), len(lines[i + 1]), len(lines[i - 1]) if i and own[i - 1] else 0)
+        return width >= 20 and 100 * (len(lines[i]) + 1 + len(own[i + 1][0])) >= 80 * width
+
+    def passes(i):
+        x, w = lines[i], own[i]
+        if not w:
+            return True
+        if not (closed(w) or goes_on(i) or goes_on(i - 1)):
+            return False
+        n, bars, marks = len(w), len(re.findall("[|»›•·]", x)), len(re.findall("[#*$%&|<>]", x))
+        shouted = sum(bool(regex.search(r"\p{Lu}.*\p{Lu}", y)) and not regex.search(r"\p{Ll}", y) for y in w)
+        return not (bars >= 2 and 100 * bars >= 25 * n or marks >= 3 and 100 * marks > 50 * n or n >= 5 and 100 * shouted > 50 * n
+                    or 10 <= n < 200 and 100 * len(set(w)) < 30 * n or n < 30 and re.search(quality.PHRASES, x.lower()))
+
+    ok = [passes(i) for i in range(len(lines))]
+    kept = sum(len(w) for w, p in zip(own, ok) if p)
+    if len(words) < 50 or 100 * repeats > 50 * len(words) or 100 * kept < 50 * len(words):
+        return None
+    return "\n".join(x for x, p in zip(lines, ok) if p)
+
+
+def plain_groups(texts):
+    """The number of each text's group, pair by pair."""
+    sets = []
+    for t in texts:
+        w = t.encode().lower().split()
+        sets.append({tuple(w[i:i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} - {()})
+    label = list(range(len(texts)))
+    for i, j in itertools.combinations(range(len(texts)), 2):
+        n = len(sets[i] & sets[j])
+        if n and 100 * n >= 80 * (len(sets[i]) + len(sets[j]) - n) and label[i] != label[j]:
+            label = [label[i] if x == label[j] else x for x in label]
+    return label
+
+
+def plain_chunks(text, c):
+    """Chunks as (start, end in bytes, words), one rolling hash at a time."""
+    raw, table = text.encode(), chunks.gear_table(c.seed).tolist()
+    starts = [m.start() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    out = []
+    for k, at in enumerate(starts):
+        h = sum(table[raw[at - 1 - j]] << j for j in range(min(c.window, at))) % (1 << c.window)
+        if not k or h < (1 << c.window) // c.words:
+            out.append([at, len(raw), 0])
+            if k:
+                out[-2][1] = at
+        out[-1][2] += 1
+    return raw, out
+
+
+def plain_windows(raw, found, least):
+    """(first chunk, chunk after the last, its chunks' texts) of the shortest runs of enough words."""
+    n, spans = len(found), set()
+    for i in range(n):
+        total, e = 0, i
+        while e < n and total < least:
+            total, e = total + found[e][2], e + 1
+        if total >= least:
+            spans.add((i, e))
+        total, b = 0, i + 1
+        while b > 0 and total < least:
+            total, b = total + found[b - 1][2], b - 1
+        if total >= least:
+            spans.add((b, i + 1))
+    return [(a, b, tuple(raw[x:y].rstrip(b" \t\n\x0b\x0c\r") for x, y, _ in found[a:b])) for a, b in spans]
+
+
+def plain_substrings(rows, c=chunks.Chunking()):
+    made = [(i, *plain_chunks(t, c)) for i, t in rows]
+    owner = {}
+    for i, raw, found in made:
+        for _, _, key in plain_windows(raw, found, c.least):
+            owner[key] = min(owner.get(key, i), i)
+    out = []
+    for i, raw, found in made:
+        gone = {k for a, b, key in plain_windows(raw, found, c.least) if owner[key] != i for k in range(a, b)}
+        head = raw[:found[0][0]] if found else raw
+        out.append((i, (head + b"".join(raw[x:y] for k, (x, y, _) in enumerate(found) if k not in gone)).decode()))
+    return out
+
+
+def fixture():
+    """Wrapped prose, copies, near copies, shared passages, junk, short and empty texts."""
+    rng = random.Random(9)
+    passage, rows = prose(rng, 80), []
+    for i in range(40):
+        text = prose(rng, rng.randint(30, 400), 3000)
+        if i % 4 == 0:
+            text = textwrap.fill(text, rng.choice([40, 60, 75]))
+        if i % 5 == 0:
+            words = text.split(" ")
+            text = " ".join([*words[: len(words) // 2], passage, *words[len(words) // 2:]])
+        if i % 7 == 0:
+            text = "Home | News | Sport | About\n" + text + "\nAccept cookies to read on."
+        rows.append((3 * i, text))
+    rows += [(3 * i + 1, rows[i][1]) for i in range(0, 40, 6)]
+    for i in range(1, 40, 5):
+        words = rows[i][1].split(" ")
+        for k in range(0, len(words), 60):
+            words[k] = f"changed{k}"
+        rows.append((3 * i + 2, " ".join(words)))
+    rows += [(900, ""), (901, None), (902, "buy now " * 60), (903, "a | b | c\n" * 30), (904, prose(rng, 4000, 3000))]
+    return [(i, t, "ab"[i % 2]) for i, t in rows]
+
+
+def test_stages_against_brute_force(spark, docs, tmp_path):
+    import tiktoken
+    from flatspark.llm import bpe
+    from flatspark.llm.queries import pre_token_pattern, vocabulary
+
+    prepare(spark)
+    given = fixture()
+    rules, near, cut, mix, ids = [x.collect() for x in staged(spark, docs(given), tmp_path)]
+    want = [(i, plain_quality(t or "")) for i, t, _ in given]
+    want = [(i, t) for i, t in want if t is not None]
+    assert len(want) > 40 and sorted((r.doc_id, r.text) for r in rules) == sorted(want)
+    label, least = plain_groups([t for _, t in want]), {}
+    for (i, _), g in zip(want, label):
+        least[g] = min(least.get(g, i), i)
+    want = [(i, t) for (i, t), g in zip(want, label) if least[g] == i]
+    assert len(want) < len(label) and sorted((r.doc_id, r.text) for r in near) == sorted(want)
+    want = plain_substrings(want)
+    assert sorted((r.doc_id, r.text) for r in cut) == sorted(want)
+    assert sum(len(t) for _, t in want) < sum(len(r.text) for r in near)
+    texts, times = dict(want), Counter(r.doc_id for r in mix)
+    assert all(r.text == texts[r.doc_id] for r in mix) and max(times.values()) <= 2
+    sizes = Counter()
+    for r in mix:
+        sizes[r.source] += len(split(r.text))
+    whole = Counter()
+    for r in cut:
+        whole[r.source] += len(split(r.text))
+    # Weights 3 and 1 of one and a half times all words, neither above twice its source's.
+    targets = {"a": min(2 * whole["a"], 1.125 * sum(whole.values()))}
+    targets["b"] = min(2 * whole["b"], 1.5 * sum(whole.values()) - targets["a"])
+    most = max(len(split(t)) for t in texts.values())
+    assert all(abs(sizes[s] - targets[s]) <= 2 * most for s in targets)
+    path = vocabulary("byte_bpe_multi_50k.tiktoken")
+    e = tiktoken.Encoding("t", pat_str=pre_token_pattern(), mergeable_ranks=bpe.ranks_of(path), special_tokens={})
+    assert Counter((r.doc_id, tuple(r.ids), r.text) for r in ids) == Counter(
+        (r.doc_id, tuple(e.encode_ordinary(r.text)), r.text) for r in mix)
+
+
 def test_empty_table(spark, docs, tmp_path):
     df = docs([(1, "x")]).where(F.col("doc_id") > 5)
     df.write.parquet(str(tmp_path / "none"))
