@@ -14,6 +14,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """The rows dealt by their key to as many tasks as a shuffle has. A table may be a single row
+    group, which one task reads and would also map; documents are made of its rows after the deal.
+    """
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def text(col: Column) -> Column:
     return col.cast("string")
 

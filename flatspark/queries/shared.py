@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from flatspark.jobs import provider, schemas
 from flatspark.jobs.systems import NEUTRAL
 from flatspark.queries import query
-from flatspark.queries.docs import pick, table, text
+from flatspark.queries.docs import pick, spread, table, text
 from flatspark.queries.jobs import Many, concept, documents, ref
 
 # The entity of customer k: every third customer shares one, the others go by fours.
@@ -61,7 +61,7 @@ SELECT id, '1' AS "versionId", 'Organization' AS "resourceType", NULL::VARCHAR A
 FROM r, (SELECT unnest(['p0-x', 'p1-x', 'p2-x']) AS p)""")
 def wide_organizations(spark, sf):
     """400 identifiers and 3 profiles in every document."""
-    rows = table(spark, sf, "supplier")
+    rows = spread(table(spark, sf, "supplier"), "s_suppkey")
     docs = documents(
         rows, schemas.PROVIDER_ORGANIZATION,
         id=text(F.col("s_suppkey")), resourceType="Organization", name=F.col("s_name"),
