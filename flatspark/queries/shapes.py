@@ -16,7 +16,7 @@ from flatspark.queries import query
 from flatspark.queries.docs import CONTACTS, EXTENSIONS, ORDER_CTE, PROFILES, counted, order_docs, table, text
 from flatspark.queries.jobs import Many, concept, documents
 from flatspark.queries.storage import EVENT_SCHEMA, _event_folder, _last_moment, _tag_rows
-from flatspark.session import work_dir
+from flatspark.session import SIDE_BY_SIDE, settings, work_dir
 from flatspark.sources import (
     FuturePartition,
     Partition,
@@ -196,9 +196,10 @@ def too_large(spark, sf):
     path, k = work_dir(spark, "s8b"), F.col("o_orderkey")
     orders = table(spark, sf, "orders")
     pad = F.when((k % 20).isin(3, 7), F.repeat(F.lit(" "), 2000)).otherwise("")
-    orders.select((k % 20).alias("bucket"), F.concat(
-        F.lit('{"id":"'), text(k), F.lit('","bucket":"'), text(k % 20), F.lit('"}'), pad).alias("value")).repartition(
-        20, "bucket").write.partitionBy("bucket").text(path)
+    lines = orders.select((k % 20).alias("bucket"), F.concat(
+        F.lit('{"id":"'), text(k), F.lit('","bucket":"'), text(k % 20), F.lit('"}'), pad).alias("value"))
+    with settings(spark, SIDE_BY_SIDE):
+        lines.repartition(20, "bucket").write.partitionBy("bucket").text(path)
     good, bad = split_by_size(spark, path, obj("id", "bucket"), 20 * orders.count(), one_per_file=False, recursive=True)
     large = bad.select("code", F.regexp_extract("file_path", "bucket=([^/]*)", 1).alias("bucket"), F.lit(None).cast("string").alias("id"))
     return good.select(F.lit(None).cast("int").alias("code"), "bucket", "id").unionByName(large)

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from flatspark.queries import shared
+from flatspark.queries import shapes, shared
 
 
 @pytest.fixture
@@ -28,3 +28,20 @@ def tasks(df):
 def test_wide_products_of_one_row_group_are_made_by_many_tasks(spark, tables):
     rows = shared.wide_organizations(spark, tables)
     assert tasks(rows) > 1 and rows.count() == 40 * 400 * 3
+
+
+def plans(spark, run):
+    """The physical plans that ran."""
+    sc, store = spark.sparkContext._jsc.sc(), spark._jsparkSession.sharedState().statusStore()
+    sc.listenerBus().waitUntilEmpty()
+    before = store.executionsList().size()
+    run()
+    sc.listenerBus().waitUntilEmpty()
+    found = store.executionsList()
+    return [found.apply(i).physicalPlanDescription() for i in range(before, found.size())]
+
+
+def test_large_files_are_made_without_sorting_their_lines(spark, tables):
+    ran = plans(spark, lambda: shapes.too_large(spark, tables).collect())
+    writes = [p for p in ran if "partitionBy" in p or "bucket" in p]
+    assert writes and not any("Sort" in p for p in writes)
