@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from flatspark.functions.scalars import zero_pad
 from flatspark.operators.project import void_as_text
 from flatspark.plans.paths import quoted
-from flatspark.session import materialize  # noqa: F401  (a sink like the others)
+from flatspark.session import SIDE_BY_SIDE, materialize, settings  # noqa: F401  (materialize: a sink like the others)
 
 
 DATE_PARTS = ("month", "day", "hour")
@@ -41,18 +41,20 @@ def write_partitions(df: DataFrame, path: str, parts: list[str]) -> None:
     ``DATE_PARTS`` get a zero in front; other partition values are written as they are.
 
     Rows are brought together per partition in a number of tasks the runtime chooses by size,
-    so that a partition gets few files and a large one is still written in parallel.
+    so that a partition gets few files and a large one is still written in parallel. A task with
+    few partitions writes them side by side and holds no more than the files' buffers.
     """
     padded = df.select(
         *[(zero_pad(F.col(c)) if c in parts and c in DATE_PARTS else F.col(quoted(c))).alias(c) for c in df.columns]
     )
-    (
-        padded.hint("rebalance", *parts)
-        .write.mode("overwrite")
-        .partitionBy(*parts)
-        .option("partitionOverwriteMode", "dynamic")
-        .parquet(path)
-    )
+    with settings(df.sparkSession, SIDE_BY_SIDE):
+        (
+            padded.hint("rebalance", *parts)
+            .write.mode("overwrite")
+            .partitionBy(*parts)
+            .option("partitionOverwriteMode", "dynamic")
+            .parquet(path)
+        )
 
 
 _NAME = re.compile(r"\w+(\.\w+)*")

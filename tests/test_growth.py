@@ -3,7 +3,9 @@
 import pytest
 from pyspark.sql import functions as F
 
+from flatspark import work_dir
 from flatspark.queries import shapes, shared
+from flatspark.sources import write_partitions
 
 
 @pytest.fixture
@@ -41,6 +43,23 @@ def plans(spark, run):
     return [found.apply(i).physicalPlanDescription() for i in range(before, found.size())]
 
 
+def test_a_partition_is_written_without_sorting_its_rows(spark):
+    path, rows = work_dir(spark, "grow"), spark.range(1000).withColumn("day", F.lit("1"))
+    held = spark.conf.get("spark.sql.maxConcurrentOutputFileWriters")
+    ran = plans(spark, lambda: write_partitions(rows, path, ["day"]))
+    assert ran and not any("Sort" in p for p in ran)
+    assert spark.read.schema("id long, day string").parquet(path).where("day = '01'").count() == 1000
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == held
+
+
+def test_more_partitions_than_are_written_side_by_side(spark):
+    path = work_dir(spark, "grow")
+    write_partitions(spark.range(3000).withColumn("part", F.concat(F.lit("p"), F.col("id") % 100)), path, ["part"])
+    back = spark.read.schema("id long, part string").parquet(path)
+    assert back.groupBy("part").count().where("count = 30").count() == 100
+    assert back.where(F.concat(F.lit("p"), F.col("id") % 100) != F.col("part")).isEmpty()
+
+
 def test_large_files_are_made_without_sorting_their_lines(spark, tables):
     ran = plans(spark, lambda: shapes.too_large(spark, tables).collect())
     writes = [p for p in ran if "partitionBy" in p or "bucket" in p]
