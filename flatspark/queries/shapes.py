@@ -13,7 +13,7 @@ from flatspark.operators.variants import variant_leaves
 from flatspark.plans import Rule, level_flatten, map_documents
 from flatspark.plans.checks import all_config_errors, config_rules
 from flatspark.queries import query
-from flatspark.queries.docs import CONTACTS, EXTENSIONS, ORDER_CTE, PROFILES, counted, order_docs, table, text
+from flatspark.queries.docs import CONTACTS, EXTENSIONS, ORDER_CTE, PROFILES, counted, order_docs, spread, table, text
 from flatspark.queries.jobs import Many, concept, documents
 from flatspark.queries.storage import EVENT_SCHEMA, _event_folder, _last_moment, _tag_rows
 from flatspark.session import SIDE_BY_SIDE, settings, work_dir
@@ -213,8 +213,10 @@ def packed(spark, sf):
     """A file per document goes into few files; malformed documents are still told by their own."""
     path, k = work_dir(spark, "s6p"), F.col("s_suppkey")
     whole = F.concat(F.lit('{"id":"'), text(k), F.lit('",\n "name":"'), "s_name", F.lit('"}'))
-    table(spark, sf, "supplier").select(k.alias("k"), F.when(k % 7 == 0, F.left(whole, F.lit(12))).otherwise(whole).alias("value")).repartition(
-        4, "k").write.partitionBy("k").text(path)
+    # many tasks make the files, and move them to their folders themselves, not the driver for all
+    spread(table(spark, sf, "supplier"), "s_suppkey").select(
+        k.alias("k"), F.when(k % 7 == 0, F.left(whole, F.lit(12))).otherwise(whole).alias("value"),
+    ).write.partitionBy("k").option("mapreduce.fileoutputcommitter.algorithm.version", "2").text(path)
     good, bad = split_texts(pack_documents(spark, path, work_dir(spark, "s6q"), recursive=True), obj("id", "name"))
     none = F.lit(None).cast("string")
     return good.select(F.lit(None).cast("int").alias("code"), "id", none.alias("file")).unionByName(

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from flatspark.functions.scalars import partition_date
 from flatspark.plans.paths import quoted
 from flatspark.plans.rules import JSON_INVALID, JSON_TOO_LARGE
+from flatspark.session import settings
 
 CORRUPT = "_corrupt_record"
 
@@ -177,15 +178,11 @@ def pack_documents(
     result to :func:`split_texts`.
     """
     sizes = {"spark.sql.files.openCostInBytes": str(SMALL_FILE_COST), "spark.sql.files.maxPartitionBytes": str(bin_bytes)}
-    before = {k: spark.conf.get(k) for k in sizes}
-    try:
-        for k, v in sizes.items():
-            spark.conf.set(k, v)
+    # folders are listed in as many tasks as a shuffle has, in place of up to 10,000
+    listing = {"spark.sql.sources.parallelPartitionDiscovery.parallelism": spark.conf.get("spark.sql.shuffle.partitions")}
+    with settings(spark, sizes | listing):
         texts = spark.read.text(path, wholetext=True, pathGlobFilter=pattern, recursiveFileLookup=recursive)
         texts.select(F.col("_metadata.file_path").alias("file_path"), "value").write.mode("overwrite").parquet(packed_path)
-    finally:
-        for k, v in before.items():
-            spark.conf.set(k, v)
     return spark.read.schema("file_path string, value string").parquet(packed_path)
 
 

@@ -1,11 +1,13 @@
 """What tasks hold and how many share the work, where inputs grow."""
 
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
 from flatspark import work_dir
 from flatspark.queries import shapes, shared
-from flatspark.sources import write_partitions
+from flatspark.sources import pack_documents, write_partitions
 
 
 @pytest.fixture
@@ -64,3 +66,18 @@ def test_large_files_are_made_without_sorting_their_lines(spark, tables):
     ran = plans(spark, lambda: shapes.too_large(spark, tables).collect())
     writes = [p for p in ran if "partitionBy" in p or "bucket" in p]
     assert writes and not any("Sort" in p for p in writes)
+
+
+def test_folders_are_listed_in_few_tasks(spark, tmp_path):
+    for i in range(60):
+        os.makedirs(f"{tmp_path}/k={i}")
+        with open(f"{tmp_path}/k={i}/a.json", "w") as f:
+            f.write(f'{{"id": "{i}"}}')
+    spark.sparkContext.setJobGroup("packing", "packing")
+    try:
+        packed = pack_documents(spark, str(tmp_path), work_dir(spark, "packed"), recursive=True)
+        seen = spark.sparkContext.statusTracker()
+        most = max(seen.getStageInfo(s).numTasks for j in seen.getJobIdsForGroup("packing") for s in seen.getJobInfo(j).stageIds)
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert most < 60 and packed.count() == 60
