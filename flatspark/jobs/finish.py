@@ -21,6 +21,7 @@ from flatspark.plans.paths import quoted
 from flatspark.session import materialize, work_dir
 
 PAD = "_pad"
+HOT = 10_000  # distinct values that make an entity a large one
 
 
 @dataclass(frozen=True)
@@ -189,6 +190,17 @@ def _finish_in_row(df: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
     return _multiplied(df.select(*keys, *texts, *[f"_combine_{n}" for n in layout.combine], *sides), layout, keys)
 
 
+def _with_facts(rows: DataFrame, facts: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows with the facts of their entity. Large entities' facts are few; written, their size is
+    known, so they are broadcast and no task has to sort all rows of such an entity.
+    """
+    spark = rows.sparkSession
+    facts = materialize(facts, work_dir(spark, "facts"))
+    hot = materialize(facts.where(F.col("_known") > HOT), work_dir(spark, "hot-facts"))
+    others = attach(rows, hot.select(*keys), keys, "left_anti")
+    return attach(rows, hot, keys, "inner").unionByName(attach(others, facts.where(F.col("_known") <= HOT), keys, "left"))
+
+
 def _finish_by_entity(df: DataFrame, keys: list[str], layout: Layout) -> DataFrame:
     cells = {s: _cells(df, s) for s in layout.sides}
     every = [c for names in cells.values() for c in names]
@@ -206,6 +218,7 @@ def _finish_by_entity(df: DataFrame, keys: list[str], layout: Layout) -> DataFra
         return F.when(F.col("_column") == name, F.col("_value"))
 
     facts = known.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_known"),
         *[F.max(of(c)).alias(f"_fill_{c}") for c in every],
         *[F.array_sort(F.collect_list(of(n))).alias(f"_all_{n}") for n in layout.texts],
     )
@@ -213,11 +226,11 @@ def _finish_by_entity(df: DataFrame, keys: list[str], layout: Layout) -> DataFra
     texts = [t.printed(F.coalesce(F.col(f"_all_{n}"), empty)).alias(n) for n, t in layout.texts.items()]
     if layout.product:
         # Sides that several documents share are multiplied once.
-        sides = attach(df.select(*keys, *layout.sides), facts, keys, "left")
+        sides = _with_facts(df.select(*keys, *layout.sides), facts, keys)
         sides = sides.select(*keys, *[_filled(sides, s, lambda c: f"`_fill_{c}`") for s in layout.sides], *texts).distinct()
         return _multiplied(sides, Layout(product=layout.product, texts=layout.texts), keys).distinct()
     rows = df.select(*keys, F.inline_outer("_rows")).distinct()
-    out = attach(rows, facts, keys, "left")
+    out = _with_facts(rows, facts, keys)
     out = out.select(*keys, *[F.coalesce(F.col(c), F.col(f"_fill_{c}")).alias(c) for c in every], *texts).distinct()
     for n in layout.combine:
         values = df.select(*keys, F.explode_outer(f"_combine_{n}").alias(n)).where(F.col(n).isNotNull()).distinct()

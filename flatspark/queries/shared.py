@@ -15,7 +15,7 @@ WITH c AS (SELECT k, {ENTITY} AS id, name FROM (SELECT c_custkey AS k, c_name AS
 
 
 def _customers(spark, sf):
-    c = table(spark, sf, "customer").withColumn("k", F.col("c_custkey"))
+    c = spread(table(spark, sf, "customer"), "c_custkey").withColumn("k", F.col("c_custkey"))
     other = F.concat(F.lit("e"), text(F.floor(F.col("k") / 4)))
     return c.withColumn("entity", F.when(F.col("k") % 3 == 0, "hot").otherwise(other))
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from flatspark import work_dir
+from flatspark.jobs import finish, provider, schemas
 from flatspark.queries import shapes, shared
 from flatspark.sources import pack_documents, write_partitions
 
@@ -81,3 +82,21 @@ def test_folders_are_listed_in_few_tasks(spark, tmp_path):
     finally:
         spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert most < 60 and packed.count() == 60
+
+
+@pytest.mark.parametrize("job, schema", [
+    (provider.practitioner, schemas.PRACTITIONER), (provider.provider_organization, schemas.PROVIDER_ORGANIZATION)])
+def test_large_entities_get_the_same_rows(json_docs, monkeypatch, job, schema):
+    def doc(key, i):
+        kind = ["NPI", "SS", "TAX", "CCN"][i % 4]
+        return {"id": key, "resourceType": "X", "meta": {"versionId": "1", "profile": ["http://h/b/p-x-v1"]},
+                "identifier": [{"type": {"coding": [{"code": kind}]}, "value": f"v{i}"}],
+                "telecom": [{"system": "fax", "use": "work", "value": str(i % 3)}]}
+
+    made = json_docs([doc(k, i) for k, n in (("hot", 30), (None, 30), ("cool", 2), ("one", 1)) for i in range(n)], schema)
+
+    def rows(limit):
+        monkeypatch.setattr(finish, "HOT", limit)
+        return sorted(str(sorted(r.asDict().items())) for r in job(made).collect())
+
+    assert rows(20) == rows(10**9) == rows(0)
