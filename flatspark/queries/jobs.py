@@ -11,7 +11,7 @@ from flatspark.jobs import mappings, provider, schemas
 from flatspark.jobs.systems import NEUTRAL
 from flatspark.plans import level_flatten, map_documents
 from flatspark.queries import query
-from flatspark.queries.docs import counted, pick, table, text
+from flatspark.queries.docs import counted, pick, spread, table, text
 
 
 @dataclass(frozen=True)
@@ -54,7 +54,7 @@ def ref(kind, key):
 def service_docs(spark, sf):
     k = F.col("o_orderkey")
     return documents(
-        table(spark, sf, "orders"), schemas.HEALTHCARE_SERVICE,
+        spread(table(spark, sf, "orders"), "o_orderkey"), schemas.HEALTHCARE_SERVICE,
         id=text(F.col("o_custkey")), resourceType="HealthcareService", meta={"versionId": text(k)},
         category=Many(k % 3, 2, lambda i: concept(
             display=pick(k + i, "medicare", "translator", "disclaimer", "other"))),
@@ -83,7 +83,7 @@ def healthcare_service(spark, sf):
 def network_docs(spark, sf):
     k = F.col("c_custkey")
     return documents(
-        table(spark, sf, "customer"), schemas.NETWORK,
+        spread(table(spark, sf, "customer"), "c_custkey"), schemas.NETWORK,
         id=text(k % 500), resourceType="Network", name=F.col("c_name"), meta={"versionId": text(F.col("c_nationkey"))},
         identifier=Many(k % 4, 3, lambda i: {
             "value": F.when((k + i) % 5 != 0, F.concat_ws("-", text(k % 50), text(i)))}),
@@ -109,7 +109,7 @@ def organization_docs(spark, sf):
         return {"url": url, "valueCodeableConcept": concept(code=code)}
 
     return documents(
-        table(spark, sf, "customer"), schemas.PROVIDER_ORGANIZATION,
+        spread(table(spark, sf, "customer"), "c_custkey"), schemas.PROVIDER_ORGANIZATION,
         id=text(k), resourceType="Organization", name=F.col("c_name"),
         meta={
             "versionId": "1", "lastUpdated": "2024-01-01",
@@ -192,7 +192,7 @@ def affiliation_docs(spark, sf, schema, subject):
     ]}
     licensee = {"url": NEUTRAL.licensee_ref, "valueReference": ref("Organization", F.concat(F.lit("lic"), key))}
     return documents(
-        table(spark, sf, "orders"), schema,
+        spread(table(spark, sf, "orders"), "o_orderkey"), schema,
         id=key, resourceType="Affiliation", active="true", meta={"versionId": text(k % 2), "lastUpdated": "u"},
         **{subject: ref("Organization", F.concat(F.lit("o"), text(F.col("o_custkey"))))},
         period={"start": "2020"},

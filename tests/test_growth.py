@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from flatspark import work_dir
 from flatspark.jobs import finish, provider, schemas
-from flatspark.queries import shapes, shared
+from flatspark.queries import jobs, shapes, shared
 from flatspark.sources import pack_documents, write_partitions
 
 
@@ -30,6 +30,14 @@ def tasks(df):
     return df.select(F.spark_partition_id()).distinct().count()
 
 
+@pytest.mark.parametrize("docs", [
+    jobs.organization_affiliations, jobs.organization_docs, jobs.network_docs, jobs.service_docs,
+    shared._customers])
+def test_documents_of_one_row_group_are_mapped_by_many_tasks(spark, tables, docs):
+    made = docs(spark, tables)
+    assert tasks(made) > 1 and made.count() == 200
+
+
 def test_wide_products_of_one_row_group_are_made_by_many_tasks(spark, tables):
     rows = shared.wide_organizations(spark, tables)
     assert tasks(rows) > 1 and rows.count() == 40 * 400 * 3
