@@ -67,7 +67,7 @@ def first_value(values: Column) -> Column:
 
 
 def distinct_values(values: Column) -> Column:
-    return F.array_sort(F.array_distinct(F.filter(F.coalesce(values, F.array().cast("array<string>")),
+    return F.sort_array(F.array_distinct(F.filter(F.coalesce(values, F.array().cast("array<string>")),
                                                   lambda v: v.isNotNull())))
 
 

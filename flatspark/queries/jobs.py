@@ -310,7 +310,7 @@ def practitioner_docs(spark, sf):
     }
     given = F.when(k % 3 == 0, F.array("o_orderstatus", F.lit("M"))).when(k % 3 == 1, F.array("o_orderstatus"))
     return documents(
-        table(spark, sf, "orders"), schemas.PRACTITIONER,
+        spread(table(spark, sf, "orders"), "o_orderkey"), schemas.PRACTITIONER,
         id=text(k), resourceType="Practitioner", gender=pick(k, "male", "female"),
         meta={"versionId": "1", "lastUpdated": "u"},
         name=[{"family": F.col("o_orderpriority"), "given": given, "prefix": ["Dr"]}],

@@ -31,7 +31,7 @@ def tasks(df):
 
 
 @pytest.mark.parametrize("docs", [
-    jobs.organization_affiliations, jobs.organization_docs, jobs.network_docs, jobs.service_docs,
+    jobs.organization_affiliations, jobs.practitioner_docs, jobs.organization_docs, jobs.network_docs, jobs.service_docs,
     shared._customers])
 def test_documents_of_one_row_group_are_mapped_by_many_tasks(spark, tables, docs):
     made = docs(spark, tables)
