@@ -304,6 +304,95 @@ def test_quotations_on_small_hosts_stay(spark, tmp_path):
     assert got == {**want, 12: f"{top} {body[12]}"}
 
 
+def test_articles_lose_what_their_host_repeats(spark, tmp_path):
+    rng, share = random.Random(19), "share this story with your friends and subscribe today"
+    quote = "to be or not to be that is the question"
+    body = {i: prose(rng, 40, 5000) for i in range(30)}
+    icons = "<ul><li>post<li>pin<li>mail<li>print<li>save<li>copy</ul>"  # a substring of six tokens across blocks
+    html = {i: f"<article><h2>Background</h2><p>{body[i]}</p>{icons if i % 2 else ''}<p>{share}</p></article>" for i in range(10)}
+    want = {i: f"Background {body[i]}" for i in html}
+    for i in (2, 4, 6):  # a few articles quote; a repeated sentence inside a paragraph is the paragraph's
+        html[i] = html[i].replace("</article>", f"<p>{quote}</p><p>{body[i][:50]} {share}</p></article>")
+        want[i] += f" {quote} {body[i][:50]} {share}"
+    rows = [(i, f"http://one.example/{i}", f"<nav>menu {i}</nav>{x}") for i, x in html.items()]
+    rows += [(100 + i, "http://one.example/copy", f"<p>layout {i}</p>{html[8]}") for i in range(20)]  # one article, many pages
+    # edited copies of one article, and hosts with too few articles
+    rows += [(200 + i, "http://edits.example/", f"<article><p>{body[11]}</p><p>{body[12]}</p><p>edit {i}</p></article>") for i in range(3)]
+    rows += [(300 + i, "http://two.example/", f"<main><p>{body[13 + i]}</p><p>{share}</p></main>") for i in range(2)]
+    # what pages hold outside articles does not count inside them
+    rows += [(400 + i, "http://menu.example/", f"<p>{share}</p><article>{body[i]}{f'<p>{share}</p>' if i == 15 else ''}</article>")
+             for i in range(14, 20)]
+    got = dict(page_texts(spark, tmp_path, rows))
+    assert got == {
+        **want, **{100 + i: want[8] for i in range(20)}, **{200 + i: f"{body[11]} {body[12]} edit {i}" for i in range(3)},
+        **{300 + i: f"{body[13 + i]} {share}" for i in range(2)},
+        **{400 + i: body[i] + (f" {share}" if i == 15 else "") for i in range(14, 20)}}
+
+
+def plain_page_texts(rows, least=6, share=50, few=3):
+    """The same rules over windows of text, all pages of a host side by side."""
+    def windows(tokens, whole=True):
+        n = len(tokens) - least + 1
+        return [tuple(tokens[i:i + least]) for i in range(max(n, 1))] if whole or n > 0 else []
+
+    def cover(starts, tokens, repeated):
+        return {p + k for p, w in enumerate(starts) if w in repeated for k in range(min(least, len(tokens)))}
+
+    parts = {i: (pages.host_of(u), *pages.page_parts(h)) for i, u, h in rows}
+    out = {}
+    for host in {p[0] for p in parts.values()}:
+        some = [p[1:] for p in parts.values() if p[0] == host]
+        inside = [set(windows(a, False)) for a in {tuple(" ".join(m).split(" ")) for m, _, _ in some if m}]
+        outside = {}
+        for m, b, _ in some:
+            if b:
+                outside[tuple(b)] = outside.get(tuple(b), False) or m is None
+        held = [({w for t in b for w in windows(t.split(" "))}, bare) for b, bare in outside.items()]
+
+        def often(streams, least_n=few):
+            n = Counter(w for s in streams for w in s)
+            return {w for w, c in n.items() if c >= least_n and c * 100 >= len(streams) * share}
+
+        bares = [s for s, bare in held if bare]
+        alone = often(bares) | {w for w in often([s for s, _ in held]) if any(w in s for s in bares)}
+        articles = often(inside)
+        for i, (h, m, b, named) in parts.items():
+            if h != host:
+                continue
+            if m is None:
+                out[i] = " ".join(t for t, n in zip(b, named) if not n and len(
+                    cover(windows(t.split(" ")), t.split(" "), alone)) < len(t.split(" ")))
+                continue
+            tokens, at, kept = " ".join(m).split(" "), 0, []
+            gone = cover(windows(tokens, False), tokens, articles)
+            for t in m:
+                n = t.count(" ") + 1
+                if not gone >= set(range(at, at + n)):
+                    kept.append(t)
+                at += n
+            out[i] = " ".join(kept if len(" ".join(kept).split()) * 2 > len(tokens) else m)
+    return out
+
+
+@pytest.mark.parametrize("piece", [16 << 20, 400])
+def test_repeated_text_against_brute_force(spark, tmp_path, monkeypatch, piece):
+    monkeypatch.setattr(pages, "PIECE", piece)
+    rng, rows = random.Random(20), []
+    lines = ["home news sport culture weather about us contact", "read more", "all rights are reserved by the owner of it", "one two",
+             "sign up for the letter that we send each week"]
+    for i in range(160):
+        def some():
+            return "".join(f"<p>{x}</p>" for x in [prose(rng, rng.randrange(1, 40), 3000), *rng.sample(lines, rng.randrange(5))])
+
+        kind = rng.randrange(4)
+        html = some() if kind == 0 else f"{some()}<article>{some()}</article>" if kind < 3 else f"<article>{some()}{some()}</article>"
+        rows.append((i, f"http://h{rng.choice([1, 1, 1, 2, 3, 4])}.example/", rng.choice(rows)[2] if rows and rng.random() < 0.2 else html))
+    got, want = dict(page_texts(spark, tmp_path, rows)), plain_page_texts(rows)
+    assert got == want
+    plain = {i: " ".join(pages.page_parts(h)[0] or []) for i, _, h in rows}
+    assert sum(plain[i] not in ("", want[i]) for i in want) > 20
+
+
 def test_names_do_not_lose_articles():
     text = "one two three"
     for opening in ("div class='layout has-sidebar'", "div class='no-sidebar'", "section class='with-banner'", "form", "nav",
