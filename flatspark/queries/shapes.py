@@ -380,7 +380,7 @@ def licences(spark, sf):
         }
 
     docs = documents(
-        table(spark, sf, "supplier"), schemas.PRACTITIONER,
+        spread(table(spark, sf, "supplier"), "s_suppkey"), schemas.PRACTITIONER,
         id=text(F.col("s_suppkey")), resourceType="Practitioner", meta={"versionId": "1"}, name=[{"family": F.col("s_name")}],
         qualification=Many(F.lit(300), 300, licence))
     return provider.practitioner(docs, unique=True).select("id", "versionId", "LAST_NAME", "PROVIDER_LICENSE_DETAILS")

@@ -43,6 +43,14 @@ def test_wide_products_of_one_row_group_are_made_by_many_tasks(spark, tables):
     assert tasks(rows) > 1 and rows.count() == 40 * 400 * 3
 
 
+def test_licences_of_one_row_group_are_mapped_by_many_tasks(spark, tables):
+    rows = shapes.licences(spark, tables)
+    details = "~".join(sorted(f"L{i},active,TX,MD" for i in range(100)))
+    assert tasks(rows) > 1
+    assert sorted((r.id, r.LAST_NAME, r.PROVIDER_LICENSE_DETAILS) for r in rows.collect()) == sorted(
+        (str(k), f"s{k}", f"[{details}]") for k in range(1, 41))
+
+
 def plans(spark, run):
     """The physical plans that ran."""
     sc, store = spark.sparkContext._jsc.sc(), spark._jsparkSession.sharedState().statusStore()
